@@ -15,7 +15,7 @@ def local_session() -> SparkSession:
         .appName("tidemark-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .config("spark.sql.streaming.metricsEnabled", "false")

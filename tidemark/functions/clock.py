@@ -8,12 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
-_FIRST_MS, _LAST_MS = -62135596800000, 253402300799999
+FIRST_MS, LAST_MS = -62135596800000, 253402300799999
 
 
 def _millis_sql(name: str) -> str:
     value = f"try_cast(`{name}` AS BIGINT)"
-    return f"CASE WHEN {value} BETWEEN {_FIRST_MS} AND {_LAST_MS} THEN {value} END"
+    return f"CASE WHEN {value} BETWEEN {FIRST_MS} AND {LAST_MS} THEN {value} END"
 
 
 def millis(name: str) -> Column:

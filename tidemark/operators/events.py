@@ -68,7 +68,9 @@ def silver_events_validated(
 
 def with_latency(bronze: DataFrame) -> DataFrame:
     """Exploratory silver columns: required fields present, typed keys, date and latency."""
-    kept = bronze.dropna(subset=["timestamp", "visitorid", "event"])
+    kept = bronze.filter(
+        F.col("timestamp").isNotNull() & F.col("visitorid").isNotNull() & F.col("event").isNotNull()
+    )
     return kept.withColumns(
         {
             "event_timestamp": clock.millis("timestamp"),

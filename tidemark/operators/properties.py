@@ -46,7 +46,9 @@ def silver_item_properties(
         F.col("value").cast("string").alias("property_value"),
         F.col("_ingestion_time").alias("ingestion_timestamp"),
         F.col("_source_file").alias("source_file"),
-    ).dropna(subset=list(required))
+    )
+    for name in required:
+        typed = typed.filter(F.col(name).isNotNull())
     newest = [
         F.col(name).desc_nulls_last()
         for name in ("timestamp_unix", "ingestion_timestamp", "property_value", "source_file")

@@ -41,11 +41,18 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     return largest.select(*[F.col(k).alias(h) for k, h in zip(keys, _renamed(keys))])
 
 
+def split_by(
+    rows: DataFrame, keys: Sequence[str], large: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose keys are not in ``large``, and rows whose keys are."""
+    hot = F.broadcast(large)
+    match = same_keys(keys, large.columns)
+    return rows.join(hot, match, "left_anti"), rows.join(hot, match, "left_semi")
+
+
 def split_hot(rows: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
     """Rows of the groups up to ``limit`` rows, and rows of the larger groups."""
-    hot = F.broadcast(hot_keys(rows, keys, limit))
-    match = same_keys(keys, _renamed(keys))
-    return rows.join(hot, match, "left_anti"), rows.join(hot, match, "left_semi")
+    return split_by(rows, keys, hot_keys(rows, keys, limit))
 
 
 def numbered(

@@ -43,7 +43,6 @@ def as_event_rows(events: DataFrame) -> DataFrame:
         event.alias("event"),
         F.get_json_object("props", "$.k").alias("itemid"),
         F.concat_ws("-", F.col("user_id"), F.date_format("ts", "yyyyMMdd")).alias("transactionid"),
-        F.col("_metadata.file_path").alias("_source_file"),
         F.col("event_id").cast("string").alias("_ingestion_id"),
         (clock.millis_of("ts") + F.round(F.col("value") * 1000).cast("bigint"))
         .cast("string")
@@ -51,6 +50,11 @@ def as_event_rows(events: DataFrame) -> DataFrame:
     )
 
 
+def event_files(events: DataFrame) -> DataFrame:
+    """Event rows with the file they come from, as the publisher reads them."""
+    return as_event_rows(events).select("*", F.col("_metadata.file_path").alias("_source_file"))
+
+
 def bronze_item_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
     return props.with_ingestion_metadata(as_item_properties(lineitem), "fixture")

@@ -16,7 +16,7 @@ from tidemark.operators import events as ev
 from tidemark.operators import properties as props
 from tidemark.operators import quality, windows
 from tidemark.plans import batch_layer, fixtures, speed_layer
-from tidemark.schemas import EVENT_CSV, EVENT_TYPES, PROPERTY_CSV
+from tidemark.schemas import EVENT_CSV, EVENT_MESSAGE, EVENT_TYPES, PROPERTY_CSV
 from tidemark.session import workspace
 from tidemark.sinks.tables import append_stream, read_table, refresh_stream, write_table
 from tidemark.sinks.upsert import read_latest, upsert_stream
@@ -50,6 +50,13 @@ def _with_text(rows: DataFrame, *names: str) -> DataFrame:
     return rows.withColumns({name: _text(name) for name in names})
 
 
+def _silver_table(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Silver as a stored table, for operators that scan it more than once."""
+    path = f"{workspace(spark, label)}/silver"
+    write_table(fixtures.silver_item_properties(spark, sf_dir), path)
+    return read_table(spark, path)
+
+
 # --- item properties -------------------------------------------------------------------------
 
 
@@ -111,13 +118,13 @@ def silver_null_check(spark, sf_dir):
 
 @query
 def item_property_summary(spark, sf_dir):
-    summary = props.item_property_summary(fixtures.silver_item_properties(spark, sf_dir))
+    summary = props.item_property_summary(_silver_table(spark, sf_dir, "item_property_summary"))
     return _with_text(summary.drop("computed_at"), "property_ids")
 
 
 @query
 def top_enriched_items(spark, sf_dir):
-    top = props.top_enriched_items(fixtures.silver_item_properties(spark, sf_dir))
+    top = props.top_enriched_items(_silver_table(spark, sf_dir, "top_enriched_items"))
     return _with_text(top.drop("computed_at"), "property_ids")
 
 
@@ -135,7 +142,7 @@ def top_properties(spark, sf_dir):
 
 @query
 def item_property_lists(spark, sf_dir):
-    lists = props.item_property_lists(fixtures.silver_item_properties(spark, sf_dir))
+    lists = props.item_property_lists(_silver_table(spark, sf_dir, "item_property_lists"))
     return _with_text(lists, "property_ids", "property_values")
 
 
@@ -146,7 +153,7 @@ def property_count_per_item(spark, sf_dir):
 
 @query
 def gold_lineage(spark, sf_dir):
-    silver = fixtures.silver_item_properties(spark, sf_dir)
+    silver = _silver_table(spark, sf_dir, "gold_lineage")
     tables = [
         ("item_property_summary", props.item_property_summary(silver), "item_id"),
         ("property_statistics", props.property_statistics(silver), "property_id"),
@@ -177,31 +184,31 @@ def publish_events(spark, sf_dir):
     home = workspace(spark, "publish_events")
     landing = fixtures.land_events(spark, sf_dir, f"{home}/landing")
     speed_layer.publish(spark, landing, home)
-    value = F.col("data").cast("string")
-    return read_table(spark, f"{home}/messages").select(
+    payload = F.from_json(F.col("data").cast("string"), EVENT_MESSAGE).alias("sent")
+    sent = read_table(spark, f"{home}/messages").select("*", payload)
+    return sent.select(
         F.col("partitionKey").alias("key"),
-        *[F.get_json_object(value, f"$.{name}").alias(name) for name in EVENT_COLUMNS],
-        F.get_json_object(value, "$._ingestion_id").isNotNull().alias("has_ingestion_id"),
-        F.get_json_object(value, "$._ingestion_timestamp").isNotNull().alias("has_ingestion_time"),
-        F.get_json_object(value, "$._source_file").isNotNull().alias("has_source_file"),
+        *[F.col(f"sent.{name}").alias(name) for name in EVENT_COLUMNS],
+        F.col("sent._ingestion_id").isNotNull().alias("has_ingestion_id"),
+        F.col("sent._ingestion_timestamp").isNotNull().alias("has_ingestion_time"),
+        F.col("sent._source_file").isNotNull().alias("has_source_file"),
         "validation_status",
     )
 
 
-def _messages(events: DataFrame) -> DataFrame:
-    return messages.in_envelope(messages.to_messages(messages.event_records(events)))
+def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.event_files(fixtures.table(spark, sf_dir, "events"))
+    return messages.in_envelope(messages.to_messages(messages.event_records(rows)))
 
 
 @query
 def bronze_events(spark, sf_dir):
-    sent = _messages(fixtures.bronze_events(spark, sf_dir))
-    return ev.bronze_events(sent).select(*EVENT_COLUMNS)
+    return ev.bronze_events(_messages(spark, sf_dir)).select(*EVENT_COLUMNS)
 
 
 @query
 def events_renamed(spark, sf_dir):
-    sent = _messages(fixtures.bronze_events(spark, sf_dir))
-    return ev.events_renamed(ev.bronze_events(sent)).drop("kinesis_time")
+    return ev.events_renamed(ev.bronze_events(_messages(spark, sf_dir))).drop("kinesis_time")
 
 
 @query
@@ -211,8 +218,7 @@ def silver_events(spark, sf_dir):
 
 @query
 def silver_events_validated(spark, sf_dir):
-    silver = ev.silver_events_validated(fixtures.bronze_events(spark, sf_dir))
-    return silver.drop("_source_file")
+    return ev.silver_events_validated(fixtures.bronze_events(spark, sf_dir))
 
 
 @query
@@ -371,7 +377,7 @@ def recent_event_volume(spark, sf_dir):
 def bronze_events_stream(spark, sf_dir):
     """Events published as messages and parsed into bronze, both as streams."""
     home = workspace(spark, "bronze_events_stream")
-    rows = fixtures.bronze_events_stream(spark, sf_dir)
+    rows = fixtures.event_files(fixtures.table_stream(spark, sf_dir, "events"))
     messages.publish_events(rows, f"{home}/messages", f"{home}/checkpoints/messages")
     speed_layer.to_bronze(spark, home)
     return read_table(spark, f"{home}/bronze").select(*EVENT_COLUMNS)

@@ -113,3 +113,9 @@ def read_versions(spark: SparkSession, path: str, up_to: int | None = None) -> D
     """All rows of all micro-batches, with ``batch_id``."""
     rows = spark.read.parquet(path)
     return rows if up_to is None else rows.filter(F.col("batch_id") <= up_to)
+
+
+def staged(rows: DataFrame, path: str) -> DataFrame:
+    """The rows as a stored table, which a plan that uses them several times reads back."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

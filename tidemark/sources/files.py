@@ -14,7 +14,8 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header from all nested folders; without a schema the types are inferred.
 
-    ``corrupt_column`` keeps the text of every malformed line, so that it can be quarantined.
+    ``corrupt_column`` keeps the text of every malformed line, so that it can be quarantined. Store
+    the rows before selecting columns: only cells that a query reads are parsed and can be malformed.
     """
     reader = spark.read.option("header", True).option("recursiveFileLookup", True)
     if schema is None:

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions import clock
 from tidemark.operators import events as ev
 from tidemark.operators import skew
-from tidemark.sinks.tables import read_versions, refresh_stream, write_version
+from tidemark.sinks.tables import read_versions, refresh_stream, staged, write_version
 from tidemark.sinks.upsert import read_latest, upsert_stream
 from tidemark.streaming.runs import run_to_end
 
@@ -31,18 +32,19 @@ def read_profiles(spark: SparkSession, target: str) -> DataFrame:
     return read_latest(spark, target, ["visitorid"])
 
 
-def _rows_of(logged: DataFrame, touched: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+def _rows_of(
+    logged: DataFrame, touched: DataFrame, keys: Sequence[str], large: DataFrame
+) -> DataFrame:
     """The logged rows whose keys are in ``touched``, with its further columns.
 
-    Oversized keys are joined by broadcast, so no task receives one of them whole.
+    The oversized keys ``large`` are joined by broadcast, so no task receives one of them whole.
     """
     names = [f"_touched_{key}" for key in keys]
     touched = touched.withColumnsRenamed(dict(zip(keys, names)))
     match = skew.same_keys(keys, names)
-    large = skew.hot_keys(logged, keys, limit)
-    ordinary, hot = skew.split_hot(logged, keys, limit)
-    is_large = skew.same_keys(names, large.columns)
+    ordinary, hot = skew.split_by(logged, keys, large)
     # A subset of the oversized keys, so at most skew.MAX_HOT_KEYS rows.
+    is_large = skew.same_keys(names, large.columns)
     touched_large = touched.join(F.broadcast(large), is_large, "left_semi")
     both = ordinary.join(touched, match).unionByName(hot.join(F.broadcast(touched_large), match))
     return both.drop(*names)
@@ -63,30 +65,37 @@ def stream_customer_journey(
     """
     spark = events.sparkSession
     keys = ev.JOURNEY_KEYS
-    position = F.struct(*ev.journey_position(events))
+    time, *ties = ev.journey_position(events)
+    # Undated events sort first. The log stores the time as a number, so that the statistics of its
+    # files rule out those older than the micro-batch.
+    at = F.coalesce(time, F.lit(clock.FIRST_MS - 1))
 
     def renumber(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, log, batch_id)
-        logged = read_versions(spark, log, batch_id).withColumn("_position", position)
+        write_version(batch.withColumn("_at", at), log, batch_id)
+        logged = read_versions(spark, log, batch_id)
         new = logged.filter(F.col("batch_id") == batch_id)
-        first = new.groupBy(*keys).agg(F.min("_position").alias("_from"))
-        touched = _rows_of(logged, first, keys, row_limit)
-        before = (
-            touched.filter(F.col("_position") < F.col("_from"))
+        oldest = new.agg(F.min("_at")).first()[0]
+        if oldest is None:
+            return
+        position = F.struct("_at", *ties)
+        first = new.groupBy(*keys).agg(F.min(position).alias("_from"))
+        large = skew.hot_keys(logged, keys, row_limit)
+        earlier = (
+            _rows_of(logged, first, keys, large)
+            .filter(position < F.col("_from"))
             .groupBy(*keys)
             .agg(F.count("*").alias("_before"))
-            .withColumnsRenamed({key: f"_b_{key}" for key in keys})
+            .withColumnsRenamed({key: f"_of_{key}" for key in keys})
         )
-        tail = touched.filter(F.col("_position") >= F.col("_from")).select(*batch.columns)
+        recent = logged.filter(F.col("_at") >= oldest)
+        tail = _rows_of(recent, first, keys, large).filter(position >= F.col("_from"))
+        tail = staged(tail.select(*batch.columns), f"{target}_tail")
         journey = ev.customer_journey(tail, row_limit).join(
-            before, skew.same_keys(keys, [f"_b_{key}" for key in keys]), "left"
+            earlier, skew.same_keys(keys, [f"_of_{key}" for key in keys]), "left"
         )
         shifted = F.col("event_order") + F.coalesce(F.col("_before"), F.lit(0))
-        write_version(
-            journey.withColumn("event_order", shifted).select(*batch.columns, "event_order"),
-            target,
-            batch_id,
-        )
+        journey = journey.withColumn("event_order", shifted)
+        write_version(journey.select(*batch.columns, "event_order"), target, batch_id)
 
     return run_to_end(
         events.writeStream.foreachBatch(renumber).option("checkpointLocation", checkpoint)
@@ -112,7 +121,9 @@ def stream_item_cooccurrence(
         write_version(batch, log, batch_id)
         logged = read_versions(spark, log, batch_id)
         touched = logged.filter(F.col("batch_id") == batch_id).select(*keys).distinct()
-        rows = _rows_of(logged, touched, keys, list_length).select(*batch.columns)
+        large = skew.hot_keys(logged, keys, list_length)
+        rows = _rows_of(logged, touched, keys, large).select(*batch.columns)
+        rows = staged(rows, f"{target}_rows")
         write_version(ev.baskets(rows, list_length), target, batch_id)
 
     return run_to_end(
