@@ -13,7 +13,7 @@ from tidemark.operators import skew
 
 
 def skewed_events(spark, n=600):
-    """A third of the rows in one visitor, item and transaction, many within one second."""
+    """A third of the rows in one visitor, item and transaction, many within one minute."""
     rng = random.Random(7)
     rows = []
     for i in range(n):
@@ -21,7 +21,8 @@ def skewed_events(spark, n=600):
         visitor = "hot" if hot else rng.choice(["a", "b", None])
         item = "1" if hot else str(rng.randint(1, 5))
         transaction = None if hot else f"t{rng.randint(1, 40)}"
-        when = rng.choice([None, "bad", *[str(START_MS + rng.randint(0, 9000)) for _ in range(30)]])
+        dated = START_MS + rng.randint(0, 9) * 60_000 + rng.randint(0, 40)
+        when = rng.choice([None, "bad", *[str(dated)] * 30])
         event = rng.choice(["view", "transaction", "transaction"])
         rows.append((when, visitor, event, item, transaction))
     return ev.silver_events(bronze_events(spark, rows)).cache()

@@ -21,11 +21,6 @@ def millis(name: str) -> Column:
     return F.expr(_millis_sql(name))
 
 
-def event_second(name: str) -> Column:
-    """Whole epoch seconds of a millisecond column, truncated towards zero."""
-    return F.expr(f"({_millis_sql(name)}) div 1000")
-
-
 def event_time(name: str) -> Column:
     """UTC wall-clock time of a millisecond column, truncated to the second."""
     return F.expr(f"timestampadd(SECOND, ({_millis_sql(name)}) div 1000, {_EPOCH})")

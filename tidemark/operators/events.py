@@ -101,23 +101,29 @@ def visitor_profile(events: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def journey_position(events: DataFrame) -> list[Column]:
-    """Event time, then every column that can tell two events of the same instant apart."""
+def with_position(events: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Events with their time as a number, and the columns that put a journey in order.
+
+    After the time come all columns that can tell two events of the same instant apart. Events
+    without a valid time get a number below all others.
+    """
     ties = ("event", "transactionid", "_ingestion_timestamp", "_ingestion_id", "_source_file")
-    present = [F.col(name) for name in ties if name in events.columns]
-    return [clock.millis("timestamp"), *present]
+    time = F.coalesce(clock.millis("timestamp"), F.lit(clock.FIRST_MS - 1))
+    present = [name for name in ties if name in events.columns]
+    return events.withColumn("_at", time), ["_at", *present]
 
 
 def customer_journey(events: DataFrame, row_limit: int = skew.GROUP_ROWS) -> DataFrame:
     """Events numbered in time order within each visitor and item."""
+    timed, position = with_position(events)
     return skew.numbered(
-        events,
+        timed,
         JOURNEY_KEYS,
-        [column.asc_nulls_first() for column in journey_position(events)],
-        clock.event_second("timestamp"),
+        [F.col(name).asc_nulls_first() for name in position],
+        F.expr("_at div 60000"),
         "event_order",
         row_limit,
-    )
+    ).drop("_at")
 
 
 def visitor_journey(events: DataFrame, visitor: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one group that a single task may sort.
+# Rows of one group that a single task sorts.
 GROUP_ROWS = 5_000_000
 # Elements of one array cell.
 LIST_LENGTH = 1_000_000
@@ -68,9 +68,8 @@ def numbered(
     An oversized group is numbered slice by slice, each shifted by the rows of the earlier slices.
     """
     ordinary, hot = split_hot(rows, keys, limit)
-    plain = ordinary.withColumn(
-        name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    )
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    plain = ordinary.withColumn(name, position)
 
     sliced = hot.withColumn("_slice", slice_by)
     parts = [*keys, "_slice"]
@@ -85,11 +84,11 @@ def numbered(
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .select(*[F.col(p).alias(f"_at_{p}") for p in parts], "_before")
     )
-    position = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
+    in_slice = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
     shifted = (
-        sliced.withColumn(name, position)
+        sliced.withColumn(name, in_slice)
         .join(offsets, same_keys(parts, [f"_at_{p}" for p in parts]))
-        .withColumn(name, (F.col(name) + F.col("_before")).cast("int"))
+        .withColumn(name, F.col(name) + F.col("_before"))
     )
     return plain.unionByName(shifted.select(*plain.columns))
 
@@ -105,8 +104,10 @@ def listed_in_segments(
     """The values of each (oversized) group as sorted arrays of about ``length`` elements.
 
     Gives ``keys, segment, name``; the segments of a key together hold all its non-null values.
-    Equal values are counted before the shuffle and written out again inside their segment.
+    Equal values are counted before the shuffle and written out again inside their segment, in
+    chunks small enough to fill the segments evenly.
     """
+    chunk = max(1, length // 16)
     copies = rows.groupBy(*keys, value).agg(F.count("*").alias("_copies"))
     copies = copies.withColumn(
         "_copies",
@@ -115,11 +116,11 @@ def listed_in_segments(
     # One row per oversized key, so at most MAX_HOT_KEYS rows.
     sizes = copies.groupBy(*keys).agg(F.sum("_copies").alias("_size"))
     sizes = sizes.withColumnsRenamed(dict(zip(keys, _renamed(keys))))
-    chunk_copies = F.least(F.lit(length), F.col("_copies") - F.col("_chunk") * length).cast("int")
+    chunk_copies = F.least(F.lit(chunk), F.col("_copies") - F.col("_chunk") * chunk).cast("int")
     segments = F.ceil(F.col("_size") / length)
     spread = (
         copies.join(F.broadcast(sizes), same_keys(keys, _renamed(keys)))
-        .withColumn("_chunk", F.explode(F.expr(f"sequence(0, (_copies - 1) div {length})")))
+        .withColumn("_chunk", F.explode(F.expr(f"sequence(0, (_copies - 1) div {chunk})")))
         .withColumn("segment", F.pmod(F.xxhash64(value, "_chunk"), segments).cast("int"))
         .withColumn(
             "_values",

@@ -57,10 +57,10 @@ profile AS (
   FROM silver GROUP BY visitorid),
 journey AS (
   SELECT "timestamp", visitorid, event, itemid, transactionid, event_time,
-         CAST(row_number() OVER (PARTITION BY visitorid, itemid
+         row_number() OVER (PARTITION BY visitorid, itemid
            ORDER BY ms NULLS FIRST, event NULLS FIRST, transactionid NULLS FIRST,
                     CAST(ingested_ms AS VARCHAR) NULLS FIRST, _ingestion_id NULLS FIRST)
-           AS INTEGER) AS event_order
+           AS event_order
   FROM silver),
 basket AS (
   SELECT transactionid, string_agg(itemid, ',' ORDER BY itemid) AS items_bought_together,

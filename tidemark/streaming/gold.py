@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions import clock
 from tidemark.operators import events as ev
 from tidemark.operators import skew
 from tidemark.sinks.tables import read_versions, refresh_stream, staged, write_version
@@ -65,19 +64,20 @@ def stream_customer_journey(
     """
     spark = events.sparkSession
     keys = ev.JOURNEY_KEYS
-    time, *ties = ev.journey_position(events)
-    # Undated events sort first. The log stores the time as a number, so that the statistics of its
-    # files rule out those older than the micro-batch.
-    at = F.coalesce(time, F.lit(clock.FIRST_MS - 1))
 
     def renumber(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch.withColumn("_at", at), log, batch_id)
+        # The log stores the time as a number, so that the statistics of its files rule out those
+        # older than the micro-batch.
+        timed, order = ev.with_position(batch)
+        write_version(timed, log, batch_id)
         logged = read_versions(spark, log, batch_id)
         new = logged.filter(F.col("batch_id") == batch_id)
         oldest = new.agg(F.min("_at")).first()[0]
         if oldest is None:
+            empty = batch.withColumn("event_order", F.lit(0).cast("bigint"))
+            write_version(empty, target, batch_id)
             return
-        position = F.struct("_at", *ties)
+        position = F.struct(*order)
         first = new.groupBy(*keys).agg(F.min(position).alias("_from"))
         large = skew.hot_keys(logged, keys, row_limit)
         earlier = (
