@@ -94,6 +94,10 @@ checked AS (
 """
 
 _RAW = 'SELECT "timestamp", itemid, property, "value" FROM raw'
+_SILVER = (
+    "SELECT *, CAST(year(event_date) AS INTEGER) AS event_year, "
+    "CAST(month(event_date) AS INTEGER) AS event_month FROM silver"
+)
 _EVENT_COLUMNS = '"timestamp", visitorid, event, itemid, transactionid'
 _JOURNEY = f"SELECT {_EVENT_COLUMNS}, event_time, event_order FROM journey"
 _BASKET = "SELECT transactionid, items_bought_together, segment FROM basket"
@@ -110,8 +114,8 @@ _OVER_PROPERTIES = {
     "CAST((SELECT count(*) FROM raw) AS DOUBLE) / nullif(count(*), 0) AS dedup_ratio FROM silver",
     "schema_evolution_append": f"{_RAW.replace(' FROM', ', CAST(NULL AS VARCHAR) AS _load_id FROM')}"
     f" UNION ALL {_RAW.replace(' FROM', ', ' + chr(39) + 'second' + chr(39) + ' FROM')}",
-    "silver_item_properties": "SELECT *, CAST(year(event_date) AS INTEGER) AS event_year, "
-    "CAST(month(event_date) AS INTEGER) AS event_month FROM silver",
+    "silver_item_properties": _SILVER,
+    "silver_partitioned_table": _SILVER,
     "silver_quality": "SELECT count(*) AS total_records, count(DISTINCT item_id) AS unique_items, "
     "count(DISTINCT property_id) AS unique_properties, min(event_time) AS earliest_event, "
     "max(event_time) AS latest_event, count(DISTINCT event_date) AS date_range FROM silver",
@@ -159,6 +163,12 @@ _OVER_EVENTS = {
     "ingestion_latency": "SELECT ms AS event_timestamp, visitorid, event, "
     "CAST(itemid AS INTEGER) AS item_id, CAST(make_timestamp(ms * 1000) AS DATE) AS event_date, "
     "CAST(ingested_ms - ms AS DOUBLE) / 1000.0 AS ingestion_latency_seconds FROM bronze",
+    "events_appended_by_date": f"SELECT {_EVENT_COLUMNS}, "
+    "CAST(make_timestamp(ms * 1000) AS DATE) AS event_date FROM bronze",
+    "events_batch_callback": f"SELECT {_EVENT_COLUMNS}, TRUE AS enriched FROM bronze",
+    "events_quarantine": f"SELECT {_EVENT_COLUMNS}, 'failed' AS validation_status, "
+    "'unknown_event' AS validation_error FROM bronze "
+    "WHERE event NOT IN ('view', 'addtocart', 'transaction')",
     "events_validation_report": "SELECT validation_status, validation_error, "
     "count(*) AS record_count FROM checked GROUP BY ALL",
     "validation_error_count": "SELECT count(*) AS errors FROM checked "
@@ -189,6 +199,8 @@ _OVER_EVENTS = {
     f"WHERE list_contains(string_split(items_bought_together, ','), '{LOOKUP_ITEM}')",
     "event_metrics_5m": "SELECT * FROM metrics",
     "event_metrics_5m_stream": "SELECT * FROM metrics",
+    "event_metrics_5m_watermark": "SELECT * FROM metrics "
+    "WHERE window_end <= (SELECT max(moment) FROM silver) - INTERVAL 10 MINUTE",
     "visitor_behavior_10m": "SELECT * FROM behavior",
     "visitor_behavior_10m_stream": "SELECT * EXCLUDE (unique_items), "
     "TRUE AS unique_items_close FROM behavior",

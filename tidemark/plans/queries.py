@@ -18,7 +18,14 @@ from tidemark.operators import quality, windows
 from tidemark.plans import batch_layer, fixtures, speed_layer
 from tidemark.schemas import EVENT_CSV, EVENT_MESSAGE, EVENT_TYPES, PROPERTY_CSV
 from tidemark.session import workspace
-from tidemark.sinks.tables import append_stream, read_table, refresh_stream, write_table
+from tidemark.sinks.tables import (
+    append_batches,
+    append_stream,
+    read_table,
+    read_versions,
+    refresh_stream,
+    write_table,
+)
 from tidemark.sinks.upsert import read_latest, upsert_stream
 from tidemark.sources import messages
 from tidemark.sources.files import read_csv, stream_csv
@@ -106,6 +113,16 @@ def silver_item_properties(spark, sf_dir):
     return silver.drop("ingestion_timestamp", "source_file")
 
 
+@query
+def silver_partitioned_table(spark, sf_dir):
+    """Silver stored by year and month, rebuilt over its own earlier version."""
+    path = f"{workspace(spark, 'silver_partitioned_table')}/silver"
+    for _ in range(2):
+        silver = fixtures.silver_item_properties(spark, sf_dir)
+        write_table(silver, path, partition_by=("event_year", "event_month"))
+    return read_table(spark, path).drop("ingestion_timestamp", "source_file")
+
+
 @query
 def silver_quality(spark, sf_dir):
     return quality.silver_quality(fixtures.silver_item_properties(spark, sf_dir))
@@ -249,6 +266,29 @@ def ingestion_latency(spark, sf_dir):
     )
 
 
+@query
+def events_appended_by_date(spark, sf_dir):
+    """The exploratory silver table: appended, partitioned by date."""
+    path = f"{workspace(spark, 'events_appended_by_date')}/silver"
+    rows = ev.with_latency(fixtures.bronze_events(spark, sf_dir))
+    write_table(rows, path, mode="append", partition_by=["event_date"])
+    return read_table(spark, path).select(*EVENT_COLUMNS, "event_date")
+
+
+@query
+def events_batch_callback(spark, sf_dir):
+    """A stream appended by a callback that enriches each micro-batch."""
+    home = workspace(spark, "events_batch_callback")
+    append_batches(
+        fixtures.bronze_events_stream(spark, sf_dir),
+        f"{home}/bronze",
+        f"{home}/checkpoint",
+        lambda batch: batch.withColumn("_ingestion_time", F.current_timestamp()),
+    )
+    stored = read_versions(spark, f"{home}/bronze")
+    return stored.select(*EVENT_COLUMNS, F.col("_ingestion_time").isNotNull().alias("enriched"))
+
+
 def _checked_events(spark, sf_dir):
     return validation.with_status(
         fixtures.bronze_events(spark, sf_dir), validation.event_error(EVENT_TYPES)
@@ -260,6 +300,12 @@ def events_validation_report(spark, sf_dir):
     return quality.validation_report(_checked_events(spark, sf_dir))
 
 
+@query
+def events_quarantine(spark, sf_dir):
+    rejected = validation.failed(_checked_events(spark, sf_dir))
+    return rejected.select(*EVENT_COLUMNS, "validation_status", "validation_error")
+
+
 @query
 def validation_error_count(spark, sf_dir):
     return quality.validation_error_count(_checked_events(spark, sf_dir))
@@ -445,6 +491,16 @@ def event_metrics_5m_stream(spark, sf_dir):
     return read_table(spark, f"{home}/metrics")
 
 
+@query
+def event_metrics_5m_watermark(spark, sf_dir):
+    """Append mode: each window is written once, when the watermark has passed its end."""
+    home = workspace(spark, "event_metrics_5m_watermark")
+    events = fixtures.silver_events_stream(spark, sf_dir)
+    metrics = windows.event_metrics(events, watermark="10 minutes")
+    append_stream(metrics, f"{home}/metrics", f"{home}/checkpoint")
+    return read_table(spark, f"{home}/metrics")
+
+
 @query
 def visitor_behavior_10m_stream(spark, sf_dir):
     home = workspace(spark, "visitor_behavior_10m_stream")

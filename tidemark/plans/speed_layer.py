@@ -14,6 +14,7 @@ from tidemark.sinks.tables import append_stream, read_table, stream_table
 from tidemark.sources.files import stream_csv
 from tidemark.sources.messages import message_stream, publish_events
 from tidemark.streaming import gold
+from tidemark.streaming.runs import await_all
 
 
 def publish(spark: SparkSession, landing: str, home: str) -> None:
@@ -34,23 +35,21 @@ def to_silver(spark: SparkSession, home: str) -> None:
 
 
 def to_gold(spark: SparkSession, home: str) -> None:
-    def new_events() -> DataFrame:
-        return stream_table(spark, f"{home}/silver")
+    """Three independent queries over silver, side by side."""
 
-    gold.stream_visitor_profile(
-        new_events(), f"{home}/visitor_profile", f"{home}/checkpoints/visitor_profile"
-    )
-    gold.stream_customer_journey(
-        new_events(),
-        f"{home}/customer_journey_log",
-        f"{home}/customer_journey",
-        f"{home}/checkpoints/customer_journey",
-    )
-    gold.stream_item_cooccurrence(
-        new_events(),
-        f"{home}/item_cooccurrence_log",
-        f"{home}/item_cooccurrence",
-        f"{home}/checkpoints/item_cooccurrence",
+    def places(name: str, *more: str) -> list[str]:
+        return [*more, f"{home}/{name}", f"{home}/checkpoints/{name}"]
+
+    def log(name: str) -> list[str]:
+        return places(name, f"{home}/{name}_log")
+
+    silver = stream_table(spark, f"{home}/silver")
+    await_all(
+        [
+            gold.stream_visitor_profile(silver, *places("visitor_profile"), wait=False),
+            gold.stream_customer_journey(silver, *log("customer_journey"), wait=False),
+            gold.stream_item_cooccurrence(silver, *log("item_cooccurrence"), wait=False),
+        ]
     )
 
 

@@ -95,12 +95,15 @@ def append_batches(rows: DataFrame, target: str, checkpoint: str, enrich) -> Str
     )
 
 
-def refresh_stream(aggregate: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def refresh_stream(
+    aggregate: DataFrame, target: str, checkpoint: str, wait: bool = True
+) -> StreamingQuery:
     """Replaces the whole table with the complete aggregate after each micro-batch."""
     return run_to_end(
         aggregate.writeStream.outputMode("complete")
         .foreachBatch(lambda batch, _: write_table(batch, target))
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", checkpoint),
+        wait=wait,
     )
 
 

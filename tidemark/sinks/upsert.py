@@ -23,12 +23,15 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     return rows.filter(F.col("_age") == 1).drop("_age", "batch_id")
 
 
-def upsert_stream(aggregate: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def upsert_stream(
+    aggregate: DataFrame, path: str, checkpoint: str, wait: bool = True
+) -> StreamingQuery:
     """Writes only the groups that changed in each micro-batch (update mode)."""
     return run_to_end(
         aggregate.writeStream.outputMode("update")
         .foreachBatch(lambda batch, batch_id: write_version(batch, path, batch_id))
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", checkpoint),
+        wait=wait,
     )
 
 

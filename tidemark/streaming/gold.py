@@ -16,7 +16,7 @@ from tidemark.streaming.runs import run_to_end
 
 
 def stream_visitor_profile(
-    events: DataFrame, target: str, checkpoint: str, complete: bool = True
+    events: DataFrame, target: str, checkpoint: str, complete: bool = True, wait: bool = True
 ) -> StreamingQuery:
     """Visitor profiles with approximate distinct items.
 
@@ -24,7 +24,7 @@ def stream_visitor_profile(
     to be read with ``read_profiles``.
     """
     sink = refresh_stream if complete else upsert_stream
-    return sink(ev.visitor_profile(events, approximate=True), target, checkpoint)
+    return sink(ev.visitor_profile(events, approximate=True), target, checkpoint, wait)
 
 
 def read_profiles(spark: SparkSession, target: str) -> DataFrame:
@@ -55,6 +55,7 @@ def stream_customer_journey(
     target: str,
     checkpoint: str,
     row_limit: int = skew.GROUP_ROWS,
+    wait: bool = True,
 ) -> StreamingQuery:
     """Numbered journeys, kept exact when events arrive late; read with ``read_journeys``.
 
@@ -97,9 +98,8 @@ def stream_customer_journey(
         journey = journey.withColumn("event_order", shifted)
         write_version(journey.select(*batch.columns, "event_order"), target, batch_id)
 
-    return run_to_end(
-        events.writeStream.foreachBatch(renumber).option("checkpointLocation", checkpoint)
-    )
+    writer = events.writeStream.foreachBatch(renumber)
+    return run_to_end(writer.option("checkpointLocation", checkpoint), wait=wait)
 
 
 def read_journeys(spark: SparkSession, target: str) -> DataFrame:
@@ -112,6 +112,7 @@ def stream_item_cooccurrence(
     target: str,
     checkpoint: str,
     list_length: int = skew.LIST_LENGTH,
+    wait: bool = True,
 ) -> StreamingQuery:
     """Baskets, rebuilt for the transactions a micro-batch touches; read with ``read_baskets``."""
     spark = events.sparkSession
@@ -126,11 +127,8 @@ def stream_item_cooccurrence(
         rows = staged(rows, f"{target}_rows")
         write_version(ev.baskets(rows, list_length), target, batch_id)
 
-    return run_to_end(
-        ev.purchases(events)
-        .writeStream.foreachBatch(rebuild)
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = ev.purchases(events).writeStream.foreachBatch(rebuild)
+    return run_to_end(writer.option("checkpointLocation", checkpoint), wait=wait)
 
 
 def read_baskets(spark: SparkSession, target: str) -> DataFrame:
