@@ -34,7 +34,7 @@ from tidemark.streaming import gold
 Query = Callable[[SparkSession, str], DataFrame]
 
 EVENT_COLUMNS = EVENT_CSV.fieldNames()
-LOOKUP_VISITOR = "42"
+LOOKUP_VISITOR = "7"
 LOOKUP_ITEM = "19"
 
 _QUERIES: dict[str, Query] = {}

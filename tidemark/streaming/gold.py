@@ -73,6 +73,9 @@ def stream_customer_journey(
         write_version(timed, log, batch_id)
         logged = read_versions(spark, log, batch_id)
         new = logged.filter(F.col("batch_id") == batch_id)
+        if batch_id == 0:  # The first load, often the largest: there is nothing to merge with.
+            write_version(ev.customer_journey(new.select(*batch.columns), row_limit), target, 0)
+            return
         oldest = new.agg(F.min("_at")).first()[0]
         if oldest is None:
             empty = batch.withColumn("event_order", F.lit(0).cast("bigint"))
@@ -122,10 +125,12 @@ def stream_item_cooccurrence(
         write_version(batch, log, batch_id)
         logged = read_versions(spark, log, batch_id)
         touched = logged.filter(F.col("batch_id") == batch_id).select(*keys).distinct()
-        large = skew.hot_keys(logged, keys, list_length)
-        rows = _rows_of(logged, touched, keys, large).select(*batch.columns)
-        rows = staged(rows, f"{target}_rows")
-        write_version(ev.baskets(rows, list_length), target, batch_id)
+        rows = logged
+        if batch_id > 0:
+            large = skew.hot_keys(logged, keys, list_length)
+            rows = _rows_of(logged, touched, keys, large).select(*batch.columns)
+            rows = staged(rows, f"{target}_rows")
+        write_version(ev.baskets(rows.select(*batch.columns), list_length), target, batch_id)
 
     writer = ev.purchases(events).writeStream.foreachBatch(rebuild)
     return run_to_end(writer.option("checkpointLocation", checkpoint), wait=wait)
