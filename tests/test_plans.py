@@ -9,6 +9,7 @@ from tests.helpers import tuples
 from tidemark.operators import events as ev
 from tidemark.operators import properties as props
 from tidemark.plans import batch_layer, fixtures, speed_layer
+from tidemark.schemas import EVENT_CSV, ITEM_SILVER
 from tidemark.sinks.tables import read_table, write_table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -72,9 +73,23 @@ def test_batch_layer_on_catalog_tables(spark, tmp_path):
     )
 
 
+def test_batch_layer_on_a_file_without_rows(spark, tmp_path):
+    home = str(tmp_path / "home")
+    (tmp_path / "home" / "landing").mkdir(parents=True)
+    (tmp_path / "home" / "landing" / "a.csv").write_text("timestamp,itemid,property,value\n")
+    tables = [f"{home}/{name}" for name in ("bronze", "silver", "summary", "statistics")]
+    written = batch_layer.run(spark, f"{home}/landing", f"{home}/c", *tables)
+    assert set(written.values()) == {0}
+    silver = read_table(spark, tables[1], schema=ITEM_SILVER)
+    assert silver.count() == 0
+    assert set(silver.columns) == set(props.silver_item_properties(
+        read_table(spark, tables[0])
+    ).columns)
+
+
 def test_speed_layer_in_two_drops(spark, tmp_path):
     home = str(tmp_path / "home")
-    rows = fixtures.bronze_events(spark, SF_DIR).select(*speed_layer.EVENT_CSV.fieldNames())
+    rows = fixtures.bronze_events(spark, SF_DIR).select(*EVENT_CSV.fieldNames())
     early = rows.filter("timestamp < '1705000000000'")
     late = rows.filter("timestamp >= '1705000000000'")
     for part in (late, early):

@@ -7,18 +7,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import properties as props
 from tidemark.operators import quality
-from tidemark.schemas import PROPERTY_CSV
+from tidemark.schemas import ITEM_SILVER, PROPERTY_CSV
 from tidemark.sinks.tables import append_stream, read_table, write_table
 from tidemark.sources.files import stream_csv
 
 SILVER_PARTITIONS = ("event_year", "event_month", "event_date")
 
 
+def _read_silver(spark: SparkSession, silver: str) -> DataFrame:
+    return read_table(spark, silver, schema=ITEM_SILVER)
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -40,7 +44,7 @@ def refine(
     """Rebuilds silver from all of bronze; returns its row count and refuses NULL keys."""
     rows = props.silver_item_properties(read_table(spark, bronze))
     written = write_table(rows, silver, partition_by=partition_by)
-    missing = quality.null_key_check(read_table(spark, silver)).first()
+    missing = quality.null_key_check(_read_silver(spark, silver)).first()
     if any(missing):
         raise ValueError(f"NULL keys in {silver}: {missing.asDict()}")
     return written
@@ -50,7 +54,7 @@ def aggregate(
     spark: SparkSession, silver: str, summary: str, statistics: str
 ) -> dict[str, int]:
     """Rebuilds both gold tables; returns their row counts."""
-    rows = read_table(spark, silver)
+    rows = _read_silver(spark, silver)
     return {
         summary: write_table(props.item_property_summary(rows), summary),
         statistics: write_table(props.property_statistics(rows), statistics),

@@ -11,6 +11,21 @@ PROPERTY_CSV = T.StructType(
     ]
 )
 
+ITEM_SILVER = T.StructType(
+    [
+        T.StructField("timestamp_unix", T.LongType()),
+        T.StructField("event_time", T.TimestampNTZType()),
+        T.StructField("item_id", T.IntegerType()),
+        T.StructField("property_id", T.IntegerType()),
+        T.StructField("property_value", T.StringType()),
+        T.StructField("ingestion_timestamp", T.TimestampType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("event_date", T.DateType()),
+        T.StructField("event_year", T.IntegerType()),
+        T.StructField("event_month", T.IntegerType()),
+    ]
+)
+
 # Read as text so that a bad cell can be reported instead of silently becoming NULL.
 EVENT_CSV = T.StructType(
     [

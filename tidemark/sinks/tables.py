@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemark.streaming.runs import run_to_end
 
@@ -22,12 +23,20 @@ def _is_path(target: str) -> bool:
 
 
 def read_table(
-    spark: SparkSession, target: str, fmt: str = FORMAT, merge_schema: bool = False
+    spark: SparkSession,
+    target: str,
+    fmt: str = FORMAT,
+    merge_schema: bool = False,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """A whole table; ``merge_schema`` also sees columns that only later files have."""
+    """A whole table; ``merge_schema`` also sees columns that only later files have.
+
+    A path may hold no file yet, as after a partitioned write of no rows, if ``schema`` is given.
+    """
     if not _is_path(target):
         return spark.table(target)
-    return spark.read.option("mergeSchema", merge_schema).format(fmt).load(target)
+    reader = spark.read.option("mergeSchema", merge_schema).format(fmt)
+    return (reader.schema(schema) if schema else reader).load(target)
 
 
 def stream_table(
