@@ -1,12 +1,13 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. A sentence has a logistic score of its distinct words; the
-document's score is the noisy-or of its sentences, ``1 - product(1 - p)``. Only documents carry
+A document is a bag of sentences. A sentence has a logistic score of the features of its distinct
+words, a word's features being itself and its beginnings of ``PREFIXES`` letters, so inflected forms
+share what they have in common; the document's score is the noisy-or of its sentences, ``1 - product(1 - p)``. Only documents carry
 labels: the likelihood of those labels trains the word weights, and the trained sentence scores then
 locate the offending sentences.
 
 The model is fitted on at most ``TRAIN_ROWS`` labelled rows, the ones of least id hash, with repeated
-texts taken once. Its features are words whose document frequencies differ between the classes by
+texts taken once. It uses the features whose document frequencies differ between the classes by
 ``LEAST_Z`` standard errors, so their number does not grow with the corpus. Everything else covers
 all rows: each whole text is scored in one pass.
 
@@ -31,12 +32,16 @@ from tidemark.llm.common import map_rows, remainder, table
 
 HELD_OUT = 5
 TRAIN_ROWS = 8_000
-LEAST_Z = 5.0
+LEAST_Z = 4.0
 LEAST_DOCUMENTS = 5
 STEPS = 400
+START = 0.25
 RATE = 0.1
-DECAY = 2e-4
+DECAY = 1e-5
 MOST_FEATURES = 20_000
+PREFIXES = (3, 4, 5, 6, 7)
+# Words whose weights a Python worker remembers.
+CACHE_ENTRIES = 400_000
 
 _END = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -56,9 +61,31 @@ def sentences(text: str | None) -> Iterator[tuple[int, int, list[str]]]:
         yield start, len(text), words
 
 
+def features(words: list[str]) -> set[str]:
+    """The words and their beginnings, marked by a star."""
+    found = set(words)
+    for word in tuple(found):
+        found.update(word[:n] + "*" for n in PREFIXES if len(word) > n)
+    return found
+
+
+class WordWeights(dict):
+    """Sum of the weights of a word's features."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= CACHE_ENTRIES:
+            self.clear()
+        self[word] = value = sum(self.weights.get(f, 0.0) for f in features([word]))
+        return value
+
+
 def fit(texts: list[str], labels: list[int]) -> dict[str, float]:
     """Word weights by full-batch descent; the bias is under the empty word."""
-    bags = [[set(words) for _, _, words in sentences(t)] for t in texts]
+    bags = [[features(words) for _, _, words in sentences(t)] for t in texts]
     toxic = np.array(labels, bool)
     positives, negatives = int(toxic.sum()), int((~toxic).sum())
     if not positives or not negatives:
@@ -74,8 +101,10 @@ def fit(texts: list[str], labels: list[int]) -> dict[str, float]:
         p, q, both = a / positives, b / negatives, (a + b) / (positives + negatives)
         error = math.sqrt(both * (1 - both) * (1 / positives + 1 / negatives)) or math.inf
         if abs(p - q) / error >= LEAST_Z:
-            chosen.append((-abs(p - q) / error, word))
-    number = {word: i for i, (_, word) in enumerate(sorted(chosen)[:MOST_FEATURES])}
+            odds = math.log((a + 0.5) / (positives - a + 0.5)) - math.log((b + 0.5) / (negatives - b + 0.5))
+            chosen.append((-abs(p - q) / error, word, odds))
+    chosen = sorted(chosen)[:MOST_FEATURES]
+    number = {word: i for i, (_, word, _) in enumerate(chosen)}
 
     feature, sentence_of, bag_of, sentence = [], [], [], 0
     for b, bag in enumerate(bags):
@@ -86,7 +115,8 @@ def fit(texts: list[str], labels: list[int]) -> dict[str, float]:
             bag_of.append(b)
             sentence += 1
     feature, sentence_of, bag_of = (np.array(x, np.int64) for x in (feature, sentence_of, bag_of))
-    weights, bias = np.zeros(len(number)), -6.0
+    # A start at the log odds gives words that never occur alone their share of the weight.
+    weights, bias = START * np.array([odds for _, _, odds in chosen]), -6.0
     state = np.zeros((2, len(number) + 1))
     for step in range(1, STEPS + 1):
         z = bias + np.bincount(sentence_of, weights[feature], minlength=sentence)
@@ -128,15 +158,16 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
     return {row.word: row.weight for row in fitted.collect()}  # at most MOST_FEATURES + 1
 
 
-def document_scores(text: str | None, weights: dict[str, float]) -> tuple[float, int, int, float]:
+def document_scores(
+    text: str | None, bias: float | None, of_word: WordWeights
+) -> tuple[float, int, int, float]:
     """Noisy-or of the sentences, and the worst sentence: its start, end and score."""
-    if not weights:
+    if bias is None:
         return 0.0, 0, 0, 0.0
-    bias, get = weights[""], weights.get
     none = math.log1p(math.exp(min(bias, 30)))
     logs, worst = 0.0, (-math.inf, 0, 0)
     for start, end, words in sentences(text):
-        z = bias + sum(get(w, 0.0) for w in set(words))
+        z = bias + sum(map(of_word.__getitem__, set(words)))
         logs += none if z == bias else math.log1p(math.exp(min(z, 30)))
         if z > worst[0]:
             worst = (z, start, end)
@@ -151,7 +182,9 @@ def toxicity(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(weights)
 
     def score(columns: dict[str, list]) -> dict[str, list]:
-        rows = [document_scores(text, shipped.value) for text in columns["text"]]
+        of_word = WordWeights(shipped.value)
+        bias = shipped.value.get("")
+        rows = [document_scores(text, bias, of_word) for text in columns["text"]]
         names = ("score", "worst_start", "worst_end", "worst_score")
         return {"doc_id": columns["doc_id"]} | dict(zip(names, list(zip(*rows)) or [()] * 4))
 
