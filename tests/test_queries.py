@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from tidemark.plans import oracle, queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = spark_entry.queries()
-SQL = spark_entry.oracle_sql()
+QUERIES = queries.all_queries()
+SQL = oracle.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -38,5 +39,10 @@ def test_query_equals_sql(spark, duck, name):
     assert got
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert set(SQL) <= set(spark_entry.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert spark_entry.entry(spark).count() > 0
