@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.session import workspace
 
 SPACE = r"[\x20\x09-\x0D]+"
-# Rows of a broadcast table; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 300_000
+# Bytes in the files of a broadcast table; a larger one is joined by a shuffle.
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +37,14 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def small_enough(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``rows`` (cheap to read) with a broadcast hint if a count shows at most ``limit`` rows."""
-    few = rows.limit(limit + 1).count() <= limit
-    return F.broadcast(rows) if few else rows
+def small_enough(rows: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table with a broadcast hint, if its files have at most ``limit`` bytes.
+
+    For joins whose other side carries whole texts, which a shuffle would move; in all others Spark
+    decides by its own threshold.
+    """
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    return F.broadcast(rows) if size <= limit else rows
 
 
 def as_text(column: str = "text") -> Column:

@@ -182,7 +182,7 @@ def _candidates(rows: DataFrame, indexed: DataFrame) -> DataFrame:
         F.min("print").alias("low"), F.max("print").alias("high"), F.min("at").alias("at")
     )
     shared = stored(shared.filter("low < high and at < 2").select("key"), "shared-segments")
-    prints = keyed.join(small_enough(shared), "key").select(F.col("print").alias("_print"))
+    prints = keyed.join(shared, "key").select(F.col("print").alias("_print"))
     prints = stored(prints.distinct(), "candidate-prints")
     chosen = rows.join(small_enough(prints), F.xxhash64("line") == F.col("_print"), "left_semi")
     return chosen.select("line_id", "line", "size").dropDuplicates(["line_id"])
@@ -200,14 +200,14 @@ def removed_lines(
     lines = stored(_candidates(rows, indexed), "candidate-lines")
     classes = connected_components(links(lines, pairs_within))
     classes = classes.withColumnsRenamed({"node": "line_id"})
-    members = firsts.join(small_enough(classes), "line_id")
+    members = firsts.join(classes, "line_id")
     earliest = members.groupBy("component").agg(F.min("first").alias("earliest"))
     classed = members.join(earliest, "component").select("line_id", "earliest")
     classed = stored(classed, "classed-lines")
-    alone = firsts.filter("n > 1").join(small_enough(classed.select("line_id")), "line_id", "left_anti")
+    alone = firsts.filter("n > 1").join(classed.select("line_id"), "line_id", "left_anti")
     alone = alone.select("line_id", F.col("first").alias("earliest"))
     repeated = stored(classed.unionByName(alone), "repeated-lines")
-    gone = indexed.select("line_id", "place").join(small_enough(repeated), "line_id")
+    gone = indexed.select("line_id", "place").join(repeated, "line_id")
     gone = gone.filter("place <> earliest").select("place.*")
     found = gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
     return stored(found, "removed-lines")
@@ -236,7 +236,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = removed_lines(docs).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     lines = docs.select("doc_id", text_hash().alias("text_hash"), F.size(F.split("text", "\n")).alias("n_lines"))
     joined = lines.join(
-        small_enough(removed), same(F.col("doc_id"), F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left"
+        removed, same(F.col("doc_id"), F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left"
     )
     return joined.select(
         "doc_id",

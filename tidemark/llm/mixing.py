@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import same, small_enough, stored, table, word_count
+from tidemark.llm.common import same, stored, table, word_count
 
 SHARE = 1.5
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -102,7 +102,7 @@ def multipliers(cells: DataFrame, goals: DataFrame, cap: int = CAP, steps: int =
     state = stored(state, "dual")
     cells = cells.withColumnRenamed("source", "_s")
     for _ in range(steps):
-        joined = cells.join(small_enough(state), same(F.col("_s"), F.col("source"))).withColumn(
+        joined = cells.join(state, same(F.col("_s"), F.col("source"))).withColumn(
             "x", F.col("size") / F.col("mean")
         )
         words = F.col("n") * F.col("size") * F.exp(_log_rate(cap))
@@ -195,7 +195,7 @@ def mix(
     )
     plan = stored(plan, "plan")
     dealt = sized.join(
-        small_enough(plan), same(F.col("source"), F.col("_s")) & (F.col("size") == F.col("_size"))
+        plan, same(F.col("source"), F.col("_s")) & (F.col("size") == F.col("_size"))
     )
     chance = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     dealt = dealt.withColumn("_order", chance).withColumn(

@@ -182,7 +182,7 @@ def judged(docs: DataFrame, group_documents: int = GROUP_DOCUMENTS) -> DataFrame
     )
     chosen = stored(chosen, "chosen-fences")
     joined = rows.join(
-        small_enough(chosen), same(F.col("lang"), F.col("_lang")) & same(F.col("source"), F.col("_source")), "left"
+        chosen, same(F.col("lang"), F.col("_lang")) & same(F.col("source"), F.col("_source")), "left"
     )
     values = F.create_map(*[x for m in MEASURES for x in (F.lit(m), F.col(m))])
 

@@ -168,7 +168,7 @@ def near_duplicates(
     least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
     by_print = stored(rooted.select("fp", "component").join(least, "component"), "by-print")
     # Many copies share a print; the join is dealt by print, and AQE splits a large one.
-    return rows.join(small_enough(by_print), "fp")
+    return rows.join(by_print, "fp")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

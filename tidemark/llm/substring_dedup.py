@@ -147,26 +147,28 @@ def path_table(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> D
     return map_rows(_source(docs), cut, schema)
 
 
-def _edges_of(docs: DataFrame, mixed: DataFrame, window: int) -> DataFrame:
+def _edges_of(docs: DataFrame, mixed: DataFrame, window: int, anchor: int) -> DataFrame:
     """``doc_id, text_hash, minimizer, edge, first`` for the single edges of paths in ``mixed``."""
-    lists = mixed.groupBy("doc_id", "text_hash").agg(
-        F.array_distinct(F.collect_list(F.struct("first", "edges", "minimizer"))).alias("paths")
-    )
+    lists = mixed.groupBy("doc_id", "text_hash").agg(F.collect_set("first").alias("firsts"))
     lists = stored(lists, "mixed-paths").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     match = same(F.col("doc_id"), F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    joined = _source(docs).join(small_enough(lists), match).select("doc_id", "text_hash", "text", "paths")
+    joined = _source(docs).join(small_enough(lists), match).select("doc_id", "text_hash", "text", "firsts")
 
     def write(columns: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {n: [] for n in ("doc_id", "text_hash", "minimizer", "edge", "first")}
-        for doc_id, key, text, found in zip(*(columns[n] for n in ("doc_id", "text_hash", "text", "paths"))):
-            starts = np.concatenate([np.arange(p["first"], p["first"] + p["edges"]) for p in found])
-            edges = edge_hashes(_words(text), starts, window)
-            for p in found:
-                out["minimizer"] += [p["minimizer"]] * p["edges"]
-            out["doc_id"] += [doc_id] * len(starts)
-            out["text_hash"] += [key] * len(starts)
-            out["edge"] += edges.view(np.int64).tolist()
-            out["first"] += starts.tolist()
+        for doc_id, key, text, firsts in zip(*(columns[n] for n in ("doc_id", "text_hash", "text", "firsts"))):
+            words = _words(text)
+            for minimizer, _, first, count in paths(words, window, anchor):
+                mine = np.isin(first, firsts)
+                first, count = first[mine], count[mine]
+                # The edges of all chosen paths: each path's first, plus 0, 1, ... within the path.
+                inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                starts = np.repeat(first, count) + inside
+                out["doc_id"] += [doc_id] * len(starts)
+                out["text_hash"] += [key] * len(starts)
+                out["minimizer"] += np.repeat(minimizer[mine], count).view(np.int64).tolist()
+                out["edge"] += edge_hashes(words, starts, window).view(np.int64).tolist()
+                out["first"] += starts.tolist()
         return out
 
     kind = dict(docs.dtypes)["doc_id"]
@@ -180,13 +182,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         F.count("*").alias("n"), (F.min("path") < F.max("path")).alias("mixed")
     )
     kinds = stored(kinds.filter("n > 1").select("minimizer", "mixed"), "repeated-minimizers")
-    shared = stored(table_.join(small_enough(kinds), "minimizer"), "shared-paths")
+    shared = stored(table_.join(kinds, "minimizer"), "shared-paths")
     whole = shared.filter("not mixed").select("doc_id", "text_hash", "first", "edges")
 
-    edges = stored(_edges_of(docs, shared.filter("mixed"), window), "single-edges")
+    edges = stored(_edges_of(docs, shared.filter("mixed"), window, anchor), "single-edges")
     often = edges.groupBy("minimizer", "edge").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     often = stored(often, "repeated-edges")
-    single = edges.join(small_enough(often), ["minimizer", "edge"])
+    single = edges.join(often, ["minimizer", "edge"])
     single = single.select("doc_id", "text_hash", "first", F.lit(1).alias("edges"))
 
     places = whole.unionByName(single).groupBy("doc_id", "text_hash")
