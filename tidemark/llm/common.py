@@ -43,7 +43,7 @@ def small_enough(rows: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     For joins whose other side carries whole texts, which a shuffle would move; in all others Spark
     decides by its own threshold.
     """
-    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return F.broadcast(rows) if size <= limit else rows
 
 
