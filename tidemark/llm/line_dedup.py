@@ -51,7 +51,6 @@ def edits_within(left: str, right: str, limit: int) -> Column:
     Bit i of the state for d edits tells whether d edits suffice to reach row ``j - limit + i`` of
     column j; a column takes a constant number of bit operations.
     """
-    a, b = F.split(F.col(left), ""), F.split(F.col(right), "")
     lengths = F.char_length(right) - F.char_length(left)
     names = [f"r{d}" for d in range(limit + 1)]
     band = (1 << (2 * limit + 1)) - 1
@@ -59,10 +58,10 @@ def edits_within(left: str, right: str, limit: int) -> Column:
         *[F.lit(sum(1 << (limit + i) for i in range(d + 1)) & band).alias(n) for d, n in enumerate(names)]
     )
 
-    def step(state: Column, j: Column) -> Column:
-        letter = F.get(b, j)
+    def step(letters: Column, state: Column, j: Column) -> Column:
+        letter = F.get(letters["b"], j)
         bits = [
-            F.when(F.get(a, F.greatest(j - limit + i, F.lit(-1))) == letter, 1 << i).otherwise(0)
+            F.when(F.get(letters["a"], F.greatest(j - limit + i, F.lit(-1))) == letter, 1 << i).otherwise(0)
             for i in range(2 * limit + 1)
         ]
         equal = bits[0]
@@ -78,8 +77,14 @@ def edits_within(left: str, right: str, limit: int) -> Column:
             new.append(reached)
         return F.struct(*[value.alias(name) for value, name in zip(new, names)])
 
-    columns = F.sequence(F.lit(0), F.char_length(right) - 1)
-    final = F.aggregate(columns, start, step, lambda state: state[names[-1]])
+    # Bound to a lambda variable, the letters are split once a pair and not once a step.
+    letters = F.array(F.struct(F.split(left, "").alias("a"), F.split(right, "").alias("b")))
+
+    def over_columns(pair: Column) -> Column:
+        columns = F.sequence(F.lit(0), F.size(pair["b"]) - 1)
+        return F.aggregate(columns, start, lambda state, j: step(pair, state, j), lambda state: state[names[-1]])
+
+    final = F.get(F.transform(letters, over_columns), F.lit(0))
     hits = [
         (lengths == by) & (F.shiftright(final, limit - by).bitwiseAND(F.lit(1)) == 1)
         for by in range(-limit, limit + 1)
