@@ -79,27 +79,13 @@ def _segments(max_bits: int) -> list[range]:
 
 
 def _signatures(prints: DataFrame, max_bits: int) -> DataFrame:
-    """Rows ``sig, segment, first, fp``: one for each bit left out of its segment."""
-    rows = []
-    for bits in _segments(max_bits):
-        whole = sum(1 << b for b in bits)
-        for b in bits:
-            rows.append(
-                F.struct(
-                    F.lit(b).alias("bit"),
-                    F.lit(_signed(whole & ~(1 << b))).alias("mask"),
-                    F.lit(_signed(whole)).alias("segment"),
-                    F.lit(b == bits[0]).alias("first"),
-                )
-            )
-    spread = prints.select("fp", F.explode(F.array(*rows)).alias("s"))
-    return spread.select(
-        F.xxhash64("s.bit", F.col("fp").bitwiseAND(F.col("s.mask"))).alias("sig"),
-        F.col("s.bit").alias("bit"),
-        F.col("s.segment").alias("segment"),
-        F.col("s.first").alias("first"),
-        "fp",
-    )
+    """Rows ``sig, bit, fp``: one for each bit left out of its segment."""
+    masks = [
+        F.lit(_signed(sum(1 << b for b in bits if b != left))) for bits in _segments(max_bits) for left in bits
+    ]
+    spread = prints.select("fp", F.posexplode(F.array(*masks)).alias("bit", "mask"))
+    sig = F.xxhash64("bit", F.col("fp").bitwiseAND(F.col("mask")))
+    return spread.select(sig.alias("sig"), "bit", "fp")
 
 
 def _distance(a: str, b: str):
@@ -134,9 +120,14 @@ def links(
         raise ValueError("max_bits must be 0 to 4")
     signatures = _signatures(prints, max_bits)
     shared = signatures.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
-    hits = stored(signatures.join(shared, "sig"), "signature-hits")
+    # Both sides grow with the corpus, so the join is a sort-merge join at every size.
+    hits = stored(signatures.join(shared.hint("merge"), "sig"), "signature-hits")
 
+    segments = _segments(max_bits)
+    whole = F.array(*[F.lit(_signed(sum(1 << b for b in bits))) for bits in segments for _ in bits])
+    first = F.array(*[F.lit(b == bits[0]) for bits in segments for b in bits])
     few = hits.filter(F.col("n") <= pairs_within)
+    few = few.withColumns({"segment": F.get(whole, "bit"), "first": F.get(first, "bit")})
     left = few.withColumnRenamed("fp", "u")
     right = few.select("sig", F.col("fp").alias("v"))
     # A pair that agrees in the whole segment meets at each of its bits; it counts at the first.
