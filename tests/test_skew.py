@@ -101,9 +101,8 @@ def test_repeated_properties_are_one_list_entry(spark):
         ]
 
 
-def test_hot_keys_are_bounded_and_the_rest_stays_ordinary(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 2)
-    rows = spark.range(100).select((F.col("id") % 5).alias("k"))
+def test_every_large_key_is_split_off(spark):
+    rows = spark.range(4000).selectExpr("id % 200 as k").union(spark.range(50).selectExpr("id + 1000 as k"))
     ordinary, hot = skew.split_hot(rows, ["k"], limit=10)
-    assert hot.select("k").distinct().count() == 2
-    assert ordinary.count() + hot.count() == 100
+    assert hot.distinct().count() == 200 and hot.count() == 4000
+    assert ordinary.count() == 50

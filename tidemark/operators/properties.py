@@ -107,14 +107,14 @@ def item_property_summary(silver: DataFrame, list_length: int = skew.LIST_LENGTH
         .withColumn("segment", F.lit(0))
         .select(*columns)
     )
-    # One row per oversized item, so within the same bound as the key table.
+    # One row per oversized item.
     facts = hot.groupBy("item_id").agg(
         F.count_distinct("property_id").alias("property_count"), *_seen()
     )
     lists = skew.listed_in_segments(
         hot, ["item_id"], "property_id", "property_ids", distinct=True, length=list_length
     ).withColumnRenamed("item_id", "_item")
-    large = lists.join(F.broadcast(facts), F.col("_item").eqNullSafe(F.col("item_id")))
+    large = lists.join(facts, F.col("_item").eqNullSafe(F.col("item_id")))
     summary = plain.unionByName(large.select(*columns))
     return _with_days_active(summary).withColumn("computed_at", F.current_timestamp())
 
@@ -129,16 +129,17 @@ def top_enriched_items(silver: DataFrame, n: int = 10) -> DataFrame:
 
 def property_statistics(silver: DataFrame) -> DataFrame:
     """Per property: items, rows, distinct values, first and last time, share of all rows."""
-    total = silver.agg(F.count("*").alias("n")).scalar()
-    return silver.groupBy("property_id").agg(
+    # The total comes from the grouped rows, one a property, so silver is read once.
+    total = F.sum("total_property_records").over(Window.partitionBy(F.lit(0)))
+    grouped = silver.groupBy("property_id").agg(
         F.count_distinct("item_id").alias("items_with_property"),
         F.count("*").alias("total_property_records"),
         F.count_distinct("property_value").alias("distinct_values"),
         F.min("event_time").alias("first_seen"),
         F.max("event_time").alias("last_seen"),
-        F.round(F.count("*") / total, 4).alias("frequency_ratio"),
-        F.current_timestamp().alias("computed_at"),
     )
+    share = F.round(F.col("total_property_records") / total, 4)
+    return grouped.withColumns({"frequency_ratio": share, "computed_at": F.current_timestamp()})
 
 
 def top_properties(statistics: DataFrame, n: int = 10) -> DataFrame:
@@ -185,7 +186,7 @@ def item_property_lists(silver: DataFrame, list_length: int = skew.LIST_LENGTH)
     lists = skew.listed_in_segments(
         hot, ["item_id"], "_pair", "_pairs", length=list_length
     ).withColumnRenamed("item_id", "_item")
-    large = lists.join(F.broadcast(hot_facts), F.col("_item").eqNullSafe(F.col("item_id")))
+    large = lists.join(hot_facts, F.col("_item").eqNullSafe(F.col("item_id")))
     both = plain.unionByName(large.select(*columns))
     return both.select(
         "item_id",

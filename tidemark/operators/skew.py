@@ -2,7 +2,7 @@
 
 ``split_hot`` separates the rows of oversized groups. The ordinary rows take the plain one-shuffle
 plan; the oversized groups take an exact plan that spreads each group over many tasks. Both
-together are the whole result. Where there is no oversized group, AQE sees the empty broadcast and
+together are the whole result. Where there is no oversized group, AQE sees the empty side and
 drops the second plan.
 """
 
@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 GROUP_ROWS = 5_000_000
 # Elements of one array cell.
 LIST_LENGTH = 1_000_000
-# Rows of the broadcast key table. Keys beyond the largest 100,000 hold less than 1/100,000 of the
-# input each, a normal task's share, and are left in the ordinary plan.
-MAX_HOT_KEYS = 100_000
 
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -35,19 +32,17 @@ def _renamed(keys: Sequence[str]) -> list[str]:
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """The keys with more than ``limit`` rows, at most ``MAX_HOT_KEYS`` of them, renamed."""
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
-    largest = sizes.orderBy(F.desc("_rows"), *keys).limit(MAX_HOT_KEYS)
-    return largest.select(*[F.col(k).alias(h) for k, h in zip(keys, _renamed(keys))])
+    """All keys with more than ``limit`` rows, renamed."""
+    large = rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
+    return large.select(*[F.col(k).alias(h) for k, h in zip(keys, _renamed(keys))])
 
 
 def split_by(
     rows: DataFrame, keys: Sequence[str], large: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose keys are not in ``large``, and rows whose keys are."""
-    hot = F.broadcast(large)
     match = same_keys(keys, large.columns)
-    return rows.join(hot, match, "left_anti"), rows.join(hot, match, "left_semi")
+    return rows.join(large, match, "left_anti"), rows.join(large, match, "left_semi")
 
 
 def split_hot(rows: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
@@ -113,13 +108,13 @@ def listed_in_segments(
         "_copies",
         F.lit(1) if distinct else F.when(F.col(value).isNull(), 1).otherwise(F.col("_copies")),
     )
-    # One row per oversized key, so at most MAX_HOT_KEYS rows.
+    # One row per oversized key.
     sizes = copies.groupBy(*keys).agg(F.sum("_copies").alias("_size"))
     sizes = sizes.withColumnsRenamed(dict(zip(keys, _renamed(keys))))
     chunk_copies = F.least(F.lit(chunk), F.col("_copies") - F.col("_chunk") * chunk).cast("int")
     segments = F.ceil(F.col("_size") / length)
     spread = (
-        copies.join(F.broadcast(sizes), same_keys(keys, _renamed(keys)))
+        copies.join(sizes, same_keys(keys, _renamed(keys)))
         .withColumn("_chunk", F.explode(F.expr(f"sequence(0, (_copies - 1) div {chunk})")))
         .withColumn("segment", F.pmod(F.xxhash64(value, "_chunk"), segments).cast("int"))
         .withColumn(

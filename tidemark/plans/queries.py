@@ -35,7 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 EVENT_COLUMNS = EVENT_CSV.fieldNames()
 LOOKUP_VISITOR = "7"
-LOOKUP_ITEM = "19"
+LOOKUP_ITEM = "53"
 
 _QUERIES: dict[str, Query] = {}
 

@@ -36,16 +36,16 @@ def _rows_of(
 ) -> DataFrame:
     """The logged rows whose keys are in ``touched``, with its further columns.
 
-    The oversized keys ``large`` are joined by broadcast, so no task receives one of them whole.
+    Rows of the oversized keys ``large`` are joined apart from the others.
     """
     names = [f"_touched_{key}" for key in keys]
     touched = touched.withColumnsRenamed(dict(zip(keys, names)))
     match = skew.same_keys(keys, names)
     ordinary, hot = skew.split_by(logged, keys, large)
-    # A subset of the oversized keys, so at most skew.MAX_HOT_KEYS rows.
+    # A subset of the oversized keys.
     is_large = skew.same_keys(names, large.columns)
-    touched_large = touched.join(F.broadcast(large), is_large, "left_semi")
-    both = ordinary.join(touched, match).unionByName(hot.join(F.broadcast(touched_large), match))
+    touched_large = touched.join(large, is_large, "left_semi")
+    both = ordinary.join(touched, match).unionByName(hot.join(touched_large, match))
     return both.drop(*names)
 
 
