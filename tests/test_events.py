@@ -170,7 +170,9 @@ def test_profile_journey_and_baskets(spark):
     whole = [("x", ["a", "a", "b"])]
     assert tuples(ev.baskets_with_item(silver, "b"), "transactionid", "items_bought_together") == whole
     assert tuples(
-        ev.baskets_containing(baskets, "b"), "transactionid", "items_bought_together"
+        ev.baskets(ev.baskets_containing(ev.basket_items(ev.purchases(silver)), "b")),
+        "transactionid",
+        "items_bought_together",
     ) == whole
 
 

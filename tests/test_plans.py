@@ -1,21 +1,22 @@
 """Shapes of the physical plans, and the two layers end to end."""
 
+import re
 import uuid
 
 import pytest
 
-import __spark_entry__ as spark_entry
 from tests.helpers import tuples
 from tidemark.operators import events as ev
 from tidemark.operators import properties as props
-from tidemark.plans import batch_layer, fixtures, speed_layer
+from tidemark.operators import windows
+from tidemark.plans import batch_layer, fixtures, queries, speed_layer
 from tidemark.schemas import EVENT_CSV, ITEM_SILVER
 from tidemark.sinks.tables import read_table, write_table
 
 SF_DIR = "/root/testdata/sf0.001"
 STREAMS_OR_LANDS = {
     name
-    for name in spark_entry.queries()
+    for name in queries.all_queries()
     if name.endswith("_stream") or name.startswith(("batch_layer", "speed_layer"))
 } | {"bronze_item_properties", "publish_events", "csv_inferred_preview", "schema_evolution_append"}
 
@@ -24,9 +25,9 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - STREAMS_OR_LANDS))
+@pytest.mark.parametrize("name", sorted(set(queries.all_queries()) - STREAMS_OR_LANDS))
 def test_no_python_and_no_cartesian_product(spark, name):
-    text = plan(spark_entry.queries()[name](spark, SF_DIR))
+    text = plan(queries.all_queries()[name](spark, SF_DIR))
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Pandas"):
         assert node not in text
 
@@ -50,10 +51,35 @@ def test_top_k_does_not_sort_everything(spark):
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
-def test_visitor_lookup_filters_at_the_scan(spark):
-    text = plan(ev.visitor_journey(fixtures.silver_events(spark, SF_DIR), "7"))
-    filters = [line for line in text.splitlines() if " Filter " in line and "= 7)" in line]
-    assert len(filters) == text.count("FileScan")
+def exchanges(frame):
+    return len(re.findall(r"[-+] (?:Broadcast)?Exchange ", plan(frame)))
+
+
+def test_grouped_operators_shuffle_little(spark, tmp_path):
+    properties = props.silver_item_properties(fixtures.bronze_item_properties(spark, SF_DIR))
+    write_table(properties, str(tmp_path / "silver"))
+    silver = read_table(spark, str(tmp_path / "silver"))
+    events = fixtures.silver_events(spark, SF_DIR)
+    for limit, frame in [
+        (1, props.item_property_summary(silver)),
+        (1, props.item_property_lists(silver)),
+        (1, props.top_enriched_items(silver)),
+        (2, ev.item_cooccurrence(events)),
+        (4, ev.customer_journey(events)),
+    ]:
+        assert 1 <= exchanges(frame) <= limit
+        assert plan(frame).count("FileScan") <= 2
+    for frame in (
+        props.property_statistics(silver),
+        windows.recent_event_volume(windows.event_metrics(events), windows.latest_window()),
+    ):
+        assert plan(frame).count("FileScan") == 1
+
+
+def test_visitor_lookup_numbers_that_visitor_alone(spark):
+    silver = fixtures.silver_events(spark, SF_DIR)
+    staged = spark.read.parquet(*ev.visitor_journey(silver, "7").inputFiles())
+    assert {row.visitorid for row in staged.select("visitorid").collect()} == {"7"}
 
 
 def test_batch_layer_on_catalog_tables(spark, tmp_path):
@@ -87,6 +113,14 @@ def test_batch_layer_on_a_file_without_rows(spark, tmp_path):
     ).columns)
 
 
+def test_speed_layer_on_a_file_without_rows(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text("timestamp,visitorid,event,itemid,transactionid\n")
+    gold = speed_layer.run(spark, str(landing), str(tmp_path / "tables"))
+    assert {name: frame.count() for name, frame in gold.items()} == dict.fromkeys(gold, 0)
+
+
 def test_speed_layer_in_two_drops(spark, tmp_path):
     home = str(tmp_path / "home")
     rows = fixtures.bronze_events(spark, SF_DIR).select(*EVENT_CSV.fieldNames())

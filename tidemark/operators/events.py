@@ -55,7 +55,10 @@ def silver_events(
 def silver_events_validated(
     bronze: DataFrame, event_types: Sequence[str] = EVENT_TYPES
 ) -> DataFrame:
-    """The documented silver contract: required fields, known events, lower case, date and hour."""
+    """The documented silver contract: required fields, known events, lower case, date and hour.
+
+    As documented, events are told apart before they are lower-cased.
+    """
     kept = bronze.filter(
         F.col("timestamp").isNotNull()
         & F.col("visitorid").isNotNull()
@@ -113,17 +116,10 @@ def with_position(events: DataFrame) -> tuple[DataFrame, list[str]]:
     return events.withColumn("_at", time), ["_at", *present]
 
 
-def customer_journey(events: DataFrame, row_limit: int = skew.GROUP_ROWS) -> DataFrame:
+def customer_journey(events: DataFrame) -> DataFrame:
     """Events numbered in time order within each visitor and item."""
     timed, position = with_position(events)
-    return skew.numbered(
-        timed,
-        JOURNEY_KEYS,
-        [F.col(name).asc_nulls_first() for name in position],
-        F.expr("_at div 60000"),
-        "event_order",
-        row_limit,
-    ).drop("_at")
+    return skew.numbered(timed, JOURNEY_KEYS, position, "event_order").drop("_at")
 
 
 def visitor_journey(events: DataFrame, visitor: str) -> DataFrame:
@@ -136,43 +132,40 @@ def purchases(events: DataFrame) -> DataFrame:
     return events.filter(_is("transaction")).select("transactionid", "itemid")
 
 
-def baskets(bought: DataFrame, list_length: int = skew.LIST_LENGTH) -> DataFrame:
-    """Per transaction the sorted items bought together, duplicates kept.
+def basket_items(bought: DataFrame) -> DataFrame:
+    """Baskets in long form, the form to store: ``transactionid, itemid, copies``."""
+    return bought.groupBy("transactionid", "itemid").agg(F.count("*").alias("copies"))
+
 
-    A transaction with more than ``list_length`` rows, such as that of purchases without an id, has
-    one row per ``segment``; every other transaction has a single row with segment 0.
+def baskets(items: DataFrame) -> DataFrame:
+    """Long baskets as one sorted list per transaction, duplicates kept and NULL items left out.
+
+    A task collects the distinct items of a basket with their copies. A list that exceeds what one
+    cell can hold fails the query.
     """
-    keys, items = ["transactionid"], "items_bought_together"
-    ordinary, hot = skew.split_hot(bought, keys, list_length)
-    plain = ordinary.groupBy(*keys).agg(
-        F.sort_array(F.collect_list("itemid")).alias(items), F.lit(0).alias("segment")
+    bought = F.when(F.col("itemid").isNotNull(), F.struct("itemid", "copies"))
+    lists = items.groupBy("transactionid").agg(F.sort_array(F.collect_list(bought)).alias("_items"))
+    copied = F.transform(
+        "_items", lambda item: F.array_repeat(item["itemid"], item["copies"].cast("int"))
     )
-    large = skew.listed_in_segments(hot, keys, "itemid", items, length=list_length)
-    return plain.unionByName(large)
+    return lists.select("transactionid", F.flatten(copied).alias("items_bought_together"))
 
 
-def item_cooccurrence(events: DataFrame, list_length: int = skew.LIST_LENGTH) -> DataFrame:
+def item_cooccurrence(events: DataFrame) -> DataFrame:
     """The baskets of all purchase events."""
-    return baskets(purchases(events), list_length)
+    return baskets(basket_items(purchases(events)))
 
 
-def baskets_with_item(
-    events: DataFrame, item: str, list_length: int = skew.LIST_LENGTH
-) -> DataFrame:
-    """Whole baskets that contain ``item``; only their rows are grouped."""
-    bought = purchases(events)
-    wanted = (
-        bought.filter(F.col("itemid") == item)
-        .select(F.col("transactionid").alias("_wanted"))
-        .distinct()
-    )
-    match = F.col("transactionid").eqNullSafe(F.col("_wanted"))
-    return baskets(bought.join(wanted, match, "left_semi"), list_length)
+def baskets_containing(items: DataFrame, item: str) -> DataFrame:
+    """The rows of those long baskets that hold ``item``, whatever their size."""
+    wanted = items.filter(F.col("itemid") == item)
+    wanted = wanted.select(F.col("transactionid").alias("_wanted"))
+    return items.join(wanted, skew.same_keys(["transactionid"], ["_wanted"]), "left_semi")
 
 
-def baskets_containing(baskets: DataFrame, item: str) -> DataFrame:
-    """The rows of a stored basket table whose list contains ``item``."""
-    return baskets.filter(F.array_contains("items_bought_together", item))
+def baskets_with_item(events: DataFrame, item: str) -> DataFrame:
+    """Whole baskets that contain ``item``; only their rows become lists."""
+    return baskets(baskets_containing(basket_items(purchases(events)), item))
 
 
 def events_by_type(events: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock
-from tidemark.operators import skew
 
 
 def with_ingestion_metadata(rows: DataFrame, load_id: str | None = None) -> DataFrame:
@@ -71,60 +70,30 @@ def silver_item_properties(
     )
 
 
-def _seen() -> list[Column]:
-    return [
+def item_property_summary(silver: DataFrame) -> DataFrame:
+    """Per item: distinct properties and their list, rows, first and last time, days between."""
+    summary = silver.groupBy("item_id").agg(
+        F.sort_array(F.collect_set("property_id")).alias("property_ids"),
         F.count("*").alias("total_values"),
         F.min("event_time").alias("first_seen"),
         F.max("event_time").alias("last_seen"),
-    ]
-
-
-def _with_days_active(summary: DataFrame) -> DataFrame:
-    return summary.withColumn("days_active", F.date_diff("last_seen", "first_seen"))
-
-
-def item_property_summary(silver: DataFrame, list_length: int = skew.LIST_LENGTH) -> DataFrame:
-    """Per item: distinct properties and their list, rows, first and last time, days between.
-
-    An item with more properties than ``list_length`` has one row per ``segment`` of its list, with
-    its other columns repeated; every other item has a single row with segment 0.
-    """
-    rows = silver.select("item_id", "property_id", "event_time")
-    ordinary, hot = skew.split_hot(rows, ["item_id"], list_length)
-    columns = [
+    )
+    return summary.select(
         "item_id",
-        "property_count",
+        F.size("property_ids").cast("bigint").alias("property_count"),
         "total_values",
         "property_ids",
         "first_seen",
         "last_seen",
-        "segment",
-    ]
-    plain = (
-        ordinary.groupBy("item_id")
-        .agg(F.sort_array(F.collect_set("property_id")).alias("property_ids"), *_seen())
-        .withColumn("property_count", F.size("property_ids").cast("bigint"))
-        .withColumn("segment", F.lit(0))
-        .select(*columns)
+        F.date_diff("last_seen", "first_seen").alias("days_active"),
+        F.current_timestamp().alias("computed_at"),
     )
-    # One row per oversized item.
-    facts = hot.groupBy("item_id").agg(
-        F.count_distinct("property_id").alias("property_count"), *_seen()
-    )
-    lists = skew.listed_in_segments(
-        hot, ["item_id"], "property_id", "property_ids", distinct=True, length=list_length
-    ).withColumnRenamed("item_id", "_item")
-    large = lists.join(facts, F.col("_item").eqNullSafe(F.col("item_id")))
-    summary = plain.unionByName(large.select(*columns))
-    return _with_days_active(summary).withColumn("computed_at", F.current_timestamp())
 
 
 def top_enriched_items(silver: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` items with the most properties, ranked on counts; only their lists are built."""
-    counts = silver.groupBy("item_id").agg(F.count_distinct("property_id").alias("_properties"))
-    best = counts.orderBy(F.desc("_properties"), "item_id").limit(n).select("item_id")
-    chosen = silver.join(F.broadcast(best), "item_id", "left_semi")
-    return item_property_summary(chosen).orderBy(F.desc("property_count"), "item_id", "segment")
+    """The ``n`` items with the most properties."""
+    summary = item_property_summary(silver)
+    return summary.orderBy(F.desc("property_count"), "item_id").limit(n)
 
 
 def property_statistics(silver: DataFrame) -> DataFrame:
@@ -146,56 +115,21 @@ def top_properties(statistics: DataFrame, n: int = 10) -> DataFrame:
     return statistics.orderBy(F.desc("total_property_records"), "property_id").limit(n)
 
 
-def item_property_lists(silver: DataFrame, list_length: int = skew.LIST_LENGTH) -> DataFrame:
-    """Per item: row and distinct counts, last date, and aligned lists of ids and values.
-
-    Long lists are split by ``segment`` as in ``item_property_summary``.
-    """
-    rows = silver.select(
-        "item_id",
-        "event_date",
-        "property_id",
-        F.struct("property_id", "property_value").alias("_pair"),
-    )
-    ordinary, hot = skew.split_hot(rows, ["item_id"], list_length)
-    facts = [
+def item_property_lists(silver: DataFrame) -> DataFrame:
+    """Per item: row and distinct counts, last date, and aligned lists of ids and values."""
+    lists = silver.groupBy("item_id").agg(
+        F.sort_array(F.collect_list(F.struct("property_id", "property_value"))).alias("_pairs"),
         F.count("property_id").alias("total_properties"),
         F.max("event_date").alias("last_updated"),
-    ]
-    columns = [
-        "item_id",
-        "total_properties",
-        "unique_properties",
-        "last_updated",
-        "_pairs",
-        "segment",
-    ]
-    plain = (
-        ordinary.groupBy("item_id")
-        .agg(F.sort_array(F.collect_list("_pair")).alias("_pairs"), *facts)
-        .withColumn(
-            "unique_properties",
-            F.size(F.array_compact(F.array_distinct("_pairs.property_id"))).cast("bigint"),
-        )
-        .withColumn("segment", F.lit(0))
-        .select(*columns)
-    )
-    hot_facts = hot.groupBy("item_id").agg(
-        F.count_distinct("property_id").alias("unique_properties"), *facts
     )
-    lists = skew.listed_in_segments(
-        hot, ["item_id"], "_pair", "_pairs", length=list_length
-    ).withColumnRenamed("item_id", "_item")
-    large = lists.join(hot_facts, F.col("_item").eqNullSafe(F.col("item_id")))
-    both = plain.unionByName(large.select(*columns))
-    return both.select(
+    distinct = F.size(F.array_compact(F.array_distinct("_pairs.property_id"))).cast("bigint")
+    return lists.select(
         "item_id",
         "total_properties",
-        "unique_properties",
+        distinct.alias("unique_properties"),
         "last_updated",
         F.col("_pairs.property_id").alias("property_ids"),
         F.col("_pairs.property_value").alias("property_values"),
-        "segment",
     )
 
 

@@ -1,10 +1,4 @@
-"""Group-wise work that stays distributed when a few keys hold much of the data.
-
-``split_hot`` separates the rows of oversized groups. The ordinary rows take the plain one-shuffle
-plan; the oversized groups take an exact plan that spreads each group over many tasks. Both
-together are the whole result. Where there is no oversized group, AQE sees the empty side and
-drops the second plan.
-"""
+"""Numbering groups of any size: one plan, whatever share of the rows a key holds."""
 
 from __future__ import annotations
 
@@ -13,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one group that a single task sorts.
-GROUP_ROWS = 5_000_000
-# Elements of one array cell.
-LIST_LENGTH = 1_000_000
+from tidemark.session import workspace
 
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -27,103 +18,39 @@ def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
     return condition
 
 
-def _renamed(keys: Sequence[str]) -> list[str]:
-    return [f"_hot_{key}" for key in keys]
-
-
-def hot_keys(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """All keys with more than ``limit`` rows, renamed."""
-    large = rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
-    return large.select(*[F.col(k).alias(h) for k, h in zip(keys, _renamed(keys))])
-
-
-def split_by(
-    rows: DataFrame, keys: Sequence[str], large: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Rows whose keys are not in ``large``, and rows whose keys are."""
-    match = same_keys(keys, large.columns)
-    return rows.join(large, match, "left_anti"), rows.join(large, match, "left_semi")
-
-
-def split_hot(rows: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of the groups up to ``limit`` rows, and rows of the larger groups."""
-    return split_by(rows, keys, hot_keys(rows, keys, limit))
-
+def numbered(rows: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """1..n within each key group, by the columns ``order`` with NULLs first.
 
-def numbered(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    slice_by: Column,
-    name: str,
-    limit: int = GROUP_ROWS,
-) -> DataFrame:
-    """1..n within each key group, in ``order``; ``slice_by`` must be a prefix of that order.
-
-    An oversized group is numbered slice by slice, each shifted by the rows of the earlier slices.
+    Rows are dealt by ranges of key and order, so a group of any size is spread over many tasks, and
+    numbered range by range, each shifted by the rows the group has in earlier ranges. The ranges are
+    stored with their number first: counts and numbers then see the same split, also when the work of
+    a lost executor is repeated.
     """
-    ordinary, hot = split_hot(rows, keys, limit)
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    plain = ordinary.withColumn(name, position)
-
-    sliced = hot.withColumn("_slice", slice_by)
-    parts = [*keys, "_slice"]
+    spark = rows.sparkSession
+    path = workspace(spark, "numbered")
+    ascending = [F.col(column).asc_nulls_first() for column in (*keys, *order)]
+    dealt = rows.repartitionByRange(*ascending).withColumn("_range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    stored = spark.read.schema(dealt.schema).parquet(path)
+
+    parts = [*keys, "_range"]
     earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col("_slice").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     )
+    # At most one row a range: only its first group can have begun in an earlier one.
     offsets = (
-        sliced.groupBy(*parts)
+        stored.groupBy(*parts)
         .agg(F.count("*").alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .select(*[F.col(p).alias(f"_at_{p}") for p in parts], "_before")
+        .withColumn("_before", F.sum("_rows").over(earlier))
+        .filter(F.col("_before").isNotNull())
+        .select(*[F.col(part).alias(f"_of_{part}") for part in parts], "_before")
     )
-    in_slice = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
-    shifted = (
-        sliced.withColumn(name, in_slice)
-        .join(offsets, same_keys(parts, [f"_at_{p}" for p in parts]))
-        .withColumn(name, F.col(name) + F.col("_before"))
-    )
-    return plain.unionByName(shifted.select(*plain.columns))
-
-
-def listed_in_segments(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    name: str,
-    distinct: bool = False,
-    length: int = LIST_LENGTH,
-) -> DataFrame:
-    """The values of each (oversized) group as sorted arrays of about ``length`` elements.
-
-    Gives ``keys, segment, name``; the segments of a key together hold all its non-null values.
-    Equal values are counted before the shuffle and written out again inside their segment, in
-    chunks small enough to fill the segments evenly.
-    """
-    chunk = max(1, length // 16)
-    copies = rows.groupBy(*keys, value).agg(F.count("*").alias("_copies"))
-    copies = copies.withColumn(
-        "_copies",
-        F.lit(1) if distinct else F.when(F.col(value).isNull(), 1).otherwise(F.col("_copies")),
+    position = F.row_number().over(
+        Window.partitionBy(*parts).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     )
-    # One row per oversized key.
-    sizes = copies.groupBy(*keys).agg(F.sum("_copies").alias("_size"))
-    sizes = sizes.withColumnsRenamed(dict(zip(keys, _renamed(keys))))
-    chunk_copies = F.least(F.lit(chunk), F.col("_copies") - F.col("_chunk") * chunk).cast("int")
-    segments = F.ceil(F.col("_size") / length)
-    spread = (
-        copies.join(sizes, same_keys(keys, _renamed(keys)))
-        .withColumn("_chunk", F.explode(F.expr(f"sequence(0, (_copies - 1) div {chunk})")))
-        .withColumn("segment", F.pmod(F.xxhash64(value, "_chunk"), segments).cast("int"))
-        .withColumn(
-            "_values",
-            F.when(F.col(value).isNull(), F.slice(F.array(F.col(value)), 1, 0)).otherwise(
-                F.array_repeat(F.col(value), chunk_copies)
-            ),
-        )
+    shifted = stored.withColumn(name, position.cast("bigint")).join(
+        F.broadcast(offsets), same_keys(parts, [f"_of_{part}" for part in parts]), "left"
     )
-    return spread.groupBy(*keys, "segment").agg(
-        F.sort_array(F.flatten(F.collect_list("_values"))).alias(name)
+    return shifted.select(
+        *rows.columns, (F.col(name) + F.coalesce("_before", F.lit(0))).alias(name)
     )

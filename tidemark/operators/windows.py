@@ -1,12 +1,12 @@
 """Tumbling event-time windows, on batch and streaming frames.
 
-With a watermark a stream keeps bounded state and drops later rows; the batch run of the same
+With a watermark, the default, a stream keeps bounded state and drops later rows; the batch run of the same
 function is the correction. Window bounds are UTC wall-clock columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock
@@ -15,6 +15,8 @@ from tidemark.functions import clock
 METRICS_WIDTH = "5 minutes"
 BEHAVIOR_WIDTH = "10 minutes"
 POPULARITY_WIDTH = "15 minutes"
+# How late a row of a stream may be; None keeps all windows open and their state for ever.
+WATERMARK = "10 minutes"
 
 
 def _per_window(
@@ -31,7 +33,7 @@ def _per_window(
     return grouped.select(*bounds, *[c for c in grouped.columns if c != "_window"])
 
 
-def event_metrics(events: DataFrame, watermark: str | None = None) -> DataFrame:
+def event_metrics(events: DataFrame, watermark: str | None = WATERMARK) -> DataFrame:
     """Events per type in 5-minute windows."""
     return _per_window(
         events, METRICS_WIDTH, "event", [F.count("*").alias("event_count")], watermark
@@ -39,7 +41,7 @@ def event_metrics(events: DataFrame, watermark: str | None = None) -> DataFrame:
 
 
 def visitor_behavior(
-    events: DataFrame, watermark: str | None = None, approximate: bool = False
+    events: DataFrame, watermark: str | None = WATERMARK, approximate: bool = False
 ) -> DataFrame:
     """What each visitor did in 10-minute windows."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct
@@ -54,7 +56,7 @@ def visitor_behavior(
 
 
 def item_popularity(
-    events: DataFrame, watermark: str | None = None, purchase: str = "transaction"
+    events: DataFrame, watermark: str | None = WATERMARK, purchase: str = "transaction"
 ) -> DataFrame:
     """Interactions with and purchases of each item in 15-minute windows."""
     measures = [
@@ -73,7 +75,13 @@ def recent_event_volume(metrics: DataFrame, as_of: Column | None = None) -> Data
     now = clock.utc(F.current_timestamp()) if as_of is None else as_of
     since = now - F.expr("INTERVAL 1 HOUR")
     return (
-        metrics.filter(F.col("window_end") > since)
+        metrics.withColumn("_since", since)
+        .filter(F.col("window_end") > F.col("_since"))
         .groupBy("event")
         .agg(F.count("*").alias("windows"), F.sum("event_count").alias("event_count"))
     )
+
+
+def latest_window() -> Column:
+    """The end of the last window, from the grouped rows alone."""
+    return F.max("window_end").over(Window.partitionBy(F.lit(0)))

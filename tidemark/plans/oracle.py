@@ -23,8 +23,7 @@ summary AS (
   SELECT item_id, count(DISTINCT property_id) AS property_count, count(*) AS total_values,
          array_to_string(list_sort(list(DISTINCT property_id)), ',') AS property_ids,
          min(event_time) AS first_seen, max(event_time) AS last_seen,
-         CAST(datediff('day', min(event_time), max(event_time)) AS INTEGER) AS days_active,
-         CAST(0 AS INTEGER) AS segment
+         CAST(datediff('day', min(event_time), max(event_time)) AS INTEGER) AS days_active
   FROM silver GROUP BY item_id),
 statistics AS (
   SELECT property_id, count(DISTINCT item_id) AS items_with_property,
@@ -64,7 +63,7 @@ journey AS (
   FROM silver),
 basket AS (
   SELECT transactionid, string_agg(itemid, ',' ORDER BY itemid) AS items_bought_together,
-         count(itemid) AS items, CAST(0 AS INTEGER) AS segment
+         count(itemid) AS items
   FROM silver WHERE event = 'transaction' GROUP BY transactionid),
 metrics AS (
   SELECT time_bucket(INTERVAL 5 MINUTE, moment) AS window_start,
@@ -100,7 +99,8 @@ _SILVER = (
 )
 _EVENT_COLUMNS = '"timestamp", visitorid, event, itemid, transactionid'
 _JOURNEY = f"SELECT {_EVENT_COLUMNS}, event_time, event_order FROM journey"
-_BASKET = "SELECT transactionid, items_bought_together, segment FROM basket"
+_BASKET = "SELECT transactionid, items_bought_together FROM basket"
+_CLOSED = "WHERE window_end <= (SELECT max(moment) FROM silver) - INTERVAL 10 MINUTE"
 
 _OVER_PROPERTIES = {
     "bronze_item_properties": _RAW,
@@ -114,6 +114,8 @@ _OVER_PROPERTIES = {
     "CAST((SELECT count(*) FROM raw) AS DOUBLE) / nullif(count(*), 0) AS dedup_ratio FROM silver",
     "schema_evolution_append": f"{_RAW.replace(' FROM', ', CAST(NULL AS VARCHAR) AS _load_id FROM')}"
     f" UNION ALL {_RAW.replace(' FROM', ', ' + chr(39) + 'second' + chr(39) + ' FROM')}",
+    "schema_evolution_catalog": f"{_RAW.replace(' FROM', ', CAST(NULL AS VARCHAR) AS _load_id FROM')}"
+    f" UNION ALL {_RAW.replace(' FROM', ', ' + chr(39) + 'second' + chr(39) + ' FROM')}",
     "silver_item_properties": _SILVER,
     "silver_partitioned_table": _SILVER,
     "silver_quality": "SELECT count(*) AS total_records, count(DISTINCT item_id) AS unique_items, "
@@ -131,7 +133,7 @@ _OVER_PROPERTIES = {
     "count(DISTINCT property_id) AS unique_properties, max(event_date) AS last_updated, "
     "string_agg(CAST(property_id AS VARCHAR), ',' ORDER BY property_id, property_value) "
     "AS property_ids, string_agg(property_value, ',' ORDER BY property_id, property_value) "
-    "AS property_values, CAST(0 AS INTEGER) AS segment FROM silver GROUP BY item_id",
+    "AS property_values FROM silver GROUP BY item_id",
     "property_count_per_item": "SELECT item_id, count(*) AS property_count FROM silver "
     "GROUP BY item_id",
     "gold_lineage": "SELECT 'item_property_summary' AS table_name, count(*) AS record_count, "
@@ -199,8 +201,10 @@ _OVER_EVENTS = {
     f"WHERE list_contains(string_split(items_bought_together, ','), '{LOOKUP_ITEM}')",
     "event_metrics_5m": "SELECT * FROM metrics",
     "event_metrics_5m_stream": "SELECT * FROM metrics",
-    "event_metrics_5m_watermark": "SELECT * FROM metrics "
-    "WHERE window_end <= (SELECT max(moment) FROM silver) - INTERVAL 10 MINUTE",
+    "event_metrics_5m_watermark": f"SELECT * FROM metrics {_CLOSED}",
+    "visitor_behavior_10m_watermark": "SELECT * EXCLUDE (unique_items), "
+    f"TRUE AS unique_items_close FROM behavior {_CLOSED}",
+    "item_popularity_15m_watermark": f"SELECT * FROM popularity {_CLOSED}",
     "visitor_behavior_10m": "SELECT * FROM behavior",
     "visitor_behavior_10m_stream": "SELECT * EXCLUDE (unique_items), "
     "TRUE AS unique_items_close FROM behavior",
@@ -217,7 +221,13 @@ _OVER_EVENTS = {
     "SELECT 'customer_journey', count(*), count(DISTINCT (visitorid, itemid)), "
     "CAST(sum(event_order) AS BIGINT) FROM journey UNION ALL "
     "SELECT 'item_cooccurrence', count(*), count(DISTINCT transactionid), "
-    "CAST(sum(items) AS BIGINT) FROM basket",
+    "CAST(sum(items) AS BIGINT) FROM basket UNION ALL "
+    "SELECT 'event_metrics', count(*), count(DISTINCT (window_start, event)), "
+    "CAST(sum(event_count) AS BIGINT) FROM metrics UNION ALL "
+    "SELECT 'visitor_behavior', count(*), count(DISTINCT (window_start, visitorid)), "
+    "CAST(sum(total_events) AS BIGINT) FROM behavior UNION ALL "
+    "SELECT 'item_popularity', count(*), count(DISTINCT (window_start, itemid)), "
+    "CAST(sum(interactions) AS BIGINT) FROM popularity",
 }
 
 

@@ -6,7 +6,9 @@ can be compared with another engine's.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +20,9 @@ from tidemark.operators import quality, windows
 from tidemark.plans import batch_layer, fixtures, speed_layer
 from tidemark.schemas import EVENT_CSV, EVENT_MESSAGE, EVENT_TYPES, PROPERTY_CSV
 from tidemark.session import workspace
-from tidemark.sinks.tables import (
-    append_batches,
-    append_stream,
-    read_table,
-    read_versions,
-    refresh_stream,
-    write_table,
-)
-from tidemark.sinks.upsert import read_latest, upsert_stream
+from tidemark.sinks.tables import append_stream, read_table, write_table
+from tidemark.sinks.upsert import compact, read_latest, upsert_stream
+from tidemark.sinks.versions import read_newest, read_versions, refresh_stream, write_batches
 from tidemark.sources import messages
 from tidemark.sources.files import read_csv, stream_csv
 from tidemark.streaming import gold
@@ -57,13 +53,6 @@ def _with_text(rows: DataFrame, *names: str) -> DataFrame:
     return rows.withColumns({name: _text(name) for name in names})
 
 
-def _silver_table(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    """Silver as a stored table, for operators that scan it more than once."""
-    path = f"{workspace(spark, label)}/silver"
-    write_table(fixtures.silver_item_properties(spark, sf_dir), path)
-    return read_table(spark, path)
-
-
 # --- item properties -------------------------------------------------------------------------
 
 
@@ -107,6 +96,16 @@ def schema_evolution_append(spark, sf_dir):
     return read_table(spark, target, merge_schema=True)
 
 
+@query
+def schema_evolution_catalog(spark, sf_dir):
+    """The same on a catalog table, which itself gets the column."""
+    target = f"evolved_{uuid.uuid4().hex}"
+    rows = fixtures.as_item_properties(fixtures.table(spark, sf_dir, "lineitem"))
+    write_table(rows, target)
+    write_table(rows.withColumn("_load_id", F.lit("second")), target, mode="append")
+    return read_table(spark, target)
+
+
 @query
 def silver_item_properties(spark, sf_dir):
     silver = fixtures.silver_item_properties(spark, sf_dir)
@@ -135,13 +134,13 @@ def silver_null_check(spark, sf_dir):
 
 @query
 def item_property_summary(spark, sf_dir):
-    summary = props.item_property_summary(_silver_table(spark, sf_dir, "item_property_summary"))
+    summary = props.item_property_summary(fixtures.silver_item_properties(spark, sf_dir))
     return _with_text(summary.drop("computed_at"), "property_ids")
 
 
 @query
 def top_enriched_items(spark, sf_dir):
-    top = props.top_enriched_items(_silver_table(spark, sf_dir, "top_enriched_items"))
+    top = props.top_enriched_items(fixtures.silver_item_properties(spark, sf_dir))
     return _with_text(top.drop("computed_at"), "property_ids")
 
 
@@ -159,7 +158,7 @@ def top_properties(spark, sf_dir):
 
 @query
 def item_property_lists(spark, sf_dir):
-    lists = props.item_property_lists(_silver_table(spark, sf_dir, "item_property_lists"))
+    lists = props.item_property_lists(fixtures.silver_item_properties(spark, sf_dir))
     return _with_text(lists, "property_ids", "property_values")
 
 
@@ -170,10 +169,13 @@ def property_count_per_item(spark, sf_dir):
 
 @query
 def gold_lineage(spark, sf_dir):
-    silver = _silver_table(spark, sf_dir, "gold_lineage")
+    """Counts of the stored gold tables."""
+    home = workspace(spark, "gold_lineage")
+    write_table(fixtures.silver_item_properties(spark, sf_dir), f"{home}/silver")
+    batch_layer.aggregate(spark, f"{home}/silver", f"{home}/summary", f"{home}/statistics")
     tables = [
-        ("item_property_summary", props.item_property_summary(silver), "item_id"),
-        ("property_statistics", props.property_statistics(silver), "property_id"),
+        ("item_property_summary", read_table(spark, f"{home}/summary"), "item_id"),
+        ("property_statistics", read_table(spark, f"{home}/statistics"), "property_id"),
     ]
     return quality.gold_lineage(tables).drop("last_refresh")
 
@@ -279,7 +281,7 @@ def events_appended_by_date(spark, sf_dir):
 def events_batch_callback(spark, sf_dir):
     """A stream appended by a callback that enriches each micro-batch."""
     home = workspace(spark, "events_batch_callback")
-    append_batches(
+    write_batches(
         fixtures.bronze_events_stream(spark, sf_dir),
         f"{home}/bronze",
         f"{home}/checkpoint",
@@ -412,8 +414,7 @@ def trending_items(spark, sf_dir):
 def recent_event_volume(spark, sf_dir):
     """The last hour of the data, taken from its latest window."""
     metrics = windows.event_metrics(fixtures.silver_events(spark, sf_dir))
-    latest = metrics.agg(F.max("window_end")).scalar()
-    return windows.recent_event_volume(metrics, as_of=latest)
+    return windows.recent_event_volume(metrics, as_of=windows.latest_window())
 
 
 # --- events: streams -------------------------------------------------------------------------
@@ -448,7 +449,7 @@ def visitor_profile_stream(spark, sf_dir):
     exact = ev.visitor_profile(fixtures.silver_events(spark, sf_dir)).select(
         F.col("visitorid").alias("_visitor"), F.col("unique_items_viewed").alias("_exact")
     )
-    profiles = read_table(spark, f"{home}/profiles")
+    profiles = gold.read_profiles(spark, f"{home}/profiles")
     compared = profiles.join(exact, F.col("visitorid").eqNullSafe(F.col("_visitor")), "left")
     return compared.select(
         "visitorid",
@@ -469,7 +470,7 @@ def _close(sketched: str):
 def customer_journey_stream(spark, sf_dir):
     home = workspace(spark, "customer_journey_stream")
     events = fixtures.silver_events_stream(spark, sf_dir)
-    gold.stream_customer_journey(events, f"{home}/log", f"{home}/journey", f"{home}/checkpoint")
+    gold.stream_customer_journey(events, f"{home}/journey", f"{home}/checkpoint")
     journey = gold.read_journeys(spark, f"{home}/journey")
     return journey.select(*EVENT_COLUMNS, "event_time", "event_order")
 
@@ -478,17 +479,17 @@ def customer_journey_stream(spark, sf_dir):
 def item_cooccurrence_stream(spark, sf_dir):
     home = workspace(spark, "item_cooccurrence_stream")
     events = fixtures.silver_events_stream(spark, sf_dir)
-    gold.stream_item_cooccurrence(events, f"{home}/log", f"{home}/baskets", f"{home}/checkpoint")
+    gold.stream_item_cooccurrence(events, f"{home}/baskets", f"{home}/checkpoint")
     return _with_text(gold.read_baskets(spark, f"{home}/baskets"), "items_bought_together")
 
 
 @query
 def event_metrics_5m_stream(spark, sf_dir):
-    """Complete mode: the few groups of this table are rewritten per micro-batch."""
+    """Complete mode: each micro-batch writes all of the few groups anew."""
     home = workspace(spark, "event_metrics_5m_stream")
-    metrics = windows.event_metrics(fixtures.silver_events_stream(spark, sf_dir))
+    metrics = windows.event_metrics(fixtures.silver_events_stream(spark, sf_dir), watermark=None)
     refresh_stream(metrics, f"{home}/metrics", f"{home}/checkpoint")
-    return read_table(spark, f"{home}/metrics")
+    return read_newest(spark, f"{home}/metrics")
 
 
 @query
@@ -496,18 +497,12 @@ def event_metrics_5m_watermark(spark, sf_dir):
     """Append mode: each window is written once, when the watermark has passed its end."""
     home = workspace(spark, "event_metrics_5m_watermark")
     events = fixtures.silver_events_stream(spark, sf_dir)
-    metrics = windows.event_metrics(events, watermark="10 minutes")
-    append_stream(metrics, f"{home}/metrics", f"{home}/checkpoint")
+    append_stream(windows.event_metrics(events), f"{home}/metrics", f"{home}/checkpoint")
     return read_table(spark, f"{home}/metrics")
 
 
-@query
-def visitor_behavior_10m_stream(spark, sf_dir):
-    home = workspace(spark, "visitor_behavior_10m_stream")
-    events = fixtures.silver_events_stream(spark, sf_dir)
-    behavior = windows.visitor_behavior(events, approximate=True)
-    upsert_stream(behavior, f"{home}/behavior", f"{home}/checkpoint")
-    keys = ["window_start", "visitorid"]
+def _behavior_compared(spark, sf_dir, behavior):
+    """The exact columns of a stream's behaviour, and whether its sketch is close enough."""
     exact = windows.visitor_behavior(fixtures.silver_events(spark, sf_dir)).select(
         F.col("window_start").alias("_start"),
         F.col("visitorid").alias("_visitor"),
@@ -516,18 +511,49 @@ def visitor_behavior_10m_stream(spark, sf_dir):
     same = (F.col("window_start") == F.col("_start")) & F.col("visitorid").eqNullSafe(
         F.col("_visitor")
     )
-    compared = read_latest(spark, f"{home}/behavior", keys).join(exact, same, "left")
+    compared = behavior.join(exact, same, "left")
     return compared.withColumn("unique_items_close", _close("unique_items")).drop(
         "unique_items", "_start", "_visitor", "_exact"
     )
 
 
+@query
+def visitor_behavior_10m_watermark(spark, sf_dir):
+    home = workspace(spark, "visitor_behavior_10m_watermark")
+    events = fixtures.silver_events_stream(spark, sf_dir)
+    behavior = windows.visitor_behavior(events, approximate=True)
+    append_stream(behavior, f"{home}/behavior", f"{home}/checkpoint")
+    return _behavior_compared(spark, sf_dir, read_table(spark, f"{home}/behavior"))
+
+
+@query
+def item_popularity_15m_watermark(spark, sf_dir):
+    home = workspace(spark, "item_popularity_15m_watermark")
+    popularity = windows.item_popularity(fixtures.silver_events_stream(spark, sf_dir))
+    append_stream(popularity, f"{home}/popularity", f"{home}/checkpoint")
+    return read_table(spark, f"{home}/popularity")
+
+
+@query
+def visitor_behavior_10m_stream(spark, sf_dir):
+    home = workspace(spark, "visitor_behavior_10m_stream")
+    events = fixtures.silver_events_stream(spark, sf_dir)
+    behavior = windows.visitor_behavior(events, watermark=None, approximate=True)
+    upsert_stream(behavior, f"{home}/behavior", f"{home}/checkpoint")
+    latest = read_latest(spark, f"{home}/behavior", ["window_start", "visitorid"])
+    return _behavior_compared(spark, sf_dir, latest)
+
+
 @query
 def item_popularity_15m_stream(spark, sf_dir):
+    """Upserts, read after the history has been compacted."""
     home = workspace(spark, "item_popularity_15m_stream")
-    popularity = windows.item_popularity(fixtures.silver_events_stream(spark, sf_dir))
+    events = fixtures.silver_events_stream(spark, sf_dir)
+    popularity = windows.item_popularity(events, watermark=None)
     upsert_stream(popularity, f"{home}/popularity", f"{home}/checkpoint")
-    return read_latest(spark, f"{home}/popularity", ["window_start", "itemid"])
+    keys = ["window_start", "itemid"]
+    compact(spark, f"{home}/popularity", keys)
+    return read_latest(spark, f"{home}/popularity", keys)
 
 
 @query
@@ -545,14 +571,12 @@ def speed_layer_gold(spark, sf_dir):
             F.sum(measure).cast("bigint").alias("checksum"),
         )
 
-    return (
-        checked("visitor_profile", F.col("visitorid"), F.col("total_viewcount"))
-        .union(
-            checked("customer_journey", F.struct(*ev.JOURNEY_KEYS), F.col("event_order"))
-        )
-        .union(
-            checked(
-                "item_cooccurrence", F.col("transactionid"), F.size("items_bought_together")
-            )
-        )
-    )
+    parts = [
+        checked("visitor_profile", F.col("visitorid"), F.col("total_viewcount")),
+        checked("customer_journey", F.struct(*ev.JOURNEY_KEYS), F.col("event_order")),
+        checked("item_cooccurrence", F.col("transactionid"), F.size("items_bought_together")),
+        checked("event_metrics", F.struct("window_start", "event"), F.col("event_count")),
+        checked("visitor_behavior", F.struct("window_start", "visitorid"), F.col("total_events")),
+        checked("item_popularity", F.struct("window_start", "itemid"), F.col("interactions")),
+    ]
+    return reduce(DataFrame.union, parts)

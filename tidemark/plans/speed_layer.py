@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import events as ev
-from tidemark.schemas import EVENT_CSV
-from tidemark.sinks.tables import append_stream, read_table, stream_table
+from tidemark.operators import windows
+from tidemark.schemas import EVENT_BRONZE, EVENT_CSV
+from tidemark.sinks.tables import append_stream, stream_table
+from tidemark.sinks.upsert import read_latest, upsert_stream
 from tidemark.sources.files import stream_csv
 from tidemark.sources.messages import message_stream, publish_events
 from tidemark.streaming import gold
 from tidemark.streaming.runs import await_all
 
+WINDOW_KEYS = {"event_metrics": "event", "visitor_behavior": "visitorid", "item_popularity": "itemid"}
+
 
 def publish(spark: SparkSession, landing: str, home: str) -> None:
     rows = stream_csv(spark, landing, EVENT_CSV).select(
@@ -29,35 +33,44 @@ def to_bronze(spark: SparkSession, home: str) -> None:
     append_stream(ev.bronze_events(messages), f"{home}/bronze", f"{home}/checkpoints/bronze")
 
 
-def to_silver(spark: SparkSession, home: str) -> None:
-    bronze = stream_table(spark, f"{home}/bronze")
-    append_stream(ev.silver_events(bronze), f"{home}/silver", f"{home}/checkpoints/silver")
-
+def _bronze(spark: SparkSession, home: str) -> DataFrame:
+    return stream_table(spark, f"{home}/bronze", schema=EVENT_BRONZE)
 
-def to_gold(spark: SparkSession, home: str) -> None:
-    """Three independent queries over silver, side by side."""
 
-    def places(name: str, *more: str) -> list[str]:
-        return [*more, f"{home}/{name}", f"{home}/checkpoints/{name}"]
+def to_silver(spark: SparkSession, home: str) -> None:
+    silver = ev.silver_events(_bronze(spark, home))
+    append_stream(silver, f"{home}/silver", f"{home}/checkpoints/silver")
 
-    def log(name: str) -> list[str]:
-        return places(name, f"{home}/{name}_log")
 
-    silver = stream_table(spark, f"{home}/silver")
+def to_gold(spark: SparkSession, home: str) -> None:
+    """Independent queries over silver, side by side."""
+    schema = ev.silver_events(_bronze(spark, home)).schema
+    silver = stream_table(spark, f"{home}/silver", schema=schema)
+    behavior = windows.visitor_behavior(silver, approximate=True)
+    streams = {
+        "visitor_profile": (gold.stream_visitor_profile, silver),
+        "customer_journey": (gold.stream_customer_journey, silver),
+        "item_cooccurrence": (gold.stream_item_cooccurrence, silver),
+        "event_metrics": (upsert_stream, windows.event_metrics(silver)),
+        "visitor_behavior": (upsert_stream, behavior),
+        "item_popularity": (upsert_stream, windows.item_popularity(silver)),
+    }
     await_all(
         [
-            gold.stream_visitor_profile(silver, *places("visitor_profile"), wait=False),
-            gold.stream_customer_journey(silver, *log("customer_journey"), wait=False),
-            gold.stream_item_cooccurrence(silver, *log("item_cooccurrence"), wait=False),
+            start(rows, f"{home}/{name}", f"{home}/checkpoints/{name}", wait=False)
+            for name, (start, rows) in streams.items()
         ]
     )
 
 
 def read_gold(spark: SparkSession, home: str) -> dict[str, DataFrame]:
     return {
-        "visitor_profile": read_table(spark, f"{home}/visitor_profile"),
+        "visitor_profile": gold.read_profiles(spark, f"{home}/visitor_profile"),
         "customer_journey": gold.read_journeys(spark, f"{home}/customer_journey"),
         "item_cooccurrence": gold.read_baskets(spark, f"{home}/item_cooccurrence"),
+    } | {
+        name: read_latest(spark, f"{home}/{name}", ["window_start", key])
+        for name, key in WINDOW_KEYS.items()
     }
 
 

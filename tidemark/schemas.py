@@ -43,6 +43,14 @@ EVENT_MESSAGE = T.StructType(
     ]
 )
 
+EVENT_BRONZE = T.StructType(
+    [
+        *EVENT_MESSAGE.fields,
+        T.StructField("kinesis_timestamp", T.TimestampType()),
+        T.StructField("_processing_time", T.TimestampType()),
+    ]
+)
+
 MESSAGE_ENVELOPE = T.StructType(
     [
         T.StructField("data", T.BinaryType()),

@@ -9,21 +9,24 @@ import uuid
 from pyspark.sql import SparkSession
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+# Tasks on either side of a shuffle; the driver tracks an entry per pair of them.
+SHUFFLE_TASKS = 50_000
 
 
 def recommended_conf(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings for a run over ``input_bytes`` on ``cores`` executor cores.
 
-    Shuffles start from one partition per 256 MB and AQE merges what turns out small, so a task's
-    sort or hash fits in memory at any input size. Streaming state goes to RocksDB, which keeps it
-    off the heap and bounds what one executor must hold.
+    Partitions have 256 MB and AQE merges what turns out small. Beyond 50,000 tasks a side they grow
+    instead (2 GB at 100 TB), and sorts spill. Streaming state goes to RocksDB, which keeps it off
+    the heap and bounds what one executor must hold.
     """
-    partitions = max(cores * 2, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
+    split = max(SHUFFLE_PARTITION_BYTES, math.ceil(input_bytes / SHUFFLE_TASKS))
+    partitions = max(cores * 2, math.ceil(input_bytes / split))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(split),
         # Streaming state cannot be re-partitioned after the first run, hence cores, not bytes.
         "spark.sql.shuffle.partitions": str(max(8, cores)),
         "spark.sql.streaming.stateStore.providerClass": (

@@ -40,15 +40,37 @@ def read_table(
 
 
 def stream_table(
-    spark: SparkSession, target: str, fmt: str = FORMAT, max_files: int | None = None
+    spark: SparkSession,
+    target: str,
+    fmt: str = FORMAT,
+    max_files: int | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """A table as an unbounded append log."""
+    """A table as an unbounded append log; a path that may hold no file yet needs ``schema``."""
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if not _is_path(target):
         return reader.table(target)
-    return reader.schema(read_table(spark, target, fmt).schema).format(fmt).load(target)
+    schema = schema or read_table(spark, target, fmt).schema
+    return reader.schema(schema).format(fmt).load(target)
+
+
+def _widened(rows: DataFrame, target: str) -> DataFrame:
+    """``rows`` with all columns of the catalog table, which first gets those it lacks."""
+    spark = rows.sparkSession
+    known = {name.lower() for name in spark.table(target).columns}
+    new = [field for field in rows.schema if field.name.lower() not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({columns})")
+    present = {name.lower() for name in rows.columns}
+    return rows.select(
+        *[
+            F.col(f.name) if f.name.lower() in present else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spark.table(target).schema
+        ]
+    )
 
 
 def write_table(
@@ -63,7 +85,12 @@ def write_table(
     A partitioned table is rebalanced by its partition columns: each partition gets few files, and
     AQE splits a partition that holds much of the data over several tasks. An unpartitioned table is
     rebalanced to files of the advisory size. Nothing is coalesced to a fixed number of tasks.
+
+    An append to a catalog table adds the columns that only ``rows`` has, and fills with NULL those
+    that only the table has; by path, ``read_table(merge_schema=True)`` does the same at reading.
     """
+    if mode == "append" and not _is_path(target) and rows.sparkSession.catalog.tableExists(target):
+        rows = _widened(rows, target)
     written = Observation()
     balanced = rows.hint("rebalance", *[F.col(name) for name in partition_by])
     counted = balanced.observe(written, F.count(F.lit(1)).alias("rows"))
@@ -73,7 +100,7 @@ def write_table(
     if _is_path(target):
         writer.save(target)
     else:
-        writer.option("mergeSchema", True).saveAsTable(target)
+        writer.saveAsTable(target)
     return written.get["rows"]
 
 
@@ -93,41 +120,3 @@ def append_stream(
     if _is_path(target):
         return run_to_end(writer.option("path", target))
     return run_to_end(writer, target)
-
-
-def append_batches(rows: DataFrame, target: str, checkpoint: str, enrich) -> StreamingQuery:
-    """Appends ``enrich(batch)`` per micro-batch, under the batch id, so a replay adds nothing."""
-    return run_to_end(
-        rows.writeStream.foreachBatch(
-            lambda batch, batch_id: write_version(enrich(batch), target, batch_id)
-        ).option("checkpointLocation", checkpoint)
-    )
-
-
-def refresh_stream(
-    aggregate: DataFrame, target: str, checkpoint: str, wait: bool = True
-) -> StreamingQuery:
-    """Replaces the whole table with the complete aggregate after each micro-batch."""
-    return run_to_end(
-        aggregate.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: write_table(batch, target))
-        .option("checkpointLocation", checkpoint),
-        wait=wait,
-    )
-
-
-def write_version(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Writes the rows of one micro-batch; writing the same batch again replaces only them."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def read_versions(spark: SparkSession, path: str, up_to: int | None = None) -> DataFrame:
-    """All rows of all micro-batches, with ``batch_id``."""
-    rows = spark.read.parquet(path)
-    return rows if up_to is None else rows.filter(F.col("batch_id") <= up_to)
-
-
-def staged(rows: DataFrame, path: str) -> DataFrame:
-    """The rows as a stored table, which a plan that uses them several times reads back."""
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -1,8 +1,4 @@
-"""Keyed upserts on plain files: append what a micro-batch changed, read the latest per key.
-
-Writing is append-only and keyed by batch id, so replays are harmless and no file that may be read
-is replaced. ``compact`` writes the latest rows to a new table when the history has grown.
-"""
+"""Keyed upserts on plain files: append what a micro-batch changed, read the latest per key."""
 
 from __future__ import annotations
 
@@ -12,28 +8,28 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sinks.tables import read_versions, write_table, write_version
-from tidemark.streaming.runs import run_to_end
+from tidemark.sinks import versions
+from tidemark.sinks.versions import VERSION_COLUMNS, read_versions, write_batches
+
+
+def latest(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of the last version touching each key; each task first keeps its own latest."""
+    newest = Window.partitionBy(*keys).orderBy(*[F.desc(name) for name in VERSION_COLUMNS])
+    ranked = rows.withColumn("_age", F.rank().over(newest))
+    return ranked.filter(F.col("_age") == 1).drop("_age", *VERSION_COLUMNS)
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The rows that the last batch touching each key wrote for it."""
-    newest = F.rank().over(Window.partitionBy(*keys).orderBy(F.desc("batch_id")))
-    rows = read_versions(spark, path).withColumn("_age", newest)
-    return rows.filter(F.col("_age") == 1).drop("_age", "batch_id")
+    return latest(read_versions(spark, path), keys)
 
 
 def upsert_stream(
     aggregate: DataFrame, path: str, checkpoint: str, wait: bool = True
 ) -> StreamingQuery:
     """Writes only the groups that changed in each micro-batch (update mode)."""
-    return run_to_end(
-        aggregate.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_version(batch, path, batch_id))
-        .option("checkpointLocation", checkpoint),
-        wait=wait,
-    )
+    return write_batches(aggregate, path, checkpoint, mode="update", wait=wait)
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> int:
-    return write_table(read_latest(spark, path, keys), target)
+def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> int:
+    """Merges the history to one row per key, in place, for readers and stream alike."""
+    return versions.compact(spark, path, lambda rows: latest(rows, keys))

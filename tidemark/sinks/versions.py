@@ -1,0 +1,177 @@
+"""Tables of plain files that a stream writes as numbered versions, one per micro-batch.
+
+A version is written once under its run and batch id; a replay replaces just itself. Readers see
+versions up to the newest finished one, so no file is replaced under them. ``compact`` merges the
+history into a snapshot, from which readers and the stream go on.
+
+A *run* is the life of one checkpoint. A new or lost checkpoint counts its batches from 0 again; they
+stand in a new run beside the earlier ones. One stream at a time may start on a path.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tidemark.sinks.tables import FORMAT, read_table, write_table
+from tidemark.streaming.runs import run_to_end
+
+Version = tuple[int, int]
+VERSION_COLUMNS = ("run", "batch_id")
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    files, place = _place(spark, path)
+    if not files.exists(place):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(place)]
+
+
+def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    prefix = f"{name}="
+    return [int(n.removeprefix(prefix)) for n in _names(spark, path) if n.startswith(prefix)]
+
+
+def _folder(path: str, version: Version) -> str:
+    return f"{path}/run={version[0]}/batch_id={version[1]}"
+
+
+def _listed(spark: SparkSession, path: str) -> list[Version]:
+    """The versions below ``path``, newest first."""
+    runs = _numbers(spark, path, "run")
+    found = [(r, b) for r in runs for b in _numbers(spark, f"{path}/run={r}", "batch_id")]
+    return sorted(found, reverse=True)
+
+
+def _newest(spark: SparkSession, path: str) -> Version | None:
+    """The newest version that was written to its end."""
+    finished = (v for v in _listed(spark, path) if "_SUCCESS" in _names(spark, _folder(path, v)))
+    return next(finished, None)
+
+
+def _forget(spark: SparkSession, path: str, before: Version) -> None:
+    for version in _listed(spark, path):
+        if version < before:
+            files, place = _place(spark, _folder(path, version))
+            files.delete(place, True)
+
+
+def _after(version: Version) -> Column:
+    run, batch = (F.col(name) for name in VERSION_COLUMNS)
+    return (run > version[0]) | ((run == version[0]) & (batch > version[1]))
+
+
+def write_version(
+    rows: DataFrame, path: str, batch_id: int, run: int = 0, fmt: str = FORMAT
+) -> None:
+    """Writes the rows of one micro-batch; writing the same batch again replaces only them."""
+    target = _folder(f"{path}/versions", (run, batch_id))
+    rows.write.mode("overwrite").format(fmt).save(target)
+
+
+def run_of(
+    spark: SparkSession, path: str, checkpoint: str, schema: StructType, fmt: str = FORMAT
+) -> int:
+    """The run of ``checkpoint``, which keeps its number; a new one begins with an empty version."""
+    kept = _names(spark, f"{checkpoint}/run")
+    if kept:
+        return int(kept[0])
+    earlier = [
+        r for kind in ("versions", "snapshots") for r in _numbers(spark, f"{path}/{kind}", "run")
+    ]
+    run = max(earlier, default=-1) + 1
+    write_version(spark.createDataFrame([], schema), path, -1, run, fmt)
+    files, place = _place(spark, f"{checkpoint}/run/{run}")
+    files.mkdirs(place)
+    return run
+
+
+def write_batches(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    change: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    mode: str = "append",
+    keep_all: bool = True,
+    fmt: str = FORMAT,
+    wait: bool = True,
+) -> StreamingQuery:
+    """Writes ``change(batch)`` per micro-batch of a stream as a version.
+
+    Without ``keep_all`` only the latest two versions stay.
+    """
+    spark = rows.sparkSession
+    run = run_of(spark, path, checkpoint, change(rows).schema, fmt)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_version(change(batch), path, batch_id, run, fmt)
+        if not keep_all:
+            _forget(spark, f"{path}/versions", (run, batch_id - 1))
+
+    writer = rows.writeStream.outputMode(mode).foreachBatch(write)
+    return run_to_end(writer.option("checkpointLocation", checkpoint), wait=wait)
+
+
+def refresh_stream(
+    aggregate: DataFrame, path: str, checkpoint: str, fmt: str = FORMAT, wait: bool = True
+) -> StreamingQuery:
+    """The complete aggregate after each micro-batch; read with ``read_newest``."""
+    return write_batches(
+        aggregate, path, checkpoint, mode="complete", keep_all=False, fmt=fmt, wait=wait
+    )
+
+
+def read_newest(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
+    """The newest finished version alone."""
+    newest = _newest(spark, f"{path}/versions")
+    if newest is None:
+        raise ValueError(f"no finished version below {path}")
+    return read_table(spark, _folder(f"{path}/versions", newest), fmt)
+
+
+def read_versions(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
+    """The rows of the newest snapshot and all later finished versions, with ``run, batch_id``."""
+    newest = _newest(spark, f"{path}/versions")
+    if newest is None:
+        raise ValueError(f"no finished version below {path}")
+    later = read_table(spark, f"{path}/versions", fmt).filter(~_after(newest))
+    snapshot = _newest(spark, f"{path}/snapshots")
+    if snapshot is None:
+        return later
+    merged = read_table(spark, _folder(f"{path}/snapshots", snapshot), fmt).withColumns(
+        {name: F.lit(number) for name, number in zip(VERSION_COLUMNS, snapshot)}
+    )
+    return merged.unionByName(later.filter(_after(snapshot)))
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    merge: Callable[[DataFrame], DataFrame],
+    fmt: str = FORMAT,
+) -> int:
+    """Writes ``merge`` of the history as a snapshot; returns its rows.
+
+    What an earlier snapshot had merged is removed; what this one merges stays until the next, for
+    readers that have begun.
+    """
+    newest = _newest(spark, f"{path}/versions")
+    snapshot = _newest(spark, f"{path}/snapshots")
+    rows = read_versions(spark, path, fmt)
+    if snapshot is not None and newest <= snapshot:
+        return rows.count()
+    merged = merge(rows.filter(~_after(newest))).drop(*VERSION_COLUMNS)
+    written = write_table(merged, _folder(f"{path}/snapshots", newest), fmt=fmt)
+    if snapshot is not None:
+        _forget(spark, f"{path}/versions", snapshot)
+        _forget(spark, f"{path}/snapshots", snapshot)
+    return written

@@ -1,140 +1,69 @@
-"""Gold tables of the speed layer, kept by Structured Streaming."""
+"""Gold tables of the speed layer, kept by Structured Streaming.
 
-from __future__ import annotations
+A micro-batch writes what it changes and reads nothing of the history, so its work grows with the
+batch alone. Journeys and baskets are stored in long form and put together when they are read.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import events as ev
-from tidemark.operators import skew
-from tidemark.sinks.tables import read_versions, refresh_stream, staged, write_version
+from tidemark.sinks import versions
 from tidemark.sinks.upsert import read_latest, upsert_stream
-from tidemark.streaming.runs import run_to_end
+from tidemark.sinks.versions import VERSION_COLUMNS, read_versions, refresh_stream, write_batches
 
 
 def stream_visitor_profile(
-    events: DataFrame, target: str, checkpoint: str, complete: bool = True, wait: bool = True
+    events: DataFrame, target: str, checkpoint: str, complete: bool = False, wait: bool = True
 ) -> StreamingQuery:
-    """Visitor profiles with approximate distinct items.
+    """Visitor profiles with approximate distinct items; read with ``read_profiles``.
 
-    ``complete`` rewrites the table per micro-batch; otherwise only changed visitors are written,
-    to be read with ``read_profiles``.
+    ``complete`` rewrites all visitors per micro-batch, to be read with ``read_newest``.
     """
     sink = refresh_stream if complete else upsert_stream
-    return sink(ev.visitor_profile(events, approximate=True), target, checkpoint, wait)
+    return sink(ev.visitor_profile(events, approximate=True), target, checkpoint, wait=wait)
 
 
 def read_profiles(spark: SparkSession, target: str) -> DataFrame:
     return read_latest(spark, target, ["visitorid"])
 
 
-def _rows_of(
-    logged: DataFrame, touched: DataFrame, keys: Sequence[str], large: DataFrame
-) -> DataFrame:
-    """The logged rows whose keys are in ``touched``, with its further columns.
-
-    Rows of the oversized keys ``large`` are joined apart from the others.
-    """
-    names = [f"_touched_{key}" for key in keys]
-    touched = touched.withColumnsRenamed(dict(zip(keys, names)))
-    match = skew.same_keys(keys, names)
-    ordinary, hot = skew.split_by(logged, keys, large)
-    # A subset of the oversized keys.
-    is_large = skew.same_keys(names, large.columns)
-    touched_large = touched.join(large, is_large, "left_semi")
-    both = ordinary.join(touched, match).unionByName(hot.join(touched_large, match))
-    return both.drop(*names)
-
-
 def stream_customer_journey(
-    events: DataFrame,
-    log: str,
-    target: str,
-    checkpoint: str,
-    row_limit: int = skew.GROUP_ROWS,
-    wait: bool = True,
+    events: DataFrame, log: str, checkpoint: str, wait: bool = True
 ) -> StreamingQuery:
-    """Numbered journeys, kept exact when events arrive late; read with ``read_journeys``.
+    """Appends events to the log of journeys; read with ``read_journeys``.
 
-    A micro-batch renumbers, for each visitor and item it touches, only the events from its earliest
-    new one on; of the earlier events it needs just their number. Old and new numbers of a key
-    overlap completely, so the latest row per number is the current journey.
+    A late event shifts the numbers of all later ones, so numbers are given at reading.
     """
-    spark = events.sparkSession
-    keys = ev.JOURNEY_KEYS
-
-    def renumber(batch: DataFrame, batch_id: int) -> None:
-        # The log stores the time as a number, so that the statistics of its files rule out those
-        # older than the micro-batch.
-        timed, order = ev.with_position(batch)
-        write_version(timed, log, batch_id)
-        logged = read_versions(spark, log, batch_id)
-        new = logged.filter(F.col("batch_id") == batch_id)
-        if batch_id == 0:  # The first load, often the largest: there is nothing to merge with.
-            write_version(ev.customer_journey(new.select(*batch.columns), row_limit), target, 0)
-            return
-        oldest = new.agg(F.min("_at")).first()[0]
-        if oldest is None:
-            empty = batch.withColumn("event_order", F.lit(0).cast("bigint"))
-            write_version(empty, target, batch_id)
-            return
-        position = F.struct(*order)
-        first = new.groupBy(*keys).agg(F.min(position).alias("_from"))
-        large = skew.hot_keys(logged, keys, row_limit)
-        earlier = (
-            _rows_of(logged, first, keys, large)
-            .filter(position < F.col("_from"))
-            .groupBy(*keys)
-            .agg(F.count("*").alias("_before"))
-            .withColumnsRenamed({key: f"_of_{key}" for key in keys})
-        )
-        recent = logged.filter(F.col("_at") >= oldest)
-        tail = _rows_of(recent, first, keys, large).filter(position >= F.col("_from"))
-        tail = staged(tail.select(*batch.columns), f"{target}_tail")
-        journey = ev.customer_journey(tail, row_limit).join(
-            earlier, skew.same_keys(keys, [f"_of_{key}" for key in keys]), "left"
-        )
-        shifted = F.col("event_order") + F.coalesce(F.col("_before"), F.lit(0))
-        journey = journey.withColumn("event_order", shifted)
-        write_version(journey.select(*batch.columns, "event_order"), target, batch_id)
-
-    writer = events.writeStream.foreachBatch(renumber)
-    return run_to_end(writer.option("checkpointLocation", checkpoint), wait=wait)
-
-
-def read_journeys(spark: SparkSession, target: str) -> DataFrame:
-    return read_latest(spark, target, [*ev.JOURNEY_KEYS, "event_order"])
+    return write_batches(events, log, checkpoint, wait=wait)
+
+
+def read_journeys(spark: SparkSession, log: str) -> DataFrame:
+    return ev.customer_journey(read_versions(spark, log).drop(*VERSION_COLUMNS))
 
 
 def stream_item_cooccurrence(
-    events: DataFrame,
-    log: str,
-    target: str,
-    checkpoint: str,
-    list_length: int = skew.LIST_LENGTH,
-    wait: bool = True,
+    events: DataFrame, target: str, checkpoint: str, wait: bool = True
 ) -> StreamingQuery:
-    """Baskets, rebuilt for the transactions a micro-batch touches; read with ``read_baskets``."""
-    spark = events.sparkSession
-    keys = ["transactionid"]
+    """Adds each micro-batch's items per transaction; read with ``read_baskets``."""
+    return write_batches(ev.purchases(events), target, checkpoint, ev.basket_items, wait=wait)
+
 
-    def rebuild(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, log, batch_id)
-        logged = read_versions(spark, log, batch_id)
-        touched = logged.filter(F.col("batch_id") == batch_id).select(*keys).distinct()
-        rows = logged
-        if batch_id > 0:
-            large = skew.hot_keys(logged, keys, list_length)
-            rows = _rows_of(logged, touched, keys, large).select(*batch.columns)
-            rows = staged(rows, f"{target}_rows")
-        write_version(ev.baskets(rows.select(*batch.columns), list_length), target, batch_id)
+def _added(items: DataFrame) -> DataFrame:
+    return items.groupBy("transactionid", "itemid").agg(F.sum("copies").alias("copies"))
 
-    writer = ev.purchases(events).writeStream.foreachBatch(rebuild)
-    return run_to_end(writer.option("checkpointLocation", checkpoint), wait=wait)
+
+def read_basket_items(spark: SparkSession, target: str) -> DataFrame:
+    return _added(read_versions(spark, target))
 
 
 def read_baskets(spark: SparkSession, target: str) -> DataFrame:
-    return read_latest(spark, target, ["transactionid"])
+    return ev.baskets(read_basket_items(spark, target))
+
+
+def compact_baskets(spark: SparkSession, target: str) -> int:
+    """Merges the history to one row per transaction and item, in place."""
+    return versions.compact(spark, target, _added)
