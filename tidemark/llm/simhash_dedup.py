@@ -167,10 +167,11 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     found = stored(near_duplicates(docs, shingle, max_bits), "near-duplicates")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = found.groupBy("component").agg(F.min(order).alias("first"))
-    ranked = found.join(first, "component").withColumn("own", order)
-    dropped = ranked.filter("own <> first").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
-    )
+    first = first.select(F.col("first.doc_id").alias("_first_id"), F.col("first.text_hash").alias("_first_hash"))
+    # Id and text settle the component, so a large component is dealt out like any other rows.
+    is_first = same(F.col("_id"), F.col("_first_id")) & (F.col("_hash") == F.col("_first_hash"))
+    rows = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    dropped = rows.join(first, is_first, "left_anti")
     dropped = stored(dropped.distinct(), "dropped")
     kept = docs.join(
         small_enough(dropped),
