@@ -613,3 +613,29 @@ def test_toxicity_of_edge_rows(spark):
     scores = toxicity.toxicity(frame, {"": -3.0, "the": 1.0, "th*": 0.5}).collect()
     assert all(r.score == 0 for r in scores if r.doc_id in (3, 4, 5))
     assert toxicity.toxicity(H.frame(spark, []), {}).count() == 0
+
+
+def test_many_sensitive_words_without_a_string_are_linear():
+    text = "password " * 200_000 + "key a8F3kQ9zX2mV7pL4tR6w"
+    assert secret_scan.spans(text, secret_scan.Novelty(b"")) == [
+        (1_800_004, 3, len(text))
+    ]
+
+
+def test_rounding_in_chunks_equals_one_list(spark, monkeypatch):
+    rows = [("a", size, 1 + size % 3, 0.3 + (size % 7) / 5) for size in range(1, 60)]
+    cells = spark.createDataFrame(rows, "source string, size bigint, n bigint, rate double")
+    found = []
+    for chunk in (1, 7, 1000):
+        monkeypatch.setattr(mixing, "ROUNDED_CELLS", chunk)
+        found.append(sorted(map(tuple, mixing._rounded(cells, 2).collect())))
+    assert found[0] == found[1] == found[2]
+    assert len(found[0]) == len(rows)
+
+
+def test_repeated_benchmark_rows_count_once(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, f"x {item} y")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(5, item)] * 3 + [(6, item)], "item_id bigint, text string")
+    found = decontamination.contaminated(docs, bench).select("item_id").collect()
+    assert sorted(r.item_id for r in found) == [5, 6]

@@ -105,9 +105,9 @@ def spans(text: str | None, novelty: Novelty) -> list[tuple[int, int, int]]:
         for word in SENSITIVE.finditer(text):
             limit = text.find("\n", word.end(), word.end() + CONTEXT)
             limit = word.end() + CONTEXT if limit < 0 else limit
-            for m in CANDIDATE.finditer(text, word.end()):
-                if m.start() >= limit:
-                    break
+            # The search ends where no string can begin; the string found there is then read to its end.
+            for head in CANDIDATE.finditer(text, word.end(), limit + LEAST_LENGTH - 1):
+                m = CANDIDATE.match(text, head.start())
                 place = (m.start(), 3, m.end())
                 if place in seen or not _mixed(m[0]):
                     continue
