@@ -36,6 +36,8 @@ CAP = 2
 TOLERANCE = 1e-10
 # Documents of one cell that one task puts in order.
 ORDERED_ROWS = 50_000
+# Cells of a source rounded at a time; an appended array is copied, so they are kept short.
+ROUNDED_CELLS = 256
 
 
 def ranked(rows: DataFrame, by: str, name: str) -> DataFrame:
@@ -146,12 +148,25 @@ def _rounded(cells: DataFrame, cap: int) -> DataFrame:
             F.array_append(done["copies"], copies).alias("copies"),
         )
 
+    none = F.array().cast("array<bigint>")
+
+    def run(done: Column, chunk: Column) -> Column:
+        start = F.struct(done["goal"].alias("goal"), done["taken"].alias("taken"), none.alias("copies"))
+        # Bound to a lambda variable, the chunk is rounded once and not once a field.
+        after = F.array(F.aggregate(chunk, start, step))
+        lists = lambda s: F.array_append(done["copies"], s["copies"]).alias("copies")
+        return F.get(F.transform(after, lambda s: F.struct(s["goal"].alias("goal"), s["taken"].alias("taken"), lists(s))), F.lit(0))
+
+    last = F.floor((F.size("cells") - 1) / ROUNDED_CELLS).cast("int")
+    chunks = F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.slice("cells", i * ROUNDED_CELLS + 1, ROUNDED_CELLS)
+    )
     start = F.struct(
         F.lit(0.0).alias("goal"),
         F.lit(0).cast("bigint").alias("taken"),
-        F.array().cast("array<bigint>").alias("copies"),
+        F.array().cast("array<array<bigint>>").alias("copies"),
     )
-    copies = F.aggregate("cells", start, step, lambda done: done["copies"])
+    copies = F.flatten(F.aggregate(chunks, start, run, lambda done: done["copies"]))
     zipped = F.arrays_zip("cells", copies.alias("copies"))
     dealt = listed.select("source", F.explode(zipped).alias("c"))
     return dealt.select("source", "c.cells.size", "c.cells.n", "c.cells.rate", F.col("c.copies").alias("copies"))
