@@ -11,8 +11,8 @@ passes.
 
 Defined cases: NULL texts and items match nothing; items of fewer than ``LEAST_CHARS`` characters
 (without outer blanks) are not searched, for they occur by chance; items of equal text are reported
-each; repeated document rows give repeated matches; empty tables give no rows; extra columns do not
-matter.
+each, repeated benchmark rows once; repeated document rows give repeated matches; empty tables give
+no rows; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ from tidemark.llm.common import map_rows, same, small_enough, stored, table, tex
 
 ERROR_RATE = 0.05
 LEAST_CHARS = 40
-# Items that one pass looks for.
+# Items that one pass looks for, and their characters.
 BLOCK_ITEMS = 20_000
+BLOCK_CHARS = 16_000_000
 
 
 def folded(text: str) -> str:
@@ -150,7 +151,9 @@ def contaminated(
     schema = f"doc_id {doc_kind}, text_hash bigint, found array<struct<item_id: {item_kind}, start: bigint, end: bigint, edits: bigint>>"
     source = docs.select("doc_id", text_hash().alias("text_hash"), F.col("text").cast("string"))
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    blocks = max(1, -(-items.count() // block_items))
+    items = items.distinct()
+    number, chars = items.agg(F.count("*"), F.sum(F.char_length("text"))).first()
+    blocks = max(1, -(-number // block_items), -(-(chars or 0) // BLOCK_CHARS))
     passes = []
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
