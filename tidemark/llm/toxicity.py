@@ -13,13 +13,15 @@ all rows: each whole text is scored in one pass.
 
 Defined cases: NULL or empty text has no sentence and scores 0; rows without labels are scored like
 others; a NULL label is no label, and an id that is labelled twice counts as toxic if one of its
-labels is; without any toxic training row all scores are 0; repeated rows score alike.
+labels is; of several texts under one id the least is fitted on; without any toxic training row all
+scores are 0; repeated rows score alike.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -85,14 +87,13 @@ class WordWeights(dict):
 
 def fit(texts: list[str], labels: list[int]) -> dict[str, float]:
     """Word weights by full-batch descent; the bias is under the empty word."""
-    bags = [[features(words) for _, _, words in sentences(t)] for t in texts]
     toxic = np.array(labels, bool)
     positives, negatives = int(toxic.sum()), int((~toxic).sum())
     if not positives or not negatives:
         return {}
     seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for bag, label in zip(bags, toxic):
-        seen[int(label)].update(set().union(*bag) if bag else ())
+    for text, label in zip(texts, toxic):
+        seen[int(label)].update(features([w for _, _, words in sentences(text) for w in words]))
     chosen = []
     for word in seen[0].keys() | seen[1].keys():
         a, b = seen[1][word], seen[0][word]
@@ -106,12 +107,12 @@ def fit(texts: list[str], labels: list[int]) -> dict[str, float]:
     chosen = sorted(chosen)[:MOST_FEATURES]
     number = {word: i for i, (_, word, _) in enumerate(chosen)}
 
-    feature, sentence_of, bag_of, sentence = [], [], [], 0
-    for b, bag in enumerate(bags):
-        for words in bag:
-            known = [number[w] for w in words if w in number]
-            feature += sorted(known)
-            sentence_of += [sentence] * len(known)
+    feature, sentence_of, bag_of, sentence = array("i"), array("i"), array("i"), 0
+    for b, text in enumerate(texts):
+        for _, _, words in sentences(text):
+            known = sorted(number[w] for w in features(words) if w in number)
+            feature.extend(known)
+            sentence_of.extend([sentence] * len(known))
             bag_of.append(b)
             sentence += 1
     feature, sentence_of, bag_of = (np.array(x, np.int64) for x in (feature, sentence_of, bag_of))
@@ -121,9 +122,9 @@ def fit(texts: list[str], labels: list[int]) -> dict[str, float]:
     for step in range(1, STEPS + 1):
         z = bias + np.bincount(sentence_of, weights[feature], minlength=sentence)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        clean = np.exp(np.bincount(bag_of, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(bags)))
+        clean = np.exp(np.bincount(bag_of, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(texts)))
         clean = np.clip(clean, 1e-9, 1 - 1e-9)
-        slope = np.where(toxic, -clean / (1 - clean), 1.0)[bag_of] * p / len(bags)
+        slope = np.where(toxic, -clean / (1 - clean), 1.0)[bag_of] * p / len(texts)
         gradient = np.bincount(feature, slope[sentence_of], minlength=len(number)) + DECAY * weights
         gradient = np.append(gradient, slope.sum())
         state[0] = 0.9 * state[0] + 0.1 * gradient
@@ -141,7 +142,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
     chance = F.xxhash64(F.col("doc_id").cast("string"))
     chosen = F.broadcast(marked.orderBy(chance, "doc_id").limit(train_rows))  # at most train_rows
     sample = docs.select("doc_id", F.col("text").cast("string")).join(chosen, "doc_id")
-    sample = sample.select("text", F.col("toxic").cast("int").alias("toxic")).filter("text is not null")
+    sample = sample.filter("text is not null").groupBy("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    sample = sample.agg(F.min("text").alias("text"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: dict[str, int] = {}
