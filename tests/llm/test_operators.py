@@ -567,6 +567,15 @@ def test_lm_beats_the_base_on_unseen_documents(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.02 * sum(r.n_tokens for r in held)
 
 
+@pytest.mark.parametrize("rounds", [1, 2])
+def test_lm_trains_on_documents_without_an_id(spark, rounds):
+    frame = H.frame(spark, [(None, "river stone cloud " * 30)] * 60)
+    before, after = (
+        lm_scoring.scored(frame, rounds=n).agg({"class_score": "sum"}).first()[0] for n in (0, rounds)
+    )
+    assert after > 0.99 * before
+
+
 def test_lm_of_an_empty_table(spark):
     assert lm_scoring.scored(H.frame(spark, [])).count() == 0
 

@@ -14,9 +14,10 @@ places unseen words. Both factors sum to one.
 Scale: counts are a grouped sum over all training documents. Only the ``HEAD`` most frequent words go
 to every task; the rest of each document's words meet their counts in a shuffle join. A second pass
 writes each document as one byte a token, and the network reads just those bytes: each task trains on
-its share of the documents, and the weights are averaged by a grouped sum, ``ROUNDS`` times. Training
-reads one document in ``TRAIN_EVERY`` by id hash, whole, so it grows with the input; counts, masses
-and scores cover every document. A document's state is carried from window to window to its end.
+its share of the documents, and the weights are averaged by a grouped sum, ``ROUNDS`` times. The rounds
+divide the training documents among them by row number: each is read whole, in exactly one round.
+Counts, masses and scores cover every document. A document's state is carried from window to window
+to its end.
 
 Defined cases: NULL or empty text is the end alone; a NULL id has the crc32 of empty text; repeated rows
 are scored alike and each counts in training; without training documents N and V are 0, and every
@@ -43,7 +44,6 @@ SINGLE_CLASSES = 40
 ENDING_CLASSES = 23
 HIDDEN = 24
 ROUNDS = 2
-TRAIN_EVERY = 4
 # Distinct words a counting task holds before it passes them on.
 COUNTED_WORDS = 500_000
 
@@ -149,16 +149,13 @@ def encoded(docs: DataFrame, classes: Classes) -> DataFrame:
 
     def encode(columns: dict[str, list]) -> dict[str, list]:
         rows = [shipped.value.encode(text) for text in columns["text"]]
-        keep = {k: columns[k] for k in ("doc_id", "held_out", "sampled")}
+        keep = {k: columns[k] for k in ("doc_id", "held_out")}
         return keep | dict(zip(names, list(zip(*rows)) or [()] * len(names)))
 
     kind = dict(docs.dtypes)["doc_id"]
-    chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(TRAIN_EVERY)) == 0
-    source = docs.select(
-        "doc_id", (remainder(FOLDS) == HELD_OUT).alias("held_out"), chance.alias("sampled"), F.col("text").cast("string")
-    )
+    source = docs.select("doc_id", (remainder(FOLDS) == HELD_OUT).alias("held_out"), F.col("text").cast("string"))
     schema = (
-        f"doc_id {kind}, held_out boolean, sampled boolean, classes binary, n_tokens bigint, n_head bigint, "
+        f"doc_id {kind}, held_out boolean, classes binary, n_tokens bigint, n_head bigint, "
         "head_log double, class_log double, others array<binary>"
     )
     rows = map_rows(source, encode, schema)
@@ -171,9 +168,9 @@ def _sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def trained(rows: DataFrame, classes: Classes, rounds: int = ROUNDS) -> gru.Parameters:
-    """Weights after ``rounds`` passes, each a share of the sample in every task, then averaged."""
+    """Weights after one pass over all training documents, averaged over the tasks in each of ``rounds`` parts."""
     params = gru.initial(CLASSES, HIDDEN, classes.log_share)
-    sample = rows.filter("not held_out and sampled").select("classes")
+    training = rows.filter("not held_out")
     size = gru.flat(params).size
     for turn in range(rounds):
         shipped = rows.sparkSession.sparkContext.broadcast(params)
@@ -189,7 +186,8 @@ def trained(rows: DataFrame, classes: Classes, rounds: int = ROUNDS) -> gru.Para
                     {"tokens": pa.array([tokens], pa.int64()), "weights": pa.array([values.tolist()], pa.list_(pa.float64()))}
                 )
 
-        parts = sample.mapInArrow(learn, "tokens bigint, weights array<double>")
+        part = training.filter(F.pmod("row", F.lit(rounds)) == turn).select("classes")
+        parts = part.mapInArrow(learn, "tokens bigint, weights array<double>")
         each = parts.select("tokens", F.posexplode("weights").alias("at", "value"))
         mean = each.groupBy("at").agg((F.sum(F.col("value") * F.col("tokens")) / F.sum("tokens")).alias("value"))
         found = mean.collect()  # one row a weight
@@ -226,7 +224,7 @@ def scored(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame
         return {"row": columns["row"], "class_score": gru.log10_probability(params.value, sequences, END).tolist()}
 
     network = map_rows(rows.select("row", "classes"), read, "row bigint, class_score double")
-    sums = rows.drop("classes", "others", "sampled").join(network, "row").join(tails, "row", "left")
+    sums = rows.drop("classes", "others").join(network, "row").join(tails, "row", "left")
     logs = F.col("head_log") + F.coalesce("tail_log", F.lit(0.0))
     known = F.col("n_head") + F.coalesce("n_tail", F.lit(0)) + F.lit(int(documents > 0))
     return sums.select(
