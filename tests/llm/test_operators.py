@@ -486,6 +486,24 @@ def test_novel_strings_and_names():
         assert [s for s in secret_scan.spans(calm, novelty) if s[1] == 3] == []
 
 
+def test_novel_strings_repeated_of_letters_and_on_either_side():
+    novelty = secret_scan.Novelty(secret_scan.identifier_dictionary())
+    random_key, letters = "q7Zp0Rk2VxW9bT4mLsY8", "qZpRkVxWbTmLsYgHcNdJwFvK"
+    long_hex = "".join(random.Random(1).choices("0123456789ABCDEF", k=600))
+    far = " word of the calm text" * 8
+    for text, places in (
+        (f"credential -> {random_key} and once more {random_key} end", [random_key] * 2),
+        (f"credential -> {random_key}{far} {random_key} end", [random_key] * 2),
+        (f"credential -> {letters} end", [letters]),
+        (f"{random_key} is the credential", [random_key]),
+        (f"the credential is\n\n{random_key}\n", [random_key]),
+        (f"the credential is {long_hex} here", [long_hex]),
+        ("the credential is MARKETSTATEMENT and getRefreshTokenValue or DefaultSessionKey", []),
+        ("credential 123456789012345 and 202612040815 and Asanstestion", []),
+    ):
+        assert [text[a:b] for a, k, b in secret_scan.spans(text, novelty) if k == 3] == places, text
+
+
 def test_secrets_of_edge_rows(spark):
     got = secret_scan.secret_spans(H.frame(spark, H.edge_rows(), extra=True)).collect()
     assert len(got) == len(H.edge_rows()) and all(r.spans == [] for r in got)

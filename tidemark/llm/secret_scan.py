@@ -3,13 +3,17 @@
 The base patterns are ``assign`` (a sensitive name, a sign, a value), ``access`` (access key ids) and
 ``hex`` (long hexadecimal runs).
 
-The novelty method looks at every string of at least ``LEAST_LENGTH`` token characters that follows a
-sensitive word within ``CONTEXT`` characters of one line. zstandard, primed with a dictionary of
-identifiers and the code around the string, compresses what stands before it with and without it;
-the difference, in bytes per character, is the string's novelty. Names, paths and repeated values
-are in the dictionary or the surroundings and cost little; a random key costs most of its length.
-Strings of novelty ``LEAST_NOVELTY`` or more that mix character classes are reported as ``novel``
-unless they lie inside a base span.
+The novelty method looks at strings of at least ``LEAST_LENGTH`` token characters that mix two or more
+of lower case, upper case (but for a word's capital) and digits, within ``CONTEXT`` characters of a sensitive word on either
+side, across line ends. A string is a whole run of token characters, or the part of one after its first
+sensitive word, or before, after or between such words. zstandard, primed with a dictionary of identifiers and the code
+around the string, compresses what stands before it with and without it; the difference, in bytes per
+character, is the string's novelty. Names and paths are in the dictionary or the surroundings and cost
+little; a random key costs most of its length. Other copies of the string are blanked out of its
+surroundings, so a repeated key is as novel as a single one. The limit is ``LEAST_NOVELTY`` of what a
+random string of the same length and alphabet costs at the same place. A string is measured where it
+first stands near a sensitive word; all its places in the text are reported as ``novel`` unless they
+lie inside a base span or a longer novel one.
 
 Defined cases: NULL or empty text has no spans; a row with a NULL id is scanned like any other;
 repeated rows give equal results; spans are code points, end exclusive; other columns do not matter.
@@ -18,7 +22,12 @@ repeated rows give equal results; spans are code points, end exclusive; other co
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+from itertools import accumulate
 
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -70,22 +79,58 @@ class Novelty:
     def __init__(self, dictionary: bytes):
         self.dictionary = dictionary
 
-    def __call__(self, text: str, start: int, end: int) -> float:
-        before = text[max(0, start - SURROUNDINGS) : start]
-        after = text[end : end + SURROUNDINGS]
+    def __call__(self, text: str, start: int, end: int) -> tuple[float, float]:
+        """Bytes a character of the string, and of a random one of its length and alphabet."""
+        found = text[start:end]
+        size = end - start
+        blank = lambda part: part.replace(found, " " * size)
+        # Wider by one string, so that a copy across the border is blanked as well.
+        before = blank(text[max(0, start - SURROUNDINGS - size) : start])[-SURROUNDINGS:]
+        after = blank(text[end : end + SURROUNDINGS + size])[:SURROUNDINGS]
         primed = zstandard.ZstdCompressionDict(
             self.dictionary + (after + before).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
         )
         squeeze = zstandard.ZstdCompressor(level=19, dict_data=primed, write_content_size=False, write_checksum=False)
         lead = before[-CONTEXT:].encode()
-        string = text[start:end].encode()
-        extra = len(squeeze.compress(lead + string)) - len(squeeze.compress(lead))
-        return extra / len(string)
+        alone = len(squeeze.compress(lead))
+        other = "".join(random.Random(found).choices(alphabet(found), k=size))
+        return tuple((len(squeeze.compress(lead + s.encode())) - alone) / size for s in (found, other))
 
 
-def _mixed(string: str) -> bool:
-    digits = sum(c.isdigit() for c in string)
-    return 0 < digits < len(string)
+_HEX_LETTERS = set("abcdefABCDEF")
+_CAPITAL = re.compile(r"(?<![A-Za-z0-9])[A-Z](?=[a-z])")
+
+
+def alphabet(found: str) -> str:
+    """The classes of characters that occur in a string; of its letters a to f, if it has no others."""
+    letters = {c for c in found if c.isalpha()}
+    size = 6 if letters <= _HEX_LETTERS else 26
+    classes = (string.ascii_lowercase[:size], string.ascii_uppercase[:size], string.digits, "+/_=-")
+    return "".join(one for one in classes if not set(one).isdisjoint(found))
+
+
+def _mixed(found: str) -> bool:
+    """Whether two or more of lower case, upper case and digits occur; a word's capital counts as lower case."""
+    found = _CAPITAL.sub("a", found)
+    return any(map(str.isdigit, found)) + any(map(str.islower, found)) + any(map(str.isupper, found)) > 1
+
+
+def _strings(text: str, words: list[tuple[int, int]]) -> Iterator[tuple[int, int, bool]]:
+    """``start, end, near`` of the strings of a text; ``words``: places of its sensitive words, in order."""
+    starts, ends = [a for a, _ in words], [b for _, b in words]
+    for run in CANDIDATE.finditer(text):
+        a, b = run.span()
+        # Words that overlap the run, and whether one stands outside it but within the context.
+        first, last = bisect_right(ends, a), bisect_left(starts, b)
+        outside = (first > 0 and a - ends[first - 1] < CONTEXT) or (last < len(words) and starts[last] - b < CONTEXT)
+        if _mixed(text[a:b]):
+            yield a, b, outside or first < last
+        if first < last:
+            cuts = [a, *[min(max(place, a), b) for word in words[first:last] for place in word], b]
+            tail = [(cuts[2], b)] if last - first > 1 else []
+            for x, y in [*tail, *zip(cuts[::2], cuts[1::2])]:
+                if LEAST_LENGTH <= y - x < b - a and _mixed(text[x:y]):
+                    yield x, y, True
 
 
 def spans(text: str | None, novelty: Novelty) -> list[tuple[int, int, int]]:
@@ -100,26 +145,25 @@ def spans(text: str | None, novelty: Novelty) -> list[tuple[int, int, int]]:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if any(word in lower for word in SENSITIVE_WORDS):
-        base = sorted(found)
-        seen = set()
-        for word in SENSITIVE.finditer(text):
-            limit = text.find("\n", word.end(), word.end() + CONTEXT)
-            limit = word.end() + CONTEXT if limit < 0 else limit
-            # The search ends where no string can begin; the string found there is then read to its end.
-            for head in CANDIDATE.finditer(text, word.end(), limit + LEAST_LENGTH - 1):
-                m = CANDIDATE.match(text, head.start())
-                place = (m.start(), 3, m.end())
-                if place in seen or not _mixed(m[0]):
-                    continue
-                seen.add(place)
-                if any(a <= m.start() and m.end() <= b for a, _, b in base):
-                    continue
-                if novelty(text, m.start(), m.end()) >= LEAST_NOVELTY:
-                    found.append(place)
+        places = list(_strings(text, [m.span() for m in SENSITIVE.finditer(text)]))
+        novel: dict[str, bool] = {}
+        for a, b, near in places:
+            if near and text[a:b] not in novel:
+                cost, random_cost = novelty(text, a, b)
+                novel[text[a:b]] = cost >= LEAST_NOVELTY * random_cost
+        # A whole run comes before its parts.
+        base = sorted((a, b) for a, _, b in found)
+        starts, ends = [a for a, _ in base], list(accumulate((b for _, b in base), max))
+        reach = 0
+        for a, b, _ in places:
+            if b > reach and novel.get(text[a:b]):
+                reach = b
+                before = bisect_right(starts, a)
+                if not before or ends[before - 1] < b:
+                    found.append((a, 3, b))
     return sorted(found)
 
 
-
 def secret_spans(docs: DataFrame, dictionary: bytes | None = None) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id`` and ``spans``, an array of kind, start, end."""
     primed = dictionary or identifier_dictionary()
