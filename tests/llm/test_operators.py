@@ -393,6 +393,30 @@ def test_sketch_quantiles_are_close_and_merge(spark):
         assert one.documents == len(values)
 
 
+def test_fences_move_smoothly_with_the_size_of_a_group(spark):
+    values = {("en", "hot"): [1.0] * 900 + [9.0] * 100, ("en", "new"): [4.0 + i % 5 for i in range(101)], ("de", "x"): [2.0] * 7}
+
+    def fences_of(small):
+        rows = [(*k, *[x] * 6) for k, v in values.items() for x in (v[:small] if k[1] == "new" else v)]
+        names = ", ".join(f"{m} double" for m in quality_rules.MEASURES)
+        frame = spark.createDataFrame(rows, f"lang string, source string, {names}")
+        groups = spark.createDataFrame([*values, ("fr", None)], "lang string, source string")
+        found = quality_rules._fenced(quality_rules.blended(quality_rules.sketches(frame), groups)).collect()
+        assert len(found) == 4 and all(len(r.fences) == len(quality_rules.MEASURES) for r in found)
+        return next(f.upper for r in found if r.source == "new" for f in r.fences if f.measure == "word_length")
+
+    assert fences_of(99) == pytest.approx(fences_of(100)) == pytest.approx(fences_of(101))
+    assert fences_of(1) < fences_of(101)
+
+
+def test_groups_on_both_sides_of_a_hundred_documents_are_judged_alike(spark):
+    hot = [(i, H.prose(i, 60), "en", "hot") for i in range(1000)]
+    loud = [(5000 + i, H.prose(i, 60).upper(), "en", "loud") for i in range(100)]
+    for size in (99, 100):
+        found = quality_rules.judged(H.frame(spark, hot + loud[:size])).collect()
+        assert all(r.kept for r in found if r.doc_id >= 5000)
+
+
 def test_quality_of_edge_rows(spark):
     frame = H.frame(spark, H.edge_rows(), extra=True)
     kept = quality_rules.passing(frame)

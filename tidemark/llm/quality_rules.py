@@ -2,8 +2,10 @@
 
 One pass measures every document. The measures of each (language, source) go into quantile sketches
 with logarithmic buckets (relative error ``ACCURACY``): a sketch is a table of bucket counts, so
-sketches of parts merge by adding counts, and the same table summed over sources or over everything
-serves groups that are too small. From a sketch come the quartiles, and from those the fences
+sketches of parts merge by adding counts. Every group's sketch is blended with its language's, and
+that one with the sketch of all, by weights n / (n + ``BLEND_DOCUMENTS``) for a sketch of n documents:
+a small group leans on its language, a large one on itself, and the fences move smoothly in between.
+From a blended sketch come the quartiles, and from those the fences
 
     upper = q75 + REACH * max(q75 - q25, least spread),   lower = q25 - REACH * (the same),
 
@@ -21,7 +23,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, same, small_enough, stored, table, text_hash
@@ -34,8 +36,8 @@ REPEAT_WINDOW = 8
 
 ACCURACY = 0.01
 REACH = 3.0
-# Documents a group's sketch needs; below that the language's sketch is used, then the one of all.
-GROUP_DOCUMENTS = 100
+# Documents at which a group's own sketch and the wider one weigh the same.
+BLEND_DOCUMENTS = 30
 # Measure -> least spread, the tolerance of a group whose documents hardly differ.
 MEASURES = {
     "word_length": 0.7,
@@ -139,19 +141,67 @@ def sketches(rows: DataFrame) -> DataFrame:
     return merged
 
 
-def fences(sketch: DataFrame) -> DataFrame:
+def _cells(sketch: DataFrame) -> DataFrame:
+    """``level, lang, source, measure, documents, cells``: the buckets of a sketch as one array."""
+    cell = F.struct("bucket", F.col("n").cast("double").alias("n"))
+    return sketch.groupBy("level", "lang", "source", "measure").agg(
+        F.sum("n").cast("double").alias("documents"), F.collect_list(cell).alias("cells")
+    )
+
+
+def _times(cells: Column, factor: Column) -> Column:
+    return F.transform(cells, lambda c: F.struct(c["bucket"].alias("bucket"), (c["n"] * factor).alias("n")))
+
+
+def blended(sketch: DataFrame, groups: DataFrame, blend_documents: int = BLEND_DOCUMENTS) -> DataFrame:
+    """``_cells`` of level 0 for each ``lang, source`` of ``groups``, blended with the wider sketches."""
+    cells = stored(_cells(sketch), "cells")
+
+    def level(number: int, name: str) -> DataFrame:
+        own = cells.filter(F.col("level") == number)
+        return own.select(
+            F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.col("measure").alias("_measure"),
+            F.col("documents").alias(f"{name}_n"), F.col("cells").alias(name),
+        )
+
+    none = F.array().cast("array<struct<bucket: int, n: double>>")
+    k = F.lit(float(blend_documents))
+    every = level(2, "of_all").drop("_lang", "_source").withColumnRenamed("_measure", "measure")
+    # The wider sketches weigh ``k`` documents in all: the language's n / (n + k) of them, the one of all the rest.
+    langs = groups.select("lang").distinct().crossJoin(every)
+    match = same(F.col("lang"), F.col("_lang")) & (F.col("measure") == F.col("_measure"))
+    langs = langs.join(level(1, "by_lang").drop("_source"), match, "left").drop("_lang", "_measure")
+    n = F.coalesce("by_lang_n", F.lit(0.0))
+    of_lang = _times(F.coalesce("by_lang", none), k / (n + k))
+    of_all = _times(F.col("of_all"), k * k / (n + k) / F.col("of_all_n"))
+    langs = langs.select(F.col("lang").alias("prior_lang"), "measure", F.concat(of_lang, of_all).alias("prior"))
+    langs = stored(langs, "prior-sketches")
+
+    found = groups.join(langs, same(F.col("lang"), F.col("prior_lang"))).drop("prior_lang")
+    match = match & same(F.col("source"), F.col("_source"))
+    found = found.join(level(0, "own"), match, "left")
+    return found.select(
+        F.lit(0).alias("level"), "lang", "source", "measure",
+        (F.coalesce("own_n", F.lit(0.0)) + k).alias("documents"),
+        F.concat(F.coalesce("own", none), "prior").alias("cells"),
+    )
+
+
+def _fenced(cells: DataFrame) -> DataFrame:
     """``level, lang, source, documents`` and an array of ``measure, lower, upper``."""
-    group = ["level", "lang", "source", "measure"]
-    whole = Window.partitionBy(*group)
-    upto = whole.orderBy(F.col("bucket").asc_nulls_first())
-    ranked = sketch.withColumns({"total": F.sum("n").over(whole), "upto": F.sum("n").over(upto)})
 
     def quantile(q: float) -> Column:
-        return F.min(F.when(F.col("upto") >= q * F.col("total"), _middle(F.col("bucket"))))
+        wanted = F.col("documents") * (q * (1 - 1e-12))
 
-    found = ranked.groupBy(*group).agg(
-        F.max("total").alias("documents"), quantile(0.25).alias("q25"), quantile(0.75).alias("q75")
-    )
+        def add(state: Column, cell: Column) -> Column:
+            upto = state["upto"] + cell["n"]
+            reached = F.when(upto >= wanted, _middle(cell["bucket"]))
+            return F.struct(upto.alias("upto"), F.coalesce(state["value"], reached).alias("value"))
+
+        start = F.struct(F.lit(0.0).alias("upto"), F.lit(None).cast("double").alias("value"))
+        return F.aggregate(F.sort_array("cells"), start, add, lambda state: state["value"])
+
+    found = cells.withColumns({"q25": quantile(0.25), "q75": quantile(0.75)})
     least = F.element_at(F.create_map(*[F.lit(x) for m in MEASURES.items() for x in m]), F.col("measure"))
     reach = REACH * F.greatest(F.col("q75") - F.col("q25"), least)
     lower = F.when(F.col("measure").isin(*TWO_SIDED), F.col("q25") - reach)
@@ -161,25 +211,17 @@ def fences(sketch: DataFrame) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, group_documents: int = GROUP_DOCUMENTS) -> DataFrame:
+def fences(sketch: DataFrame) -> DataFrame:
+    """The fences of each sketch by itself."""
+    return _fenced(_cells(sketch))
+
+
+def judged(docs: DataFrame, blend_documents: int = BLEND_DOCUMENTS) -> DataFrame:
     """``measured`` rows with ``kept`` and ``outliers``, the measures beyond a fence."""
     rows = stored(measured(docs), "measures")
-    limits = stored(fences(sketches(rows.filter("not base_failed"))), "fences")
-    groups = rows.select("lang", "source").distinct()
-    enough = limits.filter(F.col("documents") >= group_documents)
-
-    def level(number: int, name: str, table: DataFrame) -> DataFrame:
-        own = table.filter(F.col("level") == number)
-        return own.select(F.col("lang").alias(f"{name}_l"), F.col("source").alias(f"{name}_s"), F.col("fences").alias(name))
-
-    own, lang, every = level(0, "own", enough), level(1, "by_lang", enough), level(2, "of_all", limits)
-    chosen = groups.join(own, same(F.col("lang"), F.col("own_l")) & same(F.col("source"), F.col("own_s")), "left")
-    chosen = chosen.join(lang, same(F.col("lang"), F.col("by_lang_l")), "left")
-    chosen = chosen.join(F.broadcast(every), F.lit(True), "left")  # one row
-    chosen = chosen.select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-        F.coalesce("own", "by_lang", "of_all").alias("fences"),
-    )
+    groups = stored(rows.select("lang", "source").distinct(), "groups")
+    limits = _fenced(blended(sketches(rows.filter("not base_failed")), groups, blend_documents))
+    chosen = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "fences")
     chosen = stored(chosen, "chosen-fences")
     joined = rows.join(
         chosen, same(F.col("lang"), F.col("_lang")) & same(F.col("source"), F.col("_source")), "left"
