@@ -197,6 +197,12 @@ def test_lines_of_a_hot_template(spark):
     assert line_got(spark, H.frame(spark, rows), pairs_within=4) == line_twin(rows)
 
 
+def test_short_lines_go_only_if_they_are_equal(spark):
+    rows = [(1, "a menu\n\nline 1\nx"), (2, "a menu\n\nline 2"), (3, " line 1\r\na menu\n\nx"), (4, "漢")]
+    got = {r.doc_id: r.text for r in line_dedup.without_repeats(H.frame(spark, rows)).collect()}
+    assert got == {1: "a menu\n\nline 1\nx", 2: "\nline 2", 3: "", 4: "漢"}
+
+
 def test_lines_of_edge_rows(spark):
     rows = [r[:2] for r in H.edge_rows() if r[0] != 8]
     frame = H.frame(spark, [r for r in H.edge_rows() if r[0] != 8], extra=True)

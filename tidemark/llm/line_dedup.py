@@ -1,8 +1,9 @@
 """Removing lines that repeat an earlier line, exactly or with one edit, in DataFrame functions only.
 
-Lines are compared without outer blanks; lines of fewer than ``LEAST_CHARS`` characters are left
-alone. Two lines are *linked* if one edit (a character changed, added or taken out) turns one into the
-other; a class is what links connect. Of each class the first line stays, in the order of document id
+Lines are compared without outer blanks; empty ones are left alone. Two lines of ``EDITED_CHARS``
+characters or more are *linked* if one edit (a character changed, added or taken out) turns one into
+the other; a class is what links connect, or the copies of a line without links. Shorter lines go only
+if they are equal: one edit makes another word or number of them. Of each class the first line stays, in the order of document id
 (NULL last), text and place; all others go.
 
 The join cuts a line into threshold-plus-one segments, here two: one of them must occur unchanged in
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import as_text, same, small_enough, stored, table, text_hash
 from tidemark.llm.components import connected_components
 
-LEAST_CHARS = 20
+LEAST_CHARS = 1
+EDITED_CHARS = 20
 PAIRS_WITHIN = 32
 EDITS = 1
 
@@ -167,7 +169,7 @@ def links(lines: DataFrame, pairs_within: int = PAIRS_WITHIN) -> DataFrame:
 
 
 def _indexed(rows: DataFrame) -> DataFrame:
-    """``line_id, place, print`` and the four keys of each line, first the two under its length."""
+    """``line_id, place, print`` and the four keys of each line, first the two under its length; a short line has none."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no")
     keys = []
     for longer in (0, 1):
@@ -176,7 +178,8 @@ def _indexed(rows: DataFrame) -> DataFrame:
         for begin, width in ((F.lit(0), half), (half, size - half)):
             keys.append(_key(size, begin, width, F.col("line")))
     return rows.select(
-        "line_id", place.alias("place"), F.xxhash64("line").alias("print"), F.array(*keys).alias("keys")
+        "line_id", place.alias("place"), F.xxhash64("line").alias("print"),
+        F.when(F.col("size") >= EDITED_CHARS, F.array(*keys)).otherwise(F.array().cast("array<bigint>")).alias("keys"),
     )
 
 
@@ -202,7 +205,8 @@ def removed_lines(
     firsts = indexed.groupBy("line_id").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     firsts = stored(firsts, "line-firsts")
 
-    lines = stored(_candidates(rows, indexed), "candidate-lines")
+    long = F.col("size") >= EDITED_CHARS
+    lines = stored(_candidates(rows.filter(long), indexed.filter(F.size("keys") > 0)), "candidate-lines")
     classes = connected_components(links(lines, pairs_within))
     classes = classes.withColumnsRenamed({"node": "line_id"})
     members = firsts.join(classes, "line_id")
