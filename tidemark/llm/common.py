@@ -70,6 +70,15 @@ def remainder(modulus: int, column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an ASCII text, bit by bit."""
+    bit = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    byte = f"list_reduce(list_prepend(xor(a, x), [0::BIGINT for j in range(8)]), lambda c, unused: {bit})"
+    codes = f"[ascii(substr({text}, i::INT, 1))::BIGINT for i in range(1, strlen({text}) + 1)]"
+    crc = f"list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, x: {byte})"
+    return f"xor({crc}, 4294967295)"
+
+
 def map_rows(
     rows: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str
 ) -> DataFrame:

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    conversation_trie,
     decontamination,
+    language_id,
     line_dedup,
     lm_scoring,
+    merkle_manifest,
     mixing,
     quality_rules,
     secret_scan,
@@ -34,9 +37,15 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": decontamination.query,
         "op9_secret_scan": secret_scan.query,
         "op10_toxicity": toxicity.query,
+        "op11_conversation_trie": conversation_trie.query,
+        "op12_merkle_manifest": merkle_manifest.query,
+        "op13_language_id": language_id.query,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op11_conversation_trie": conversation_trie.sql(),
+        "op12_merkle_manifest": merkle_manifest.sql(),
+    }
