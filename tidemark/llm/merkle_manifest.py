@@ -30,7 +30,10 @@ from tidemark.operators.skew import numbered, same_keys
 
 FANOUT = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-NONE = F.lit(b"")
+
+
+def _no_bytes() -> Column:
+    return F.lit(b"")
 
 
 def as_hex(digest: Column) -> Column:
@@ -66,7 +69,7 @@ def _slots(nodes: DataFrame, group: Sequence[str], carried: Sequence[str], fanou
         F.expr(f"pos div {fanout}").alias("pos"),
         F.ceil(F.col("size") / fanout).cast("bigint").alias("size"),
     ).agg(*[F.max(F.when(slot == k, child)).alias(f"c{k}") for k in range(fanout)])
-    children = [F.coalesce(F.col(f"c{k}.digest"), NONE) for k in range(fanout)]
+    children = [F.coalesce(F.col(f"c{k}.digest"), _no_bytes()) for k in range(fanout)]
     return parents.withColumn("digest", hashed(as_hex(F.concat(*children))))
 
 
@@ -104,8 +107,8 @@ def _beside(k: int, fanout: int) -> Column:
     """What stands left and right of slot ``k`` in the run."""
 
     def joined(slots: range) -> Column:
-        digests = [F.coalesce(F.col(f"c{i}.digest"), NONE) for i in slots]
-        return F.concat(*digests) if digests else NONE
+        digests = [F.coalesce(F.col(f"c{i}.digest"), _no_bytes()) for i in slots]
+        return F.concat(*digests) if digests else _no_bytes()
 
     return F.struct(joined(range(k)).alias("left"), joined(range(k + 1, fanout)).alias("right"))
 
