@@ -32,10 +32,6 @@ FANOUT = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
-def _no_bytes() -> Column:
-    return F.lit(b"")
-
-
 def as_hex(digest: Column) -> Column:
     return F.lower(F.hex(digest))
 
@@ -62,15 +58,18 @@ class Tree:
 
 def _slots(nodes: DataFrame, group: Sequence[str], carried: Sequence[str], fanout: int) -> DataFrame:
     """One row per parent: ``c0, c1, ...`` hold its children in order, ``digest`` its hash."""
-    slot = F.col("pos") % fanout
-    child = F.struct("digest", *carried)
+    child = ", ".join(["digest", *carried])
     parents = nodes.groupBy(
-        *group,
-        F.expr(f"pos div {fanout}").alias("pos"),
-        F.ceil(F.col("size") / fanout).cast("bigint").alias("size"),
-    ).agg(*[F.max(F.when(slot == k, child)).alias(f"c{k}") for k in range(fanout)])
-    children = [F.coalesce(F.col(f"c{k}.digest"), _no_bytes()) for k in range(fanout)]
-    return parents.withColumn("digest", hashed(as_hex(F.concat(*children))))
+        *group, F.expr(f"pos div {fanout} AS pos"), F.expr(f"(size + {fanout - 1}) div {fanout} AS size")
+    ).agg(
+        *[F.expr(f"max(CASE WHEN pos % {fanout} = {k} THEN struct({child}) END) AS c{k}") for k in range(fanout)]
+    )
+    return parents.withColumn("digest", hashed(as_hex(F.expr(_joined(range(fanout))))))
+
+
+def _joined(slots: range) -> str:
+    """SQL for the digests of these slots, one after the other; empty slots give nothing."""
+    return f"concat({', '.join(['binary(\'\')', *[f'coalesce(c{k}.digest, binary(\'\'))' for k in slots]])})"
 
 
 def build(
@@ -103,14 +102,14 @@ def build(
     return Tree(levels, stored(tops, "manifest-tops"), fanout)
 
 
-def _beside(k: int, fanout: int) -> Column:
-    """What stands left and right of slot ``k`` in the run."""
-
-    def joined(slots: range) -> Column:
-        digests = [F.coalesce(F.col(f"c{i}.digest"), _no_bytes()) for i in slots]
-        return F.concat(*digests) if digests else _no_bytes()
-
-    return F.struct(joined(range(k)).alias("left"), joined(range(k + 1, fanout)).alias("right"))
+def _children(fanout: int) -> str:
+    """SQL for a parent's children, each with what stands left and right of it in the run."""
+    slots = [
+        f"struct(pos * {fanout} + {k} AS pos, c{k} AS child, struct({_joined(range(k))} AS left, "
+        f"{_joined(range(k + 1, fanout))} AS right) AS beside)"
+        for k in range(fanout)
+    ]
+    return f"explode(array({', '.join(slots)})) AS _slot"
 
 
 def paths(
@@ -136,15 +135,7 @@ def paths(
         parents = tree.levels[height - 1].drop("size", "digest")
         on = same_keys([*group, "pos"], [*grouped, "_of_pos"])
         joined = parents.join(reached.withColumnsRenamed(names), on)
-        slots = [
-            F.struct(
-                (F.col("pos") * tree.fanout + k).alias("pos"),
-                F.col(f"c{k}").alias("child"),
-                _beside(k, tree.fanout).alias("beside"),
-            )
-            for k in range(tree.fanout)
-        ]
-        spread = joined.select(*group, "path", *passed, F.explode(F.array(*slots)).alias("_slot"))
+        spread = joined.select(*group, "path", *passed, F.expr(_children(tree.fanout)))
         own = carried if height == 1 else []
         reached = spread.filter("_slot.child IS NOT NULL").select(
             *group,
