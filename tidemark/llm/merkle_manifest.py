@@ -80,7 +80,8 @@ def build(
     Rows that agree in ``order`` and digest may be many: a running number deals them to tasks.
     """
     carried = [name for name in leaves.columns if name not in (*group, "digest")]
-    tied = leaves.withColumn("_tie", F.monotonically_increasing_id())
+    # Stored first: ranges are sampled in a pass of their own, which must not hash the texts again.
+    tied = stored(leaves.withColumn("_tie", F.monotonically_increasing_id()), "manifest-digests")
     placed = stored(numbered(tied, group, [*order, "digest", "_tie"], "_place"), "manifest-leaves")
     sizes = placed.groupBy(*group).agg(F.max("_place").alias("size"))
     sizes = stored(sizes.withColumnsRenamed({g: f"_of_{g}" for g in group}), "manifest-sizes")
