@@ -10,7 +10,7 @@ from tidemark.functions import validation
 from tidemark.operators import properties as props
 from tidemark.schemas import EVENT_CSV, PROPERTY_CSV
 from tidemark.session import recommended_conf, workspace
-from tidemark.sinks import tables, versions
+from tidemark.sinks import batches, tables
 from tidemark.sources import messages
 from tidemark.sources.files import read_csv, stream_csv
 
@@ -123,13 +123,11 @@ def test_appends_by_date_and_per_batch_callback(spark, home):
     assert tables.read_table(spark, f"{home}/a").count() == 8
     stream = tables.stream_table(spark, f"{home}/a", max_files=1)
     for _ in range(2):
-        versions.write_batches(
-            stream,
-            f"{home}/b",
-            f"{home}/c",
-            lambda batch: batch.withColumn("_ingestion_time", F.current_timestamp()),
+        enrich = batches.to_batches(
+            f"{home}/b", lambda batch: batch.withColumn("_ingestion_time", F.current_timestamp())
         )
-    assert versions.read_versions(spark, f"{home}/b").count() == 8
+        batches.feed(stream, f"{home}/c", [enrich])
+    assert batches.read_batches(spark, f"{home}/b").count() == 8
 
 
 def test_wider_appends_are_read_with_merged_schema(spark, home):

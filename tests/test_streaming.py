@@ -1,7 +1,8 @@
 """Streams against their batch twins, with restarts, replays and late rows."""
 
-import pathlib
+import datetime as dt
 import random
+import re
 import uuid
 
 import pytest
@@ -10,9 +11,8 @@ from pyspark.sql import functions as F
 from tests.helpers import START_MS, bronze_events, tuples
 from tidemark.operators import events as ev
 from tidemark.operators import windows
+from tidemark.sinks import batches
 from tidemark.sinks.tables import append_stream, read_table
-from tidemark.sinks.upsert import compact, read_latest, upsert_stream
-from tidemark.sinks.versions import read_newest, read_versions, refresh_stream, write_version
 from tidemark.streaming import gold
 
 
@@ -26,6 +26,14 @@ def drop(frame, folder):
     frame.coalesce(1).write.mode("append").parquet(folder)
 
 
+def partition_filters(frame):
+    """The partition filters of each scan of a plan."""
+    plan = frame._jdf.queryExecution().explainString(
+        frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    return re.findall(r"PartitionFilters: (\[.*\])", plan)
+
+
 def random_events(spark, n=240, seed=3):
     rng = random.Random(seed)
     rows = [
@@ -67,7 +75,7 @@ def test_journey_stream_equals_batch(spark, home, files):
 
 
 @pytest.mark.parametrize("missing", [False, True])
-def test_basket_stream_equals_batch_before_and_after_compaction(spark, home, missing):
+def test_basket_stream_equals_batch(spark, home, missing):
     bronze = random_events(spark)
     if missing:
         bronze = bronze.withColumn("transactionid", F.lit(None).cast("string"))
@@ -77,8 +85,6 @@ def test_basket_stream_equals_batch_before_and_after_compaction(spark, home, mis
     columns = ["transactionid", "items_bought_together"]
     want = tuples(ev.item_cooccurrence(silver), *columns)
     assert tuples(gold.read_baskets(spark, f"{home}/b"), *columns) == want
-    gold.compact_baskets(spark, f"{home}/b")
-    assert tuples(gold.read_baskets(spark, f"{home}/b"), *columns) == want
 
 
 def test_a_batch_writes_its_own_rows_only(spark, home):
@@ -86,7 +92,7 @@ def test_a_batch_writes_its_own_rows_only(spark, home):
     events = ev.silver_events(stream(spark, f"{home}/landing"))
     query = gold.stream_customer_journey(events, f"{home}/j", f"{home}/c")
     read = [p.numInputRows for p in query.recentProgress if p.numInputRows]
-    written = read_versions(spark, f"{home}/j").groupBy("batch_id").count()
+    written = batches.read_batches(spark, f"{home}/j/log").groupBy("batch_id").count()
     assert len(read) == 4 and written.count() == 4
     assert sum(row["count"] for row in written.collect()) == silver.count()
 
@@ -105,30 +111,105 @@ def test_a_new_checkpoint_keeps_the_earlier_rows(spark, home):
     assert tuples(gold.read_journeys(spark, f"{home}/j"), "visitorid") == [("a",), ("b",), ("c",)]
 
 
-def test_compaction_between_batches(spark, home):
-    counts = []
-    for round_, names in enumerate((["a", "b"], ["b", "c"], ["a", "d"], ["e"])):
+def test_profiles_add_up_over_batches_and_streams(spark, home):
+    rounds = (["a", "b"], ["b", "c"], ["a", "d"], ["e"], ["a"], ["e", "f"], ["b"])
+    for round_, names in enumerate(rounds):
         rows = [(str(START_MS + round_), name, "view", "1", None) for name in names]
         drop(bronze_events(spark, rows), f"{home}/landing")
         events = ev.silver_events(stream(spark, f"{home}/landing"))
         gold.stream_visitor_profile(events, f"{home}/p", f"{home}/c")
-        before = tuples(gold.read_profiles(spark, f"{home}/p"), "visitorid", "total_viewcount")
-        for _ in range(2):
-            counts.append(compact(spark, f"{home}/p", ["visitorid"]))
-        after = tuples(gold.read_profiles(spark, f"{home}/p"), "visitorid", "total_viewcount")
-        assert after == before
-    assert after == [("a", 2), ("b", 2), ("c", 1), ("d", 1), ("e", 1)]
-    assert counts == [2, 2, 3, 3, 4, 4, 5, 5]
+        seen = sum(map(list, rounds[: round_ + 1]), [])
+        want = sorted({name: seen.count(name) for name in seen}.items())
+        profiles = gold.read_profiles(spark, f"{home}/p")
+        assert tuples(profiles, "visitorid", "total_viewcount") == want
+        assert tuples(profiles, "unique_items_viewed") == [(1,)] * len(want)
+    drop(bronze_events(spark, [(str(START_MS), "a", "view", "2", None)]), f"{home}/other")
+    gold.stream_visitor_profile(
+        ev.silver_events(stream(spark, f"{home}/other")), f"{home}/p", f"{home}/c2"
+    )
+    profiles = gold.read_profiles(spark, f"{home}/p").filter("visitorid = 'a'")
+    assert tuples(profiles, "total_viewcount", "unique_items_viewed") == [(4, 2)]
+
 
+def test_sums_read_one_partition_per_bit(spark, home):
+    def merge(parts):
+        return parts.groupBy("k").agg(F.sum("n").alias("n"))
 
-def test_an_unfinished_version_is_not_read(spark, home):
+    for batch_id in range(13):
+        parts = spark.createDataFrame([("all", 1), (f"k{batch_id % 3}", 1)], "k string, n bigint")
+        if batch_id == 9:
+            parts = parts.limit(0)
+        batches.add_batch(parts, f"{home}/s", "one", batch_id, merge)
+        if batch_id in (5, 7, 11):  # a replay
+            batches.add_batch(parts, f"{home}/s", "one", batch_id, merge)
+        total = batches.read_sums(spark, f"{home}/s", merge).filter("k = 'all'").first().n
+        assert total == batch_id + 1 - (batch_id >= 9)
+    (filters,) = partition_filters(batches.read_sums(spark, f"{home}/s", merge))
+    assert re.search(r"batch_id#\d+L? IN \(13,12,8\)", filters)
+    assert batches.covering(13) == [13, 12, 8] and batches.merged_into(8) == [7, 6, 4]
+
+
+def test_a_failed_batch_leaves_the_earlier_one(spark, home):
     rows = spark.createDataFrame([("a", 1)], "k string, n int")
-    write_version(rows, f"{home}/v", 0)
-    write_version(rows.withColumn("n", F.lit(2)), f"{home}/v", 1)
-    (marker,) = pathlib.Path(f"{home}/v/versions/run=0/batch_id=1").glob("_SUCCESS")
-    marker.unlink()
-    assert tuples(read_newest(spark, f"{home}/v"), "k", "n") == [("a", 1)]
-    assert tuples(read_latest(spark, f"{home}/v", ["k"]), "k", "n") == [("a", 1)]
+    batches.write_batch(rows, f"{home}/v", "one", 0)
+    broken = rows.withColumn("n", F.raise_error(F.lit("broken")).cast("int"))
+    for batch_id in (0, 1):
+        with pytest.raises(Exception, match="broken"):
+            batches.write_batch(broken, f"{home}/v", "one", batch_id)
+    assert tuples(batches.read_batches(spark, f"{home}/v"), "k", "n") == [("a", 1)]
+
+
+def test_late_events_shift_journeys_and_touch_their_windows_only(spark, home):
+    day, minute = gold.DAY_MS, 60_000
+    base = START_MS // day * day
+
+    def events(*times):
+        return bronze_events(spark, [(str(base + t), "v", "view", "i", str(t)) for t in times])
+
+    drop(events(0, minute, day, day + 1, 3 * day), f"{home}/landing")
+    def run():
+        rows = ev.silver_events(stream(spark, f"{home}/landing"))
+        gold.stream_customer_journey(rows, f"{home}/j", f"{home}/cj")
+        gold.stream_sums(rows, gold.POPULARITY, f"{home}/w", f"{home}/cw")
+    run()
+    one_day = dt.date(1970, 1, 1) + dt.timedelta(days=base // day + 1)
+    asked = gold.read_journeys(spark, f"{home}/j", one_day, one_day, ["v"])
+    assert tuples(asked, "event_order") == [(3,), (4,)]
+    log = [text for text in partition_filters(asked) if "journey_day" in text]
+    assert log and all(f">= {one_day}" in text and f"<= {one_day}" in text for text in log)
+    drop(events(30_000, 2 * day), f"{home}/landing")
+    run()
+    asked = gold.read_journeys(spark, f"{home}/j", one_day, one_day)
+    assert tuples(asked, "event_order") == [(4,), (5,)]
+    whole = ev.silver_events(spark.read.parquet(f"{home}/landing"))
+    columns = [*whole.columns, "event_order"]
+    assert tuples(gold.read_journeys(spark, f"{home}/j"), *columns) == tuples(
+        ev.customer_journey(whole), *columns
+    )
+    want = windows.item_popularity(whole)
+    assert tuples(gold.POPULARITY.read(spark, f"{home}/w"), *want.columns) == tuples(want, *want.columns)
+    late = gold.POPULARITY.parts(ev.silver_events(events(30_000, 2 * day)))
+    assert late.count() == 2
+
+
+def test_journeys_of_events_without_a_time_and_without_keys(spark, home):
+    rows = [("x", "v", "view", "i", "1"), (None, "v", "view", "i", "2"), (str(START_MS), None, "view", None, None),
+            (str(START_MS), "v", "view", "i", None), (str(START_MS), None, "view", None, "3"), ("-1", "v", "view", "i", "4")]
+    silver = ev.silver_events(landed(spark, home, 2, bronze_events(spark, rows)))
+    gold.stream_customer_journey(ev.silver_events(stream(spark, f"{home}/landing")), f"{home}/j", f"{home}/c")
+    columns = [*silver.columns, "event_order"]
+    assert tuples(gold.read_journeys(spark, f"{home}/j"), *columns) == tuples(ev.customer_journey(silver), *columns)
+
+
+def test_one_query_feeds_several_tables(spark, home):
+    silver = ev.silver_events(landed(spark, home, 3))
+    events = ev.silver_events(stream(spark, f"{home}/landing"))
+    tables = {"m": gold.METRICS, "p": gold.POPULARITY, "b": gold.BEHAVIOR}
+    query = batches.feed(events, f"{home}/c", [t.write(f"{home}/{n}") for n, t in tables.items()])
+    assert sum(p.numInputRows for p in query.recentProgress) == 240
+    for name, want in (("m", windows.event_metrics(silver)), ("p", windows.item_popularity(silver)),
+                       ("b", windows.visitor_behavior(silver))):
+        assert tuples(tables[name].read(spark, f"{home}/{name}"), *want.columns) == tuples(want, *want.columns)
 
 
 @pytest.mark.parametrize("complete", [True, False])
@@ -136,7 +217,7 @@ def test_profile_stream_equals_batch(spark, home, complete):
     silver = ev.silver_events(landed(spark, home, 3))
     events = ev.silver_events(stream(spark, f"{home}/landing"))
     gold.stream_visitor_profile(events, f"{home}/p", f"{home}/c", complete)
-    read = read_newest if complete else gold.read_profiles
+    read = batches.read_newest if complete else gold.read_profiles
     columns = ["visitorid", "total_viewcount", "unique_items_viewed", "total_addtocart"]
     assert tuples(read(spark, f"{home}/p"), *columns) == tuples(
         ev.visitor_profile(silver), *columns
@@ -150,12 +231,12 @@ def test_window_streams_equal_batch(spark, home, measure, key):
     silver = ev.silver_events(landed(spark, home, 3))
     events = ev.silver_events(stream(spark, f"{home}/landing"))
     want = measure(silver)
-    upsert_stream(measure(events, watermark=None), f"{home}/u", f"{home}/cu")
-    latest = read_latest(spark, f"{home}/u", ["window_start", key])
+    batches.update_stream(measure(events, watermark=None), f"{home}/u", f"{home}/cu")
+    latest = batches.read_latest(spark, f"{home}/u", ["window_start", key])
     assert tuples(latest, *want.columns) == tuples(want, *want.columns)
-    refresh_stream(measure(events, watermark=None), f"{home}/r", f"{home}/cr")
-    assert tuples(read_newest(spark, f"{home}/r"), *want.columns) == tuples(want, *want.columns)
-    assert compact(spark, f"{home}/u", ["window_start", key]) == want.count()
+    batches.replace_stream(measure(events, watermark=None), f"{home}/r", f"{home}/cr")
+    newest = batches.read_newest(spark, f"{home}/r")
+    assert tuples(newest, *want.columns) == tuples(want, *want.columns)
 
 
 def test_watermark_closes_windows_and_drops_late_rows(spark, home):
@@ -204,19 +285,21 @@ def test_restart_processes_only_new_files(spark, home):
 
 def test_replayed_batch_changes_nothing(spark, home):
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
-    write_version(rows, f"{home}/v", 0)
-    write_version(rows.withColumn("n", F.lit(9)).filter("k = 'a'"), f"{home}/v", 1)
-    before = tuples(read_latest(spark, f"{home}/v", ["k"]), "k", "n")
-    write_version(rows.withColumn("n", F.lit(9)).filter("k = 'a'"), f"{home}/v", 1)
-    assert tuples(read_latest(spark, f"{home}/v", ["k"]), "k", "n") == before == [("a", 9), ("b", 2)]
+    rows = rows.withColumn("written_at", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp"))
+    later = rows.withColumn("n", F.lit(9)).filter("k = 'a'")
+    batches.write_batch(rows, f"{home}/v", "one", 0)
+    batches.write_batch(later, f"{home}/v", "one", 1)
+    before = tuples(batches.read_latest(spark, f"{home}/v", ["k"]), "k", "n")
+    batches.write_batch(later, f"{home}/v", "one", 1)
+    assert tuples(batches.read_latest(spark, f"{home}/v", ["k"]), "k", "n") == before == [("a", 9), ("b", 2)]
 
 
 def test_behavior_stream_counts_distinct_items_approximately(spark, home):
     silver = ev.silver_events(landed(spark, home, 2))
     events = ev.silver_events(stream(spark, f"{home}/landing"))
     behavior = windows.visitor_behavior(events, watermark=None, approximate=True)
-    upsert_stream(behavior, f"{home}/u", f"{home}/c")
-    got = read_latest(spark, f"{home}/u", ["window_start", "visitorid"])
+    batches.update_stream(behavior, f"{home}/u", f"{home}/c")
+    got = batches.read_latest(spark, f"{home}/u", ["window_start", "visitorid"])
     want = windows.visitor_behavior(silver)
     exact = [c for c in want.columns if c != "unique_items"]
     assert tuples(got, *exact) == tuples(want, *exact)

@@ -104,6 +104,26 @@ def visitor_profile(events: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+def profile_parts(events: DataFrame) -> DataFrame:
+    """Profiles of some events that merge with those of others: counts, and a sketch of the items."""
+    return events.groupBy("visitorid").agg(
+        F.count_if(_is("view")).alias("total_viewcount"),
+        F.count_if(_is("addtocart")).alias("total_addtocart"),
+        F.max(_is("transaction").cast("int")).alias("bought_something"),
+        F.hll_sketch_agg(F.when(_is("view"), F.col("itemid"))).alias("viewed_items"),
+    )
+
+
+def profiles_of_parts(parts: DataFrame) -> DataFrame:
+    return parts.select(
+        "visitorid",
+        "total_viewcount",
+        F.hll_sketch_estimate("viewed_items").alias("unique_items_viewed"),
+        "total_addtocart",
+        "bought_something",
+    )
+
+
 def with_position(events: DataFrame) -> tuple[DataFrame, list[str]]:
     """Events with their time as a number, and the columns that put a journey in order.
 

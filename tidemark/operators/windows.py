@@ -45,14 +45,28 @@ def visitor_behavior(
 ) -> DataFrame:
     """What each visitor did in 10-minute windows."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct
-    measures = [
+    measures = [*_behavior_counts(), distinct("itemid").alias("unique_items")]
+    return _per_window(events, BEHAVIOR_WIDTH, "visitorid", measures, watermark)
+
+
+def _behavior_counts() -> list[Column]:
+    return [
         F.count("*").alias("total_events"),
         F.count_if(F.col("event") == "view").alias("views"),
         F.count_if(F.col("event") == "addtocart").alias("addtocarts"),
         F.count_if(F.col("event") == "transaction").alias("transactions"),
-        distinct("itemid").alias("unique_items"),
     ]
-    return _per_window(events, BEHAVIOR_WIDTH, "visitorid", measures, watermark)
+
+
+def behavior_parts(events: DataFrame) -> DataFrame:
+    """Behaviour in some events that merges with that in others, with a sketch of the items."""
+    measures = [*_behavior_counts(), F.hll_sketch_agg("itemid").alias("seen_items")]
+    return _per_window(events, BEHAVIOR_WIDTH, "visitorid", measures, None)
+
+
+def behavior_of_parts(parts: DataFrame) -> DataFrame:
+    estimate = F.hll_sketch_estimate("seen_items").alias("unique_items")
+    return parts.select(*[c for c in parts.columns if c != "seen_items"], estimate)
 
 
 def item_popularity(

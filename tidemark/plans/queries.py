@@ -20,9 +20,8 @@ from tidemark.operators import quality, windows
 from tidemark.plans import batch_layer, fixtures, speed_layer
 from tidemark.schemas import EVENT_CSV, EVENT_MESSAGE, EVENT_TYPES, PROPERTY_CSV
 from tidemark.session import workspace
+from tidemark.sinks import batches
 from tidemark.sinks.tables import append_stream, read_table, write_table
-from tidemark.sinks.upsert import compact, read_latest, upsert_stream
-from tidemark.sinks.versions import read_newest, read_versions, refresh_stream, write_batches
 from tidemark.sources import messages
 from tidemark.sources.files import read_csv, stream_csv
 from tidemark.streaming import gold
@@ -281,13 +280,11 @@ def events_appended_by_date(spark, sf_dir):
 def events_batch_callback(spark, sf_dir):
     """A stream appended by a callback that enriches each micro-batch."""
     home = workspace(spark, "events_batch_callback")
-    write_batches(
-        fixtures.bronze_events_stream(spark, sf_dir),
-        f"{home}/bronze",
-        f"{home}/checkpoint",
-        lambda batch: batch.withColumn("_ingestion_time", F.current_timestamp()),
+    enrich = batches.to_batches(
+        f"{home}/bronze", lambda batch: batch.withColumn("_ingestion_time", F.current_timestamp())
     )
-    stored = read_versions(spark, f"{home}/bronze")
+    batches.feed(fixtures.bronze_events_stream(spark, sf_dir), f"{home}/checkpoint", [enrich])
+    stored = batches.read_batches(spark, f"{home}/bronze")
     return stored.select(*EVENT_COLUMNS, F.col("_ingestion_time").isNotNull().alias("enriched"))
 
 
@@ -488,8 +485,8 @@ def event_metrics_5m_stream(spark, sf_dir):
     """Complete mode: each micro-batch writes all of the few groups anew."""
     home = workspace(spark, "event_metrics_5m_stream")
     metrics = windows.event_metrics(fixtures.silver_events_stream(spark, sf_dir), watermark=None)
-    refresh_stream(metrics, f"{home}/metrics", f"{home}/checkpoint")
-    return read_newest(spark, f"{home}/metrics")
+    batches.replace_stream(metrics, f"{home}/metrics", f"{home}/checkpoint")
+    return batches.read_newest(spark, f"{home}/metrics")
 
 
 @query
@@ -536,24 +533,22 @@ def item_popularity_15m_watermark(spark, sf_dir):
 
 @query
 def visitor_behavior_10m_stream(spark, sf_dir):
+    """Update mode: each micro-batch writes the groups it changed, which state keeps."""
     home = workspace(spark, "visitor_behavior_10m_stream")
     events = fixtures.silver_events_stream(spark, sf_dir)
     behavior = windows.visitor_behavior(events, watermark=None, approximate=True)
-    upsert_stream(behavior, f"{home}/behavior", f"{home}/checkpoint")
-    latest = read_latest(spark, f"{home}/behavior", ["window_start", "visitorid"])
+    batches.update_stream(behavior, f"{home}/behavior", f"{home}/checkpoint")
+    latest = batches.read_latest(spark, f"{home}/behavior", ["window_start", "visitorid"])
     return _behavior_compared(spark, sf_dir, latest)
 
 
 @query
 def item_popularity_15m_stream(spark, sf_dir):
-    """Upserts, read after the history has been compacted."""
+    """Sums: each micro-batch adds the counts of its own events."""
     home = workspace(spark, "item_popularity_15m_stream")
     events = fixtures.silver_events_stream(spark, sf_dir)
-    popularity = windows.item_popularity(events, watermark=None)
-    upsert_stream(popularity, f"{home}/popularity", f"{home}/checkpoint")
-    keys = ["window_start", "itemid"]
-    compact(spark, f"{home}/popularity", keys)
-    return read_latest(spark, f"{home}/popularity", keys)
+    gold.stream_sums(events, gold.POPULARITY, f"{home}/popularity", f"{home}/checkpoint")
+    return gold.POPULARITY.read(spark, f"{home}/popularity")
 
 
 @query

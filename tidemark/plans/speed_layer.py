@@ -7,18 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators import events as ev
-from tidemark.operators import windows
 from tidemark.schemas import EVENT_BRONZE, EVENT_CSV
+from tidemark.sinks.batches import feed
 from tidemark.sinks.tables import append_stream, stream_table
-from tidemark.sinks.upsert import read_latest, upsert_stream
 from tidemark.sources.files import stream_csv
 from tidemark.sources.messages import message_stream, publish_events
 from tidemark.streaming import gold
-from tidemark.streaming.runs import await_all
-
-WINDOW_KEYS = {"event_metrics": "event", "visitor_behavior": "visitorid", "item_popularity": "itemid"}
 
 
 def publish(spark: SparkSession, landing: str, home: str) -> None:
@@ -42,36 +39,33 @@ def to_silver(spark: SparkSession, home: str) -> None:
     append_stream(silver, f"{home}/silver", f"{home}/checkpoints/silver")
 
 
+GOLD_SUMS = {
+    "visitor_profile": gold.PROFILES,
+    "item_cooccurrence": gold.BASKETS,
+    "event_metrics": gold.METRICS,
+    "visitor_behavior": gold.BEHAVIOR,
+    "item_popularity": gold.POPULARITY,
+}
+
+
+def _silver_schema(spark: SparkSession) -> StructType:
+    return ev.silver_events(spark.createDataFrame([], EVENT_BRONZE)).schema
+
+
 def to_gold(spark: SparkSession, home: str) -> None:
-    """Independent queries over silver, side by side."""
-    schema = ev.silver_events(_bronze(spark, home)).schema
-    silver = stream_table(spark, f"{home}/silver", schema=schema)
-    behavior = windows.visitor_behavior(silver, approximate=True)
-    streams = {
-        "visitor_profile": (gold.stream_visitor_profile, silver),
-        "customer_journey": (gold.stream_customer_journey, silver),
-        "item_cooccurrence": (gold.stream_item_cooccurrence, silver),
-        "event_metrics": (upsert_stream, windows.event_metrics(silver)),
-        "visitor_behavior": (upsert_stream, behavior),
-        "item_popularity": (upsert_stream, windows.item_popularity(silver)),
-    }
-    await_all(
-        [
-            start(rows, f"{home}/{name}", f"{home}/checkpoints/{name}", wait=False)
-            for name, (start, rows) in streams.items()
-        ]
-    )
+    """One query over silver feeds all gold tables, so that each event is read once."""
+    silver = stream_table(spark, f"{home}/silver", schema=_silver_schema(spark))
+    writes = [table.write(f"{home}/{name}") for name, table in GOLD_SUMS.items()]
+    writes.append(gold.journey_write(f"{home}/customer_journey"))
+    feed(silver, f"{home}/checkpoints/gold", writes)
 
 
 def read_gold(spark: SparkSession, home: str) -> dict[str, DataFrame]:
-    return {
-        "visitor_profile": gold.read_profiles(spark, f"{home}/visitor_profile"),
-        "customer_journey": gold.read_journeys(spark, f"{home}/customer_journey"),
-        "item_cooccurrence": gold.read_baskets(spark, f"{home}/item_cooccurrence"),
-    } | {
-        name: read_latest(spark, f"{home}/{name}", ["window_start", key])
-        for name, key in WINDOW_KEYS.items()
-    }
+    events = _silver_schema(spark)
+    tables = {name: t.read(spark, f"{home}/{name}", events) for name, t in GOLD_SUMS.items()}
+    tables["item_cooccurrence"] = ev.baskets(tables["item_cooccurrence"])
+    journeys = gold.read_journeys(spark, f"{home}/customer_journey", events=events)
+    return tables | {"customer_journey": journeys}
 
 
 def run(spark: SparkSession, landing: str, home: str) -> dict[str, DataFrame]:

@@ -1,19 +1,105 @@
 """Gold tables of the speed layer, kept by Structured Streaming.
 
-A micro-batch writes what it changes and reads nothing of the history, so its work grows with the
-batch alone. Journeys and baskets are stored in long form and put together when they are read.
+Most are *sums*: a micro-batch adds counts and sketches of its own events, without state or watermark,
+and readers merge them. Late events correct the groups they fall into, whenever they come. Journeys
+are a log of events by day beside counts by key and hour, so that numbers follow from the counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import events as ev
-from tidemark.sinks import versions
-from tidemark.sinks.upsert import read_latest, upsert_stream
-from tidemark.sinks.versions import VERSION_COLUMNS, read_versions, refresh_stream, write_batches
+from tidemark.operators import windows
+from tidemark.operators.skew import same_keys
+from tidemark.sinks import batches
+from tidemark.sinks.batches import Write
+
+HOUR_MS = 3_600_000
+DAY_MS = 24 * HOUR_MS
+DAY, HOUR = "journey_day", "journey_hour"
+
+
+@dataclass(frozen=True)
+class Sums:
+    """A gold table whose rows add up: ``parts`` of events, merged by ``keys``, read as ``result``."""
+
+    parts: Callable[[DataFrame], DataFrame]
+    keys: Sequence[str]
+    merged: Callable[[], Sequence[Column]]
+    result: Callable[[DataFrame], DataFrame] = lambda rows: rows
+
+    def merge(self, parts: DataFrame) -> DataFrame:
+        return parts.groupBy(*self.keys).agg(*self.merged())
+
+    def write(self, path: str) -> Write:
+        return batches.to_sums(path, self.parts, self.merge)
+
+    def read(
+        self, spark: SparkSession, path: str, events: T.StructType | None = None
+    ) -> DataFrame:
+        """The merged table; with the schema of its ``events`` it may not yet be written."""
+        schema = None if events is None else self.parts(spark.createDataFrame([], events)).schema
+        return self.result(batches.read_sums(spark, path, self.merge, schema))
+
+
+def _sum(*names: str) -> list[Column]:
+    return [F.sum(name).alias(name) for name in names]
+
+
+WINDOW = ("window_start", "window_end")
+PROFILES = Sums(
+    ev.profile_parts,
+    ["visitorid"],
+    lambda: [
+        *_sum("total_viewcount", "total_addtocart"),
+        F.max("bought_something").alias("bought_something"),
+        F.hll_union_agg("viewed_items").alias("viewed_items"),
+    ],
+    ev.profiles_of_parts,
+)
+BASKETS = Sums(
+    lambda events: ev.basket_items(ev.purchases(events)),
+    ["transactionid", "itemid"],
+    lambda: _sum("copies"),
+)
+METRICS = Sums(
+    lambda events: windows.event_metrics(events, watermark=None),
+    [*WINDOW, "event"],
+    lambda: _sum("event_count"),
+)
+BEHAVIOR = Sums(
+    windows.behavior_parts,
+    [*WINDOW, "visitorid"],
+    lambda: [
+        *_sum("total_events", "views", "addtocarts", "transactions"),
+        F.hll_union_agg("seen_items").alias("seen_items"),
+    ],
+    windows.behavior_of_parts,
+)
+POPULARITY = Sums(
+    lambda events: windows.item_popularity(events, watermark=None),
+    [*WINDOW, "itemid"],
+    lambda: _sum("interactions", "purchases"),
+)
+_COUNTS = Sums(
+    lambda timed: timed.groupBy(*ev.JOURNEY_KEYS, HOUR).agg(F.count("*").alias("events")),
+    [*ev.JOURNEY_KEYS, HOUR],
+    lambda: _sum("events"),
+)
+
+
+def stream_sums(
+    events: DataFrame, table: Sums, target: str, checkpoint: str, wait: bool = True
+) -> StreamingQuery:
+    return batches.feed(events, checkpoint, [table.write(target)], wait=wait)
 
 
 def stream_visitor_profile(
@@ -21,49 +107,107 @@ def stream_visitor_profile(
 ) -> StreamingQuery:
     """Visitor profiles with approximate distinct items; read with ``read_profiles``.
 
-    ``complete`` rewrites all visitors per micro-batch, to be read with ``read_newest``.
+    ``complete`` keeps all visitors in state and rewrites them per micro-batch, to be read with
+    ``read_newest``.
     """
-    sink = refresh_stream if complete else upsert_stream
-    return sink(ev.visitor_profile(events, approximate=True), target, checkpoint, wait=wait)
+    if complete:
+        profiles = ev.visitor_profile(events, approximate=True)
+        return batches.replace_stream(profiles, target, checkpoint, wait=wait)
+    return stream_sums(events, PROFILES, target, checkpoint, wait)
 
 
 def read_profiles(spark: SparkSession, target: str) -> DataFrame:
-    return read_latest(spark, target, ["visitorid"])
+    return PROFILES.read(spark, target)
 
 
-def stream_customer_journey(
-    events: DataFrame, log: str, checkpoint: str, wait: bool = True
+def stream_item_cooccurrence(
+    events: DataFrame, target: str, checkpoint: str, wait: bool = True
 ) -> StreamingQuery:
-    """Appends events to the log of journeys; read with ``read_journeys``.
+    """Adds each micro-batch's items per transaction; read with ``read_baskets``."""
+    return stream_sums(events, BASKETS, target, checkpoint, wait)
 
-    A late event shifts the numbers of all later ones, so numbers are given at reading.
-    """
-    return write_batches(events, log, checkpoint, wait=wait)
 
+def read_basket_items(spark: SparkSession, target: str) -> DataFrame:
+    return BASKETS.read(spark, target)
 
-def read_journeys(spark: SparkSession, log: str) -> DataFrame:
-    return ev.customer_journey(read_versions(spark, log).drop(*VERSION_COLUMNS))
 
+def read_baskets(spark: SparkSession, target: str) -> DataFrame:
+    return ev.baskets(read_basket_items(spark, target))
 
-def stream_item_cooccurrence(
-    events: DataFrame, target: str, checkpoint: str, wait: bool = True
-) -> StreamingQuery:
-    """Adds each micro-batch's items per transaction; read with ``read_baskets``."""
-    return write_batches(ev.purchases(events), target, checkpoint, ev.basket_items, wait=wait)
 
+# --- journeys
 
-def _added(items: DataFrame) -> DataFrame:
-    return items.groupBy("transactionid", "itemid").agg(F.sum("copies").alias("copies"))
 
+def _timed(events: DataFrame) -> DataFrame:
+    """Events with the number and the day of their hour; those without a valid time come first."""
+    timed, _ = ev.with_position(events)
+    hour = F.expr(f"(_at - pmod(_at, {HOUR_MS})) div {HOUR_MS}")
+    day = F.date_from_unix_date(F.expr(f"(_at - pmod(_at, {DAY_MS})) div {DAY_MS}").cast("int"))
+    return timed.withColumns({HOUR: hour, DAY: day}).drop("_at")
 
-def read_basket_items(spark: SparkSession, target: str) -> DataFrame:
-    return _added(read_versions(spark, target))
 
+def journey_write(target: str) -> Write:
+    """Appends events to the log by day, and adds their counts by key and hour."""
+    log = batches.to_batches(f"{target}/log", partition_by=[DAY])
+    counts = _COUNTS.write(f"{target}/counts")
 
-def read_baskets(spark: SparkSession, target: str) -> DataFrame:
-    return ev.baskets(read_basket_items(spark, target))
+    def write(batch: DataFrame, stream: str, batch_id: int) -> None:
+        timed = _timed(batch)
+        log(timed, stream, batch_id)
+        counts(timed, stream, batch_id)
 
+    return write
 
-def compact_baskets(spark: SparkSession, target: str) -> int:
-    """Merges the history to one row per transaction and item, in place."""
-    return versions.compact(spark, target, _added)
+
+def stream_customer_journey(
+    events: DataFrame, target: str, checkpoint: str, wait: bool = True
+) -> StreamingQuery:
+    """Keeps the log of journeys and its counts; read with ``read_journeys``."""
+    return batches.feed(events, checkpoint, [journey_write(target)], wait=wait)
+
+
+def _days(name: str, since: dt.date | None, until: dt.date | None) -> Column:
+    asked = F.lit(True)
+    if since is not None:
+        asked = asked & (F.col(name) >= F.lit(since))
+    if until is not None:
+        asked = asked & (F.col(name) <= F.lit(until))
+    return asked
+
+
+def read_journeys(
+    spark: SparkSession,
+    target: str,
+    since: dt.date | None = None,
+    until: dt.date | None = None,
+    visitors: Sequence[str] | None = None,
+    events: T.StructType | None = None,
+) -> DataFrame:
+    """Events numbered in time order within each visitor and item, of the days asked for.
+
+    Within a key's hour events are ranked; the key's counts of earlier hours are added. So only the
+    days asked for are read and ranked, and a late event shifts later numbers through the counts
+    alone. A task ranks one hour of one key at a time.
+    """
+    schema = None if events is None else _timed(spark.createDataFrame([], events)).schema
+    log = batches.read_batches(spark, f"{target}/log", schema).drop(batches.STREAM, batches.BATCH)
+    counts = _COUNTS.read(spark, f"{target}/counts", schema)
+    if visitors is not None:
+        log, counts = (t.filter(F.col("visitorid").isin(*visitors)) for t in (log, counts))
+    log = log.filter(_days(DAY, since, until))
+    keys = [*ev.JOURNEY_KEYS, HOUR]
+    until_here = Window.partitionBy(*ev.JOURNEY_KEYS).orderBy(HOUR)
+    earlier = until_here.rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(
+        *[F.col(key).alias(f"_of_{key}") for key in keys],
+        F.coalesce(F.sum("events").over(earlier), F.lit(0)).alias("_before"),
+    )
+    timed, position = ev.with_position(log)
+    rank = F.row_number().over(
+        Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in position])
+    )
+    ranked = timed.withColumn("_rank", rank).join(
+        before, same_keys(keys, [f"_of_{key}" for key in keys])
+    )
+    columns = [c for c in log.columns if c not in (DAY, HOUR)]
+    return ranked.select(*columns, (F.col("_rank") + F.col("_before")).alias("event_order"))
