@@ -9,8 +9,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions import clock
+from tidemark.functions import clock, validation
 from tidemark.operators import skew
 from tidemark.schemas import EVENT_MESSAGE, EVENT_TYPES
 
@@ -19,11 +20,31 @@ JOURNEY_KEYS = ["visitorid", "itemid"]
 
 def bronze_events(messages: DataFrame) -> DataFrame:
     """JSON payloads as columns, with arrival and processing time; bad JSON gives NULLs."""
-    payload = F.from_json(F.col("data").cast("string"), EVENT_MESSAGE)
+    return checked_bronze_events(messages).drop("payload", "payload_status")
+
+
+def checked_bronze_events(messages: DataFrame) -> DataFrame:
+    """Bronze events with ``payload_status``, and the raw ``payload`` of a message that failed.
+
+    A message fails if it has no payload or one that is not a JSON object of the event's fields, as
+    a truncated one; what could be read of it is kept in the other columns.
+    """
+    text = F.col("data").cast("string")
+    schema = T.StructType([*EVENT_MESSAGE.fields, T.StructField("_malformed", T.StringType())])
+    parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": "_malformed"})
+    failed = text.isNull() | F.col("event_data").isNull() | F.col("event_data._malformed").isNotNull()
     return messages.select(
-        payload.alias("event_data"),
+        parsed.alias("event_data"),
         F.col("approximateArrivalTimestamp").alias("kinesis_timestamp"),
-    ).select("event_data.*", "kinesis_timestamp", F.current_timestamp().alias("_processing_time"))
+        text.alias("_text"),
+        "data",
+    ).select(
+        *[F.col(f"event_data.{name}") for name in EVENT_MESSAGE.fieldNames()],
+        "kinesis_timestamp",
+        F.current_timestamp().alias("_processing_time"),
+        F.when(failed, F.col("_text")).alias("payload"),
+        F.when(failed, validation.FAILED).otherwise(validation.PASSED).alias("payload_status"),
+    )
 
 
 def events_renamed(bronze: DataFrame) -> DataFrame:
@@ -53,16 +74,15 @@ def silver_events(
 
 
 def silver_events_validated(
-    bronze: DataFrame, event_types: Sequence[str] = EVENT_TYPES
+    bronze: DataFrame, event_types: Sequence[str] = EVENT_TYPES, any_case: bool = False
 ) -> DataFrame:
     """The documented silver contract: required fields, known events, lower case, date and hour.
 
-    As documented, events are told apart before they are lower-cased.
+    As documented, events are told apart before they are lower-cased; with ``any_case``, after.
     """
+    event = F.lower("event") if any_case else F.col("event")
     kept = bronze.filter(
-        F.col("timestamp").isNotNull()
-        & F.col("visitorid").isNotNull()
-        & F.col("event").isin(*event_types)
+        F.col("timestamp").isNotNull() & F.col("visitorid").isNotNull() & event.isin(*event_types)
     )
     return kept.withColumns(
         {"event": F.lower("event"), "event_time": clock.event_time("timestamp")}

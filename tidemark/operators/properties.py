@@ -30,14 +30,15 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]
     return rows.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def silver_item_properties(
+TYPED = (
+    "timestamp_unix", "item_id", "property_id", "property_value", "ingestion_timestamp", "source_file",
+)
+
+
+def typed_item_properties(
     bronze: DataFrame, required: Sequence[str] = ("item_id", "property_id")
 ) -> DataFrame:
-    """Typed rows with the required columns present, latest per item and property.
-
-    Equal timestamps are settled by the later load, then by value and file. The time columns are
-    derived after the deduplication, so they are neither shuffled nor computed for dropped rows.
-    """
+    """The columns ``TYPED`` of rows with the required ones present."""
     typed = bronze.select(
         F.col("timestamp").cast("bigint").alias("timestamp_unix"),
         F.col("itemid").cast("int").alias("item_id"),
@@ -48,6 +49,22 @@ def silver_item_properties(
     )
     for name in required:
         typed = typed.filter(F.col(name).isNotNull())
+    return typed
+
+
+def silver_item_properties(
+    bronze: DataFrame, required: Sequence[str] = ("item_id", "property_id")
+) -> DataFrame:
+    """Typed rows with the required columns present, latest per item and property."""
+    return latest_item_properties(typed_item_properties(bronze, required))
+
+
+def latest_item_properties(typed: DataFrame) -> DataFrame:
+    """The latest of typed rows per item and property, which may themselves come from silver.
+
+    Equal timestamps are settled by the later load, then by value and file. The time columns are
+    derived after the deduplication, so they are neither shuffled nor computed for dropped rows.
+    """
     newest = [
         F.col(name).desc_nulls_last()
         for name in ("timestamp_unix", "ingestion_timestamp", "property_value", "source_file")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock
@@ -31,10 +33,19 @@ def silver_quality(silver: DataFrame) -> DataFrame:
     )
 
 
+def null_key_counts(keys: Sequence[str] = ("item_id", "property_id")) -> list[Column]:
+    return [F.count(F.when(F.col(key).isNull(), 1)).alias(f"null_{key}") for key in keys]
+
+
 def null_key_check(silver: DataFrame) -> DataFrame:
-    return silver.agg(
-        F.count_if(F.col("item_id").isNull()).alias("null_item_id"),
-        F.count_if(F.col("property_id").isNull()).alias("null_property_id"),
+    return silver.agg(*null_key_counts())
+
+
+def with_keys_present(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows``; a job that meets a NULL key fails, before what it writes is published."""
+    types = dict(rows.dtypes)
+    return rows.withColumns(
+        {k: F.coalesce(k, F.raise_error(F.lit(f"NULL in {k}")).cast(types[k])) for k in keys}
     )
 
 

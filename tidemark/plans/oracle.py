@@ -116,6 +116,20 @@ _OVER_PROPERTIES = {
     f" UNION ALL {_RAW.replace(' FROM', ', ' + chr(39) + 'second' + chr(39) + ' FROM')}",
     "schema_evolution_catalog": f"{_RAW.replace(' FROM', ', CAST(NULL AS VARCHAR) AS _load_id FROM')}"
     f" UNION ALL {_RAW.replace(' FROM', ', ' + chr(39) + 'second' + chr(39) + ' FROM')}",
+    "schema_evolution_stream": f"{_RAW.replace(' FROM', ', CAST(NULL AS VARCHAR) AS _load_id FROM')}"
+    f" UNION ALL {_RAW.replace(' FROM', ', ' + chr(39) + 'second' + chr(39) + ' FROM')}",
+    "csv_inferred_stream": _RAW,
+    "silver_documented_required": "SELECT timestamp_unix, "
+    "make_timestamp((timestamp_unix // 1000) * 1000000) AS event_time, item_id, property_id, "
+    "property_value, CAST(make_timestamp((timestamp_unix // 1000) * 1000000) AS DATE) AS event_date, "
+    "CAST(year(make_timestamp(timestamp_unix * 1000)) AS INTEGER) AS event_year, "
+    "CAST(month(make_timestamp(timestamp_unix * 1000)) AS INTEGER) AS event_month "
+    'FROM (SELECT "timestamp" AS timestamp_unix, itemid AS item_id, property_id, '
+    '"value" AS property_value, row_number() OVER (PARTITION BY itemid, property_id '
+    'ORDER BY "timestamp" DESC, "value" DESC) AS rn FROM (SELECT *, '
+    "CASE WHEN property % 3 <> 0 THEN property END AS property_id FROM raw "
+    'WHERE itemid % 5 <> 0 AND "timestamp" IS NOT NULL)) WHERE rn = 1',
+    "silver_incremental": _SILVER,
     "silver_item_properties": _SILVER,
     "silver_partitioned_table": _SILVER,
     "silver_quality": "SELECT count(*) AS total_records, count(DISTINCT item_id) AS unique_items, "
@@ -145,6 +159,22 @@ _OVER_EVENTS = {
     "publish_events": f"SELECT itemid AS key, {_EVENT_COLUMNS}, TRUE AS has_ingestion_id, "
     "TRUE AS has_ingestion_time, TRUE AS has_source_file, 'passed' AS validation_status "
     "FROM bronze",
+    "publish_counts": "SELECT count(*) FILTER (WHERE CAST(_ingestion_id AS BIGINT) % 10 <> 0) "
+    "AS successful, count(*) FILTER (WHERE CAST(_ingestion_id AS BIGINT) % 10 = 0) AS failed FROM bronze",
+    "publish_rejected": 'SELECT "timestamp", CAST(NULL AS VARCHAR) AS visitorid, event, itemid, '
+    "transactionid, 'missing_visitorid' AS validation_error FROM bronze "
+    "WHERE CAST(_ingestion_id AS BIGINT) % 10 = 0",
+    "malformed_payloads": "SELECT 'published' AS part, count(*) AS record_count FROM bronze UNION ALL "
+    "SELECT 'malformed', count(*) FROM bronze WHERE CAST(itemid AS INTEGER) % 8 = 0 UNION ALL "
+    "SELECT 'silver', count(*) FROM silver WHERE CAST(itemid AS INTEGER) % 8 <> 0",
+    "bronze_processing_time": f"SELECT {_EVENT_COLUMNS}, TRUE AS stamped FROM bronze",
+    "silver_events_documented": "SELECT CAST(event_id AS VARCHAR) AS _ingestion_id, "
+    'CAST(epoch_us(ts) // 1000 AS VARCHAR) AS "timestamp", CAST(user_id AS VARCHAR) AS visitorid, '
+    "event_type AS event, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS event_time, "
+    "CAST(ts AS DATE) AS event_date, CAST(hour(ts) AS INTEGER) AS event_hour FROM events "
+    "WHERE user_id % 7 <> 0 "
+    "AND event_type IN ('view', 'click', 'purchase', 'add_to_cart', 'remove_from_cart')",
+    "silver_events_restarted": f"SELECT {_EVENT_COLUMNS}, event_time FROM silver",
     "bronze_events": f"SELECT {_EVENT_COLUMNS} FROM bronze",
     "bronze_events_stream": f"SELECT {_EVENT_COLUMNS} FROM bronze",
     "events_renamed": 'SELECT "timestamp" AS event_time, visitorid AS visitor_id, '

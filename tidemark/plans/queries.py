@@ -18,7 +18,13 @@ from tidemark.operators import events as ev
 from tidemark.operators import properties as props
 from tidemark.operators import quality, windows
 from tidemark.plans import batch_layer, fixtures, speed_layer
-from tidemark.schemas import EVENT_CSV, EVENT_MESSAGE, EVENT_TYPES, PROPERTY_CSV
+from tidemark.schemas import (
+    DOCUMENTED_EVENT_TYPES,
+    EVENT_CSV,
+    EVENT_MESSAGE,
+    EVENT_TYPES,
+    PROPERTY_CSV,
+)
 from tidemark.session import workspace
 from tidemark.sinks import batches
 from tidemark.sinks.tables import append_stream, read_table, write_table
@@ -105,6 +111,57 @@ def schema_evolution_catalog(spark, sf_dir):
     return read_table(spark, target)
 
 
+@query
+def schema_evolution_stream(spark, sf_dir):
+    """A stream whose second drop has one more column; the catalog table gets it before the restart."""
+    home = workspace(spark, "schema_evolution_stream")
+    target = f"evolved_{uuid.uuid4().hex}"
+    rows = fixtures.as_item_properties(fixtures.table(spark, sf_dir, "lineitem"))
+    for drop in (rows, rows.withColumn("_load_id", F.lit("second")), rows.limit(0)):
+        drop.write.mode("append").parquet(f"{home}/landing")
+        landed = spark.readStream.schema(drop.schema).parquet(f"{home}/landing")
+        append_stream(landed, target, f"{home}/checkpoint")
+    return read_table(spark, target)
+
+
+@query
+def csv_inferred_stream(spark, sf_dir):
+    """Files read as a stream with the types inferred from them."""
+    home = workspace(spark, "csv_inferred_stream")
+    landing = fixtures.land_item_properties(spark, sf_dir, f"{home}/landing")
+    append_stream(stream_csv(spark, landing), f"{home}/bronze", f"{home}/checkpoint")
+    return read_table(spark, f"{home}/bronze")
+
+
+@query
+def silver_documented_required(spark, sf_dir):
+    """Silver by the documented rule: time and item must be present, the property may be missing."""
+    bronze = fixtures.bronze_item_properties(spark, sf_dir).withColumns(
+        {
+            "timestamp": F.when(F.col("itemid") % 5 != 0, F.col("timestamp")),
+            "property": F.when(F.col("property") % 3 != 0, F.col("property")),
+        }
+    )
+    silver = props.silver_item_properties(bronze, required=("timestamp_unix", "item_id"))
+    return silver.drop("ingestion_timestamp", "source_file")
+
+
+@query
+def silver_incremental(spark, sf_dir):
+    """Silver merged drop by drop; each drop rewrites only the buckets of its items."""
+    home = workspace(spark, "silver_incremental")
+    rows = fixtures.as_item_properties(fixtures.table(spark, sf_dir, "lineitem"))
+    second = F.coalesce(F.col("timestamp"), F.lit(0)) % (2 * 86_400_000) >= 86_400_000
+    for drop in (rows.filter(~second), rows.filter(second)):
+        drop.write.mode("append").option("header", True).csv(f"{home}/landing")
+        batch_layer.ingest(spark, f"{home}/landing", f"{home}/bronze", f"{home}/checkpoint")
+        batch_layer.refine_new(
+            spark, f"{home}/bronze", f"{home}/silver", f"{home}/checkpoint-silver", buckets=8
+        )
+    silver = read_table(spark, f"{home}/silver")
+    return silver.drop("ingestion_timestamp", "source_file", batch_layer.BUCKET)
+
+
 @query
 def silver_item_properties(spark, sf_dir):
     silver = fixtures.silver_item_properties(spark, sf_dir)
@@ -214,6 +271,62 @@ def publish_events(spark, sf_dir):
     )
 
 
+@query
+def publish_counts(spark, sf_dir):
+    """Messages sent and rejected by a load in which every tenth visitor is missing."""
+    home = workspace(spark, "publish_counts")
+    rows = fixtures.event_files(fixtures.table_stream(spark, sf_dir, "events"))
+    missing = F.col("_ingestion_id").cast("bigint") % 10 == 0
+    rows = rows.withColumn("visitorid", F.when(~missing, F.col("visitorid")))
+    counts = messages.LoadCounts()
+    query_ = messages.publish_events(rows, f"{home}/messages", f"{home}/checkpoint", counts=counts)
+    sent = counts.totals(query_)
+    # One row of counts, which the pass that published the rows has reported.
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in sent.items()])
+
+
+@query
+def publish_rejected(spark, sf_dir):
+    """The same load's rejected rows, as text with the reason."""
+    home = workspace(spark, "publish_rejected")
+    rows = fixtures.event_files(fixtures.table_stream(spark, sf_dir, "events"))
+    missing = F.col("_ingestion_id").cast("bigint") % 10 == 0
+    rows = rows.withColumn("visitorid", F.when(~missing, F.col("visitorid")))
+    messages.publish_events(rows, f"{home}/messages", f"{home}/checkpoint")
+    rejected = messages.rejected_messages(spark, f"{home}/messages")
+    return rejected.select(
+        *[F.get_json_object("row", f"$.{name}").alias(name) for name in EVENT_COLUMNS],
+        "validation_error",
+    )
+
+
+@query
+def malformed_payloads(spark, sf_dir):
+    """Published messages of which every eighth is cut off: silver and quarantine, from one pass."""
+    home = workspace(spark, "malformed_payloads")
+    rows = fixtures.event_files(fixtures.table_stream(spark, sf_dir, "events"))
+    messages.publish_events(rows, f"{home}/whole", f"{home}/checkpoints/whole")
+    whole = read_table(spark, f"{home}/whole")
+    item = F.get_json_object(F.col("data").cast("string"), "$.itemid").cast("int")
+    cut = F.expr("CAST(left(CAST(data AS STRING), length(CAST(data AS STRING)) - 7) AS BINARY)")
+    broken = whole.withColumn("data", F.when(item % 8 == 0, cut).otherwise(F.col("data")))
+    broken.write.partitionBy("validation_status").parquet(f"{home}/messages")
+    speed_layer.to_bronze(spark, home)
+    speed_layer.to_silver(spark, home)
+    parts = {
+        "published": whole,
+        "malformed": speed_layer.malformed_payloads(spark, home),
+        "silver": read_table(spark, f"{home}/silver"),
+    }
+    return reduce(
+        DataFrame.union,
+        [
+            rows.agg(F.lit(name).alias("part"), F.count("*").alias("record_count"))
+            for name, rows in parts.items()
+        ],
+    )
+
+
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.event_files(fixtures.table(spark, sf_dir, "events"))
     return messages.in_envelope(messages.to_messages(messages.event_records(rows)))
@@ -224,6 +337,14 @@ def bronze_events(spark, sf_dir):
     return ev.bronze_events(_messages(spark, sf_dir)).select(*EVENT_COLUMNS)
 
 
+@query
+def bronze_processing_time(spark, sf_dir):
+    """Bronze events are stamped when they are processed, not before they arrived."""
+    bronze = ev.bronze_events(_messages(spark, sf_dir))
+    stamped = F.col("_processing_time") >= F.col("kinesis_timestamp")
+    return bronze.select(*EVENT_COLUMNS, stamped.alias("stamped"))
+
+
 @query
 def events_renamed(spark, sf_dir):
     return ev.events_renamed(ev.bronze_events(_messages(spark, sf_dir))).drop("kinesis_time")
@@ -239,6 +360,21 @@ def silver_events_validated(spark, sf_dir):
     return ev.silver_events_validated(fixtures.bronze_events(spark, sf_dir))
 
 
+@query
+def silver_events_documented(spark, sf_dir):
+    """The documented vocabulary, in mixed case, over the raw event names."""
+    bronze = fixtures.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("_ingestion_id"),
+        clock.millis_of("ts").cast("string").alias("timestamp"),
+        F.when(F.col("user_id") % 7 != 0, F.col("user_id").cast("string")).alias("visitorid"),
+        F.when(F.col("event_id") % 2 == 0, F.upper("event_type"))
+        .when(F.col("event_id") % 3 == 0, F.initcap("event_type"))
+        .otherwise(F.col("event_type"))
+        .alias("event"),
+    )
+    return ev.silver_events_validated(bronze, DOCUMENTED_EVENT_TYPES, any_case=True)
+
+
 @query
 def events_date_parts(spark, sf_dir):
     time = F.col("event_time")
@@ -437,6 +573,19 @@ def silver_events_stream(spark, sf_dir):
     return read_table(spark, f"{home}/silver").select(*EVENT_COLUMNS, "event_time")
 
 
+@query
+def silver_events_restarted(spark, sf_dir):
+    """Two drops with a restart after each, and one more restart without a drop."""
+    home = workspace(spark, "silver_events_restarted")
+    rows = fixtures.bronze_events(spark, sf_dir)
+    late = F.crc32("_ingestion_id") % 2 == 1
+    for drop in (rows.filter(~late), rows.filter(late), rows.limit(0)):
+        drop.write.mode("append").parquet(f"{home}/landing")
+        landed = spark.readStream.schema(rows.schema).parquet(f"{home}/landing")
+        append_stream(ev.silver_events(landed), f"{home}/silver", f"{home}/checkpoint")
+    return read_table(spark, f"{home}/silver").select(*EVENT_COLUMNS, "event_time")
+
+
 @query
 def visitor_profile_stream(spark, sf_dir):
     """The stream's exact columns, and whether its sketch is as close as its error allows."""

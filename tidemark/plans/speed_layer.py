@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions import validation
 from tidemark.operators import events as ev
 from tidemark.schemas import EVENT_BRONZE, EVENT_CSV
 from tidemark.sinks.batches import feed
-from tidemark.sinks.tables import append_stream, stream_table
+from tidemark.sinks.tables import append_stream, read_table, stream_table
 from tidemark.sources.files import stream_csv
 from tidemark.sources.messages import message_stream, publish_events
 from tidemark.streaming import gold
@@ -26,12 +27,26 @@ def publish(spark: SparkSession, landing: str, home: str) -> None:
 
 
 def to_bronze(spark: SparkSession, home: str) -> None:
-    messages = message_stream(spark, f"{home}/messages")
-    append_stream(ev.bronze_events(messages), f"{home}/bronze", f"{home}/checkpoints/bronze")
+    """Parsed messages and those that do not parse, in one pass, as two partitions."""
+    parsed = ev.checked_bronze_events(message_stream(spark, f"{home}/messages"))
+    append_stream(parsed, f"{home}/bronze", f"{home}/checkpoints/bronze", ["payload_status"])
+
+
+BRONZE_LOG = StructType([*EVENT_BRONZE.fields]).add("payload", "string").add("payload_status", "string")
 
 
 def _bronze(spark: SparkSession, home: str) -> DataFrame:
-    return stream_table(spark, f"{home}/bronze", schema=EVENT_BRONZE)
+    parsed = stream_table(spark, f"{home}/bronze", schema=BRONZE_LOG)
+    passed = parsed.filter(F.col("payload_status") == validation.PASSED)
+    return passed.select(*EVENT_BRONZE.fieldNames())
+
+
+def malformed_payloads(spark: SparkSession, home: str) -> DataFrame:
+    """The messages that bronze could not parse, raw, from their own partition."""
+    log = read_table(spark, f"{home}/bronze", schema=BRONZE_LOG)
+    return log.filter(F.col("payload_status") == validation.FAILED).select(
+        "payload", "kinesis_timestamp"
+    )
 
 
 def to_silver(spark: SparkSession, home: str) -> None:

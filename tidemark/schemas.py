@@ -11,6 +11,15 @@ PROPERTY_CSV = T.StructType(
     ]
 )
 
+ITEM_BRONZE = T.StructType(
+    [
+        *PROPERTY_CSV.fields,
+        T.StructField("_ingestion_time", T.TimestampType()),
+        T.StructField("_source_file", T.StringType()),
+        T.StructField("_load_id", T.StringType()),
+    ]
+)
+
 ITEM_SILVER = T.StructType(
     [
         T.StructField("timestamp_unix", T.LongType()),

@@ -58,7 +58,13 @@ def feed(
     return run_to_end(writer.option("checkpointLocation", checkpoint), wait=wait)
 
 
-def _overwrite(rows: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> None:
+def overwrite_partitions(
+    rows: DataFrame, path: str, partition_by: Sequence[str], fmt: str = FORMAT
+) -> None:
+    """Replaces the partitions that ``rows`` has, once all of it is written, and leaves the others.
+
+    ``rows`` may come from the same table.
+    """
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).format(fmt).save(path)
 
@@ -75,7 +81,7 @@ def write_batch(
     placed = rows.withColumns({STREAM: F.lit(stream), BATCH: F.lit(batch_id).cast("bigint")})
     if partition_by:
         placed = placed.hint("rebalance", *[F.col(name) for name in partition_by])
-    _overwrite(placed, path, [*partition_by, STREAM, BATCH], fmt)
+    overwrite_partitions(placed, path, [*partition_by, STREAM, BATCH], fmt)
 
 
 def to_batches(
@@ -99,7 +105,15 @@ def read_batches(
     """
     if schema is None:
         return read_table(spark, path, fmt)
-    schema = T.StructType([*schema.fields]).add(STREAM, "string").add(BATCH, "long")
+    return read_or_empty(
+        spark, path, T.StructType([*schema.fields]).add(STREAM, "string").add(BATCH, "long"), fmt
+    )
+
+
+def read_or_empty(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = FORMAT
+) -> DataFrame:
+    """A table by path that may hold no row, or may not yet be written."""
     try:
         return read_table(spark, path, fmt, schema=schema)
     except AnalysisException as error:
@@ -150,7 +164,7 @@ def replace_stream(
 
     def write(batch: DataFrame, stream: str, batch_id: int) -> None:
         turn = F.lit(batch_id % 2).alias("turn")
-        _overwrite(batch.select("*", F.current_timestamp().alias(WRITTEN), turn), path, ["turn"], fmt)
+        overwrite_partitions(batch.select("*", F.current_timestamp().alias(WRITTEN), turn), path, ["turn"], fmt)
 
     return feed(aggregate, checkpoint, [write], "complete", wait)
 

@@ -111,7 +111,13 @@ def append_stream(
     partition_by: Sequence[str] = (),
     fmt: str = FORMAT,
 ) -> StreamingQuery:
-    """Appends each row of a stream once."""
+    """Appends each row of a stream once.
+
+    Before it starts, a catalog table gets the columns that only ``rows`` has, and ``rows`` those that
+    only the table has, as NULL. So a stream that is started again with a wider source goes on.
+    """
+    if not _is_path(target) and rows.sparkSession.catalog.tableExists(target):
+        rows = _widened(rows, target)
     writer = (
         rows.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.functions import clock, validation
 from tidemark.schemas import EVENT_CSV, MESSAGE_ENVELOPE
@@ -71,21 +72,81 @@ def in_envelope(messages: DataFrame) -> DataFrame:
     )
 
 
+class LoadCounts(StreamingQueryListener):
+    """Messages sent and rejected by one load, as its query reports them for each micro-batch.
+
+    The counts come with the rows, from the pass that publishes them; ``name`` tells loads apart
+    that run at the same time.
+    """
+
+    def __init__(self) -> None:
+        self.name = f"published_{uuid.uuid4().hex}"
+        self.batches: dict[int, tuple[int, int]] = {}
+        self._ended: set[str] = set()
+        self._changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(self.name)
+        if seen is not None:
+            self.batches[event.progress.batchId] = (seen["successful"], seen["failed"])
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def totals(self, query: StreamingQuery, timeout: float = 60) -> dict[str, int]:
+        """``{successful, failed}`` of all micro-batches of the query, which has ended."""
+        with self._changed:
+            if not self._changed.wait_for(lambda: str(query.runId) in self._ended, timeout):
+                raise TimeoutError("the end of the load was not reported")
+        return {
+            "successful": sum(sent for sent, _ in self.batches.values()),
+            "failed": sum(rejected for _, rejected in self.batches.values()),
+        }
+
+
 def publish_events(
-    rows: DataFrame, log: str, checkpoint: str, load_id: str | None = None
+    rows: DataFrame,
+    log: str,
+    checkpoint: str,
+    load_id: str | None = None,
+    counts: LoadCounts | None = None,
 ) -> StreamingQuery:
     """Publishes a stream of CSV rows to a file-based message log, once each.
 
-    Valid and rejected rows go to two partitions of the log in a single pass.
+    Valid and rejected rows go to two partitions of the log in a single pass, which also fills
+    ``counts``.
     """
     messages = in_envelope(to_messages(event_records(rows, load_id)))
-    return run_to_end(
-        messages.writeStream.format("parquet")
-        .partitionBy("validation_status")
-        .option("path", log)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    status = F.col("validation_status")
+    if counts is not None:
+        messages = messages.observe(
+            counts.name,
+            F.count(F.when(status == validation.PASSED, 1)).alias("successful"),
+            F.count(F.when(status == validation.FAILED, 1)).alias("failed"),
+        )
+        rows.sparkSession.streams.addListener(counts)
+    try:
+        query = run_to_end(
+            messages.writeStream.format("parquet")
+            .partitionBy("validation_status")
+            .option("path", log)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+        )
+        if counts is not None:
+            counts.totals(query)
+        return query
+    finally:
+        if counts is not None:
+            rows.sparkSession.streams.removeListener(counts)
 
 
 def message_stream(spark: SparkSession, log: str, max_files: int | None = None) -> DataFrame:
