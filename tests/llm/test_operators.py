@@ -549,9 +549,35 @@ def test_gradient_is_the_slope(spark):
     sequences = [rng.integers(0, 6, n) for n in (9, 7, 7, 3, 1)]
     base = gru.log10_probability(params, sequences, 0)
     assert np.allclose(base, gru.log10_probability(params, sequences, 0, span=2, batch=2), atol=1e-5)
-    after, tokens = gru.train(params, sequences * 20, 0, span=4, batch=10)
-    assert tokens == 20 * 27
-    assert gru.log10_probability(after, sequences, 0).sum() > base.sum()
+    trainer = gru.Trainer(params, 0, span=4, batch=10)
+    trainer.read(sequences * 10)
+    trainer.read(sequences * 10)
+    assert trainer.tokens == 20 * 27 and trainer.updates > 10
+    assert gru.log10_probability(trainer.params, sequences, 0).sum() > base.sum()
+
+    def loss(changed):
+        scores = gru.log10_probability(changed, sequences, 0)
+        return -scores.sum() * np.log(10) / 27
+
+    trainer = gru.Trainer(params, 0, span=99)
+    ordered = sorted(sequences, key=lambda s: -len(s))
+    (window,) = gru._windows([np.append(0, s) for s in ordered], 99)
+    grads = trainer._gradients(*window, np.zeros((5, 5), np.float32))
+    wide = {k: v.astype(np.float64) for k, v in params.items()}
+    for name, grad in grads.items():
+        for at in list(np.ndindex(grad.shape))[:: max(1, grad.size // 12)]:
+            slopes = []
+            for way in (1e-4, -1e-4):
+                moved = {k: v.copy() for k, v in wide.items()}
+                moved[name][at] += way
+                slopes.append(loss(moved))
+            assert (slopes[0] - slopes[1]) / 2e-4 == pytest.approx(float(grad[at]), abs=2e-4), (name, at)
+
+
+def test_large_logits_are_shifted():
+    params = gru.initial(6, 5, np.zeros(6)) | {"out_bias": np.array([500, 0, 0, 0, 0, -500], np.float32)}
+    assert not gru._small_logits(params)
+    assert gru.log10_probability(params, [np.array([0, 5])], 0)[0] == pytest.approx(-1000 / np.log(10), rel=1e-2)
 
 
 def test_probabilities_sum_to_one():
@@ -615,6 +641,68 @@ def test_lm_beats_the_base_on_unseen_documents(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.02 * sum(r.n_tokens for r in held)
 
 
+def plain_log10(params, classes, start):
+    """The network class by class, on numbers one after the other."""
+    p = {k: v.astype(np.float64) for k, v in params.items()}
+    n = p["state"].shape[0]
+    h, read, total = np.zeros(n), start, 0.0
+    for c in classes:
+        mixed, state = p["embed"][read] + p["bias"], h @ p["state"]
+        z, r = (1 / (1 + np.exp(-(mixed + state)[i * n : (i + 1) * n])) for i in range(2))
+        new = np.tanh(mixed[2 * n :] + r * state[2 * n :])
+        h = new + z * (h - new)
+        logits = h @ p["out"] + p["out_bias"]
+        total += (logits[c] - np.logaddexp.reduce(logits)) / np.log(10)
+        read = c
+    return total
+
+
+def test_lm_score_equals_a_token_by_token_sum(spark, monkeypatch):
+    """Class by the network, then the word within its class by the counts of all training words."""
+    from collections import Counter
+
+    rows = [(i, H.prose(i, 70) + f" rare{i} fits") for i in range(50)] + [(90, None), (91, "unseen words Only")]
+    made = {}
+    for name in ("trained", "class_table"):
+        real = getattr(lm_scoring, name)
+        monkeypatch.setattr(lm_scoring, name, lambda *a, real=real, name=name: made.setdefault(name, real(*a)))
+    got = lm_scoring.scored(H.frame(spark, rows), head=60).collect()
+    params, table = made["trained"], made["class_table"]
+    held = {r.doc_id for r in got if r.held_out}
+    seen = Counter(w for d, t in rows if d not in held for w in (t or "").encode().lower().split())
+    singles = [w for w, _ in sorted(table.index.items(), key=lambda x: x[1])[: lm_scoring.SINGLE_CLASSES]]
+    assert singles == sorted(singles, key=lambda w: (-seen[w], w)) and min(seen[w] for w in singles) >= max(
+        c for w, c in seen.items() if w not in singles
+    )
+
+    def class_of(word):
+        return 1 + singles.index(word) if word in singles else int(table.by_ending[lm_scoring._ending(word)])
+
+    mass = Counter()
+    for word, c in seen.items():
+        mass[class_of(word)] += c + 0.5
+    for r in got:
+        words = (dict(rows)[r.doc_id] or "").encode().lower().split()
+        kinds = [*map(class_of, words), lm_scoring.END]
+        inside = sum(
+            np.log10((seen[w] + 0.5) / (mass[k] + 0.5)) for w, k in zip(words, kinds) if k > lm_scoring.SINGLE_CLASSES
+        )
+        assert r.score == pytest.approx(plain_log10(params, kinds, lm_scoring.END) + inside, abs=1e-3)
+
+
+def test_head_words_are_the_most_frequent_and_bounded(spark):
+    counts = {f"w{i}".encode(): c for i, c in enumerate([10**12, 70_000, 70_001, 900, 900, 300, 5, 5, 5, 1, 1])}
+    frame = spark.createDataFrame(list(counts.items()), "word binary, c bigint").repartition(3)
+    for head in range(12):
+        found = lm_scoring.head_words(frame, head)
+        assert len(found) <= head and found == sorted(found, key=lambda x: (-x[1], x[0]))
+        assert all(counts[w] == c for w, c in found)
+        left = set(counts.values()) - {c for _, c in found}
+        assert not found or not left or min(c for _, c in found) > max(left)
+    assert len(lm_scoring.head_words(frame, 11)) == 11 and len(lm_scoring.head_words(frame, 8)) == 6
+    assert lm_scoring.head_words(frame.limit(0)) == []
+
+
 @pytest.mark.parametrize("rounds", [1, 2])
 def test_lm_trains_on_documents_without_an_id(spark, rounds):
     frame = H.frame(spark, [(None, "river stone cloud " * 30)] * 60)

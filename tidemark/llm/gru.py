@@ -4,7 +4,7 @@ At each step the state has read all earlier classes; a softmax over classes give
 the next one. Sequences run side by side, longest first, so those still running are a prefix of the
 batch. Windows of ``span`` steps bound the memory: scoring carries the state over from one window to
 the next, so a sequence's probability is the one of the whole sequence, and training cuts the
-gradient, not the state, at the window's beginning.
+gradient, not the state, at the window's beginning. There are at most 256 classes.
 """
 
 from __future__ import annotations
@@ -53,133 +53,169 @@ def _batches(sequences: Sequence[np.ndarray], batch: int):
         yield order[a : a + batch]
 
 
-def _windows(sequences: list[np.ndarray], span: int, start: int):
-    """``inputs, targets, active`` (steps x batch, and sequences running at each step)."""
-    lengths = np.array([len(s) for s in sequences])
+def _windows(sequences: list[np.ndarray], span: int):
+    """``inputs, targets, active`` (steps x batch, and sequences running at each step).
+
+    The first class of a sequence is only read; each later one is a target.
+    """
+    lengths = np.array([len(s) - 1 for s in sequences])
     for begin in range(0, int(lengths[0]) if len(lengths) else 0, span):
         steps = min(span, int(lengths[0]) - begin)
         running = int((lengths > begin).sum())
-        targets = np.zeros((steps, running), np.int64)
-        inputs = np.zeros((steps, running), np.int64)
-        for j in range(running):
-            part = sequences[j][begin : begin + steps]
-            targets[: len(part), j] = part
-            inputs[0, j] = sequences[j][begin - 1] if begin else start
-            inputs[1 : len(part), j] = part[:-1]
-        active = [(int((lengths > begin + t).sum())) for t in range(steps)]
-        yield inputs, targets, active
-
-
-def _forward(params: Parameters, inputs: np.ndarray, active: list[int], h: np.ndarray, keep: list | None):
-    hidden = h.shape[1]
-    mixed = params["embed"][inputs] + params["bias"]
-    states = np.zeros((len(active), inputs.shape[1], hidden), np.float32)
-    for t, n in enumerate(active):
-        before = h[:n]
-        from_state = before @ params["state"]
-        gates = _sigmoid(mixed[t, :n, : 2 * hidden] + from_state[:, : 2 * hidden])
-        z, r = gates[:, :hidden], gates[:, hidden:]
-        inner = from_state[:, 2 * hidden :]
-        new = np.tanh(mixed[t, :n, 2 * hidden :] + r * inner)
-        after = new + z * (before - new)
-        if keep is not None:
-            keep.append((before.copy(), z, r, inner, new))
-        states[t, :n] = after
-        h[:n] = after
-    return states
+        read = np.zeros((running, steps + 1), np.uint8)
+        for row, sequence in zip(read, sequences):
+            part = sequence[begin : begin + steps + 1]
+            row[: len(part)] = part
+        active = (lengths[:running, None] > begin + np.arange(steps)).sum(axis=0).tolist()
+        yield read[:, :-1].T.astype(np.intp), read[:, 1:].T.astype(np.intp), active
+
+
+def _step(params: Parameters, mixed: np.ndarray, before: np.ndarray):
+    """The next state from what the input adds and the state before, and the gates on the way."""
+    hidden = before.shape[1]
+    from_state = before @ params["state"]
+    gates = _sigmoid(mixed[:, : 2 * hidden] + from_state[:, : 2 * hidden])
+    z, r = gates[:, :hidden], gates[:, hidden:]
+    inner = from_state[:, 2 * hidden :]
+    new = np.tanh(mixed[:, 2 * hidden :] + r * inner)
+    return new + z * (before - new), z, r, inner, new
+
+
+def _exp_logits(params: Parameters, states: np.ndarray, least: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Logits, and their exponentials; shifted to a maximum of 0 unless all are known to be small."""
+    logits = states @ params["out"]
+    logits += params["out_bias"]
+    if not least:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits, np.exp(logits)
+
+
+def _small_logits(params: Parameters) -> bool:
+    """Whether no state, whose entries lie between -1 and 1, can give a logit beyond 60."""
+    return bool((np.abs(params["out"]).sum(axis=0) + np.abs(params["out_bias"])).max() < 60)
 
 
 def log10_probability(
     params: Parameters, sequences: Sequence[np.ndarray], start: int, span: int = 64, batch: int = 512
 ) -> np.ndarray:
-    """log10 of each whole sequence's probability; a sequence is read after the class ``start``."""
+    """log10 of each whole sequence's probability; a sequence is read after the class ``start``.
+
+    The softmax is taken over runs of steps with about ``batch`` states: few enough for the
+    processor's cache, and not one by one where a long sequence runs alone.
+    """
     out = np.zeros(len(sequences))
     hidden = params["state"].shape[0]
+    table, small = params["embed"] + params["bias"], _small_logits(params)
     for rows in _batches(sequences, batch):
-        chosen = [sequences[i] for i in rows]
+        chosen = [np.append(start, sequences[i]) for i in rows]
         h = np.zeros((len(rows), hidden), np.float32)
-        first = params["out_bias"]
         total = np.zeros(len(rows))
-        for inputs, targets, active in _windows(chosen, span, start):
-            states = _forward(params, inputs, active, h, None)
-            logits = states @ params["out"] + first
-            logits -= logits.max(axis=2, keepdims=True)
-            logs = np.take_along_axis(logits, targets[:, :, None], 2)[:, :, 0]
-            logs = logs - np.log(np.exp(logits).sum(axis=2))
-            mask = np.arange(inputs.shape[1])[None, :] < np.array(active)[:, None]
-            total[: inputs.shape[1]] += np.where(mask, logs, 0).sum(axis=0, dtype=np.float64)
+        for inputs, targets, active in _windows(chosen, span):
+            states, wanted = [], []
+            for t, n in enumerate(active):
+                h[:n] = _step(params, table[inputs[t, :n]], h[:n])[0]
+                states.append(h[:n].copy())
+                wanted.append(targets[t, :n])
+                if len(states) * n >= batch or t == len(active) - 1:
+                    logits, shares = _exp_logits(params, np.concatenate(states), small)
+                    found = logits[np.arange(len(logits)), np.concatenate(wanted)]
+                    found = found - np.log(shares.sum(axis=1))
+                    at = 0
+                    for part in states:
+                        total[: len(part)] += found[at : at + len(part)]
+                        at += len(part)
+                    states, wanted = [], []
         out[rows] = total / np.log(10)
     return out
 
 
-def train(
-    params: Parameters,
-    sequences: Sequence[np.ndarray],
-    start: int,
-    span: int = 32,
-    batch: int = 128,
-    rate: float = 0.01,
-) -> tuple[Parameters, int]:
-    """One pass of truncated backpropagation over ``sequences``; returns the steps' token count too."""
-    params = {k: v.copy() for k, v in params.items()}
-    moment = {k: np.zeros_like(v) for k, v in params.items()}
-    square = {k: np.zeros_like(v) for k, v in params.items()}
-    hidden = params["state"].shape[0]
-    updates, tokens = 0, 0
-    batches = list(_batches(sequences, batch))
-    for at in np.random.default_rng(11).permutation(len(batches)):
-        chosen = [sequences[i] for i in batches[at]]
-        h = np.zeros((len(chosen), hidden), np.float32)
-        for inputs, targets, active in _windows(chosen, span, start):
-            keep: list = []
-            states = _forward(params, inputs, active, h, keep)
-            count = sum(active)
-            mask = np.arange(inputs.shape[1])[None, :] < np.array(active)[:, None]
-            logits = states @ params["out"] + params["out_bias"]
-            logits -= logits.max(axis=2, keepdims=True)
-            np.exp(logits, out=logits)
-            logits /= logits.sum(axis=2, keepdims=True)
-            slope = logits
-            np.put_along_axis(slope, targets[:, :, None], np.take_along_axis(slope, targets[:, :, None], 2) - 1, 2)
-            slope *= (mask / np.float32(count))[:, :, None].astype(np.float32)
-            wide = slope.reshape(-1, slope.shape[2])
-            grads = {
-                "out": states.reshape(-1, hidden).T @ wide,
-                "out_bias": wide.sum(axis=0),
-                "state": np.zeros_like(params["state"]),
-            }
-            to_state = slope @ params["out"].T
-            mixed = np.zeros((len(active), inputs.shape[1], 3 * hidden), np.float32)
-            back = np.zeros((inputs.shape[1], hidden), np.float32)
-            for t in range(len(active) - 1, -1, -1):
-                n = active[t]
-                before, z, r, inner, new = keep[t]
-                dh = back[:n] + to_state[t, :n]
-                d_new = dh * (1 - z) * (1 - new * new)
-                d_gates = np.empty((n, 3 * hidden), np.float32)
-                d_gates[:, :hidden] = dh * (before - new) * z * (1 - z)
-                d_gates[:, hidden : 2 * hidden] = d_new * inner * r * (1 - r)
-                d_gates[:, 2 * hidden :] = d_new
-                mixed[t, :n] = d_gates
-                d_gates = d_gates.copy()
-                d_gates[:, 2 * hidden :] *= r
-                grads["state"] += before.T @ d_gates
-                back[:n] = dh * z + d_gates @ params["state"].T
-            flat_in, flat_d = inputs.ravel(), mixed.reshape(-1, 3 * hidden)
-            one_hot = np.zeros((params["embed"].shape[0], len(flat_in)), np.float32)
-            one_hot[flat_in, np.arange(len(flat_in))] = 1
-            grads["embed"] = one_hot @ flat_d
-            grads["bias"] = flat_d.sum(axis=0)
-            updates, tokens = updates + 1, tokens + count
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-            shrink = min(1.0, 1.0 / (norm + 1e-9))
-            step = rate / (1 + updates / 400)
-            for k, g in grads.items():
-                g = g * np.float32(shrink)
-                moment[k] += np.float32(0.1) * (g - moment[k])
-                square[k] += np.float32(0.01) * (g * g - square[k])
-                scaled = (moment[k] / np.float32(1 - 0.9**updates)) / (
-                    np.sqrt(square[k] / np.float32(1 - 0.99**updates)) + np.float32(1e-6)
-                )
-                params[k] -= np.float32(step) * scaled
-    return params, tokens
+class Trainer:
+    """Truncated backpropagation with adaptive steps; moments and step size carry over from call to call.
+
+    Every class of a sequence is a target once. A sequence longer than ``segment`` is read as several
+    side by side, each after the class before it; so a few long ones do not run alone.
+    """
+
+    def __init__(
+        self,
+        params: Parameters,
+        start: int,
+        span: int = 32,
+        batch: int = 256,
+        rate: float = 0.015,
+        segment: int = 1024,
+    ):
+        self.params = {k: v.copy() for k, v in params.items()}
+        self.moment = {k: np.zeros_like(v) for k, v in params.items()}
+        self.square = {k: np.zeros_like(v) for k, v in params.items()}
+        self.start, self.span, self.batch, self.rate, self.segment = start, span, batch, rate, segment
+        self.updates = self.tokens = 0
+        self._order = np.random.default_rng(11)
+
+    def read(self, sequences: Sequence[np.ndarray]) -> None:
+        """One pass over ``sequences``, the state carried from window to window of a segment."""
+        # A segment begins with the class it is read after.
+        parts = [
+            np.append(s[at - 1] if at else self.start, s[at : at + self.segment])
+            for s in sequences
+            for at in range(0, len(s), self.segment)
+        ]
+        batches = list(_batches(parts, self.batch))
+        for at in self._order.permutation(len(batches)):
+            chosen = [parts[i] for i in batches[at]]
+            h = np.zeros((len(chosen), self.params["state"].shape[0]), np.float32)
+            for inputs, targets, active in _windows(chosen, self.span):
+                self._update(self._gradients(inputs, targets, active, h))
+                self.tokens += sum(active)
+
+    def _gradients(self, inputs, targets, active: list[int], h: np.ndarray) -> Parameters:
+        """Of the mean loss of one window; ``h`` is the state before it, and then after it."""
+        params, hidden, count = self.params, h.shape[1], np.float32(sum(active))
+        table, small = params["embed"] + params["bias"], _small_logits(params)
+        places = np.arange(inputs.shape[1])
+        grads = {k: np.zeros_like(v) for k, v in params.items()}
+        kept, to_state = [], []
+        for t, n in enumerate(active):
+            before = h[:n].copy()
+            after, *gates = _step(params, table[inputs[t, :n]], before)
+            kept.append((before, *gates))
+            h[:n] = after
+            _, slope = _exp_logits(params, after, small)
+            slope /= slope.sum(axis=1, keepdims=True)
+            slope[places[:n], targets[t, :n]] -= 1
+            slope /= count
+            grads["out"] += after.T @ slope
+            grads["out_bias"] += slope.sum(axis=0)
+            to_state.append(slope @ params["out"].T)
+        back = np.zeros((inputs.shape[1], hidden), np.float32)
+        for t in range(len(active) - 1, -1, -1):
+            n = active[t]
+            before, z, r, inner, new = kept[t]
+            dh = back[:n] + to_state[t]
+            d_new = dh * (1 - z) * (1 - new * new)
+            d_gates = np.empty((n, 3 * hidden), np.float32)
+            d_gates[:, :hidden] = dh * (before - new) * z * (1 - z)
+            d_gates[:, hidden : 2 * hidden] = d_new * inner * r * (1 - r)
+            d_gates[:, 2 * hidden :] = d_new
+            order = np.argsort(inputs[t, :n].astype(np.uint8), kind="stable")
+            read = inputs[t, order]
+            first = np.flatnonzero(np.append(True, read[1:] != read[:-1]))
+            grads["embed"][read[first]] += np.add.reduceat(d_gates[order], first, axis=0)
+            d_gates[:, 2 * hidden :] *= r
+            grads["state"] += before.T @ d_gates
+            back[:n] = dh * z + d_gates @ params["state"].T
+        grads["bias"] = grads["embed"].sum(axis=0)
+        return grads
+
+    def _update(self, grads: Parameters) -> None:
+        self.updates += 1
+        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        shrink = np.float32(min(1.0, 1.0 / (norm + 1e-9)))
+        step = np.float32(self.rate / (1 + self.updates / 400))
+        for k, g in grads.items():
+            g = g * shrink
+            self.moment[k] += np.float32(0.1) * (g - self.moment[k])
+            self.square[k] += np.float32(0.01) * (g * g - self.square[k])
+            self.params[k] -= step * (self.moment[k] / np.float32(1 - 0.9**self.updates)) / (
+                np.sqrt(self.square[k] / np.float32(1 - 0.99**self.updates)) + np.float32(1e-6)
+            )

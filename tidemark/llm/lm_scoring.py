@@ -11,13 +11,14 @@ and the second the softmax of the tokens' log counts: ``(c + 0.5)`` over its sum
 own; other words fall into ``ENDING_CLASSES`` of about equal mass by their last two bytes, which also
 places unseen words. Both factors sum to one.
 
-Scale: counts are a grouped sum over all training documents. Only the ``HEAD`` most frequent words go
-to every task; the rest of each document's words meet their counts in a shuffle join. A second pass
-writes each document as one byte a token, and the network reads just those bytes: each task trains on
-its share of the documents, and the weights are averaged by a grouped sum, ``ROUNDS`` times. The rounds
-divide the training documents among them by row number: each is read whole, in exactly one round.
-Counts, masses and scores cover every document. A document's state is carried from window to window
-to its end.
+Scale: counts are a grouped sum over all training documents. Only the most frequent words, at most
+``HEAD``, go to every task; the rest of each document's words meet their counts in a shuffle join. A
+second pass writes each document as one byte a token, and the network reads just those bytes: each task
+trains on its share of the documents, with one optimizer from its first to its last, and the weights
+are averaged by a grouped sum, ``ROUNDS`` times. The rounds divide the training documents among them by
+row number: every token of each is a target in exactly one round, in segments where a document is long. So the weights, and with them ``score``, depend
+on how documents are dealt to files and tasks; counts, masses and base scores do not, and all cover
+every document. In scoring, a document's state is carried from window to window to its end.
 
 Defined cases: NULL or empty text is the end alone; a NULL id has the crc32 of empty text; repeated rows
 are scored alike and each counts in training; without training documents N and V are 0, and every
@@ -44,6 +45,8 @@ SINGLE_CLASSES = 40
 ENDING_CLASSES = 23
 HIDDEN = 24
 ROUNDS = 2
+# Step size in the first round; a k-th of it in the k-th.
+RATE = 0.015
 # Distinct words a counting task holds before it passes them on.
 COUNTED_WORDS = 500_000
 
@@ -133,13 +136,36 @@ class Classes:
         return classes.tobytes(), len(words) + 1, len(known), float(logs.sum()) + self.end_log, terms, other
 
 
+def head_words(counts: DataFrame, head: int = HEAD) -> list[tuple[bytes, int]]:
+    """The most frequent words, most frequent first: as many as ``head`` holds without parting a step.
+
+    Counts fall into steps, eight bits of each count's leading digits; a histogram of the steps tells
+    the lowest one whose words, with all above, are at most ``head``. Only those words travel.
+    """
+    digits = F.greatest(F.length(F.bin("c")) - 8, F.lit(0)).cast("int")
+    step = digits * 256 + F.expr("shiftright(c, greatest(length(bin(c)) - 8, 0))").cast("int")
+    stepped = counts.withColumn("step", step)
+    words, least = 0, None
+    sizes = stepped.groupBy("step").count().collect()  # at most 56 * 256 rows
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        words += row["count"]
+        if words > head:
+            break
+        least = row["step"]
+    if least is None:
+        return []
+    found = stepped.filter(F.col("step") >= least).select("word", "c").toArrow()
+    pairs = zip(found["word"].to_pylist(), found["c"].to_pylist())
+    return sorted(pairs, key=lambda pair: (-pair[1], pair[0]))
+
+
 def class_table(counts: DataFrame, documents: int, head: int = HEAD) -> Classes:
-    top = counts.orderBy(F.desc("c"), "word").limit(head).collect()  # head rows
+    top = head_words(counts, head)
     last, before = F.expr("ascii(decode(substr(word, -1), 'ISO-8859-1'))"), F.expr("ascii(decode(substr(word, -2, 1), 'ISO-8859-1'))")
     ending = last * 256 + F.when(F.octet_length("word") > 1, before).otherwise(0)
     sums = counts.groupBy(ending.alias("ending")).agg(F.sum("c").alias("c"), F.count("*").alias("words"))
     endings = {r.ending: (r.c, r.words) for r in sums.collect()}  # at most 65,536 rows
-    return Classes([(bytes(r.word), r.c) for r in top], endings, documents)
+    return Classes(top, endings, documents)
 
 
 def encoded(docs: DataFrame, classes: Classes) -> DataFrame:
@@ -176,14 +202,13 @@ def trained(rows: DataFrame, classes: Classes, rounds: int = ROUNDS) -> gru.Para
         shipped = rows.sparkSession.sparkContext.broadcast(params)
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            weights, tokens = shipped.value, 0
+            trainer = gru.Trainer(shipped.value, END, rate=RATE / (1 + turn))
             for batch in batches:
-                weights, more = gru.train(weights, _sequences(batch), END, rate=0.01 / (1 + turn))
-                tokens += more
-            if tokens:
-                values = gru.flat(weights)
+                trainer.read(_sequences(batch))
+            if trainer.tokens:
+                values = gru.flat(trainer.params)
                 yield pa.RecordBatch.from_pydict(
-                    {"tokens": pa.array([tokens], pa.int64()), "weights": pa.array([values.tolist()], pa.list_(pa.float64()))}
+                    {"tokens": pa.array([trainer.tokens], pa.int64()), "weights": pa.array([values.tolist()], pa.list_(pa.float64()))}
                 )
 
         part = training.filter(F.pmod("row", F.lit(rounds)) == turn).select("classes")
