@@ -8,14 +8,18 @@ import xxhash
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Columns whose names the operators use themselves.
-CLASHES = "size bigint, line string, fp bigint, n bigint, row bigint, word string, path bigint, kept string"
+CLASHES = (
+    "size bigint, line string, fp bigint, n bigint, row bigint, word string, path bigint, kept string, "
+    "_id string, _hash bigint, _removed string, _lang string, _source string, text_hash bigint, "
+    "mine string, theirs string, found string, chars bigint, component bigint, removed string"
+)
 VOCABULARY = "the of and in to thing house river stone cloud green walk under over bright seven".split()
 LONG = " ".join(f"w{i % 977}" for i in range(60_000))
 
 
 def frame(spark, rows, extra=False):
     schema = f"{DOCS}, {CLASHES}" if extra else DOCS
-    tail = (1, "x", 2, 3, 4, "y", 5, "z") if extra else ()
+    tail = (1, "x", 2, 3, 4, "y", 5, "z", "i", 6, "r", "l", "s", 7, "m", "t", "f", 8, 9, "g") if extra else ()
     full = [(d, t, *(list(more) + ["en", "a"][len(more):]), len(t or ""), *tail) for d, t, *more in rows]
     return spark.createDataFrame(full, schema)
 

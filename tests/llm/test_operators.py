@@ -778,6 +778,25 @@ def test_rounding_in_chunks_equals_one_list(spark, monkeypatch):
     assert len(found[0]) == len(rows)
 
 
+def test_short_items_stand_between_words_unchanged():
+    import re
+
+    rng = random.Random(4)
+    items = [(i, " ".join(rng.choice(["a", "be", "cee", "d-e"]) for _ in range(rng.randint(1, 4)))) for i in range(25)]
+    items += [(90, "what is the capital of france?"), (91, " "), (92, None), (93, "(x)")]
+    search = decontamination.ItemSearch(items, 0.05)
+    texts = [" ".join(rng.choice(["a", "be", "cee", "d-e", "abe", "(x)"]) for _ in range(30)) for _ in range(60)]
+    texts += ["So: WHAT IS the\tcapital of France? Paris", "what is the capital of frances?", "f(x)", "", None]
+    for text in texts:
+        want = set()
+        for item, pattern in items:
+            if pattern and pattern.strip():
+                found = re.search(r"(?<![^\W_])" + re.escape(pattern) + r"(?![^\W_])", decontamination.folded(text or ""))
+                if found:
+                    want.add((item, *found.span(), 0, len(pattern)))
+        assert set(search.matches(text)) == want
+
+
 def test_repeated_benchmark_rows_count_once(spark):
     item = "one two three four five six seven eight nine ten eleven twelve"
     docs = spark.createDataFrame([(1, f"x {item} y")], "doc_id bigint, text string")

@@ -65,6 +65,26 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def matched(docs: DataFrame, found: DataFrame, how: str, *keys: str) -> DataFrame:
+    """``docs`` as ``mine`` joined with ``found`` as ``theirs`` by text hash and the columns ``keys``.
+
+    Columns are told apart by these two names, so ``docs`` may have further columns of any name.
+    """
+    match = text_hash("mine.text") == F.col("theirs.text_hash")
+    for key in keys:
+        match = match & same(F.col(f"mine.{key}"), F.col(f"theirs.{key}"))
+    # A hint must stand above the alias to be seen by the join.
+    return docs.alias("mine").join(small_enough(found.alias("theirs")), match, how)
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(modulus: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo ``modulus``; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -9,10 +9,12 @@ Texts and items are compared in lower case with every blank character as a space
 points of the text. Items come to the tasks in blocks of bounded size; a larger benchmark takes more
 passes.
 
-Defined cases: NULL texts and items match nothing; items of fewer than ``LEAST_CHARS`` characters
-(without outer blanks) are not searched, for they occur by chance; items of equal text are reported
-each, repeated benchmark rows once; repeated document rows give repeated matches; empty tables give
-no rows; extra columns do not matter.
+An item of fewer than ``EDITED_CHARS`` characters (without outer blanks) has no edits and must stand
+between characters that are no letters or digits. Matches carry the item's length, ``chars``.
+
+Defined cases: NULL and blank texts and items match nothing; items of equal text are reported each,
+repeated benchmark rows once; repeated document rows give repeated matches; empty tables give no
+rows; texts of any length are searched whole; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -24,10 +26,13 @@ import ahocorasick
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, same, small_enough, stored, table, text_hash
+from tidemark.llm.common import map_rows, matched, stored, table, text_hash
 
 ERROR_RATE = 0.05
-LEAST_CHARS = 40
+# Shorter items occur with a few edits by chance; they are searched as they are, at word bounds.
+EDITED_CHARS = 40
+# A document goes for items of so many characters; shorter ones are a word or two, and only reported.
+CLEAN_CHARS = 20
 # Items that one pass looks for, and their characters.
 BLOCK_ITEMS = 20_000
 BLOCK_CHARS = 16_000_000
@@ -80,9 +85,9 @@ class ItemSearch:
         pieces = defaultdict(set)
         for item_id, text in items:
             pattern = folded(text or "").strip()
-            if len(pattern) < LEAST_CHARS:
+            if not pattern:
                 continue
-            edits = int(error_rate * len(pattern))
+            edits = int(error_rate * len(pattern)) if len(pattern) >= EDITED_CHARS else 0
             number = len(self.items)
             self.items.append((item_id, pattern, edits))
             ends = [len(pattern) * i // (edits + 1) for i in range(edits + 2)]
@@ -94,7 +99,7 @@ class ItemSearch:
             self.automaton.make_automaton()
 
     def matches(self, text: str | None) -> list[tuple]:
-        """``(item_id, start, end, edits)``: the best place of each item that occurs."""
+        """``(item_id, start, end, edits, chars)``: the best place of each item that occurs."""
         if not text or not len(self.automaton):
             return []
         text = folded(text)
@@ -106,15 +111,26 @@ class ItemSearch:
         for number, places in starts.items():
             item_id, pattern, edits = self.items[number]
             best = None
+            if len(pattern) < EDITED_CHARS:
+                best = self._between_words(pattern, text, sorted(places))
+                places = ()
             for first, last in self._stretches(sorted(places), edits):
                 low, high = max(0, first - edits), last + len(pattern) + edits
                 place = self._verify(pattern, text[low:high], edits)
                 if place and (best is None or place[2] < best[2]):
                     best = (place[0] + low, place[1] + low, place[2])
             if best:
-                found.append((item_id, *best))
+                found.append((item_id, *best, len(pattern)))
         return found
 
+    @staticmethod
+    def _between_words(pattern: str, text: str, places: list[int]) -> tuple[int, int, int] | None:
+        for start in places:
+            end = start + len(pattern)
+            if not (text[max(0, start - 1) : start].isalnum() or text[end : end + 1].isalnum()):
+                return start, end, 0
+        return None
+
     @staticmethod
     def _stretches(places: list[int], edits: int) -> list[tuple[int, int]]:
         joined: list[tuple[int, int]] = []
@@ -146,9 +162,9 @@ def contaminated(
     error_rate: float = ERROR_RATE,
     block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
-    """``doc_id, text_hash, item_id, start, end, edits``: one row for each document and item in it."""
+    """``doc_id, text_hash, item_id, start, end, edits, chars``: one row for each document and item in it."""
     doc_kind, item_kind = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
-    schema = f"doc_id {doc_kind}, text_hash bigint, found array<struct<item_id: {item_kind}, start: bigint, end: bigint, edits: bigint>>"
+    schema = f"doc_id {doc_kind}, text_hash bigint, found array<struct<item_id: {item_kind}, start: bigint, end: bigint, edits: bigint, chars: bigint>>"
     source = docs.select("doc_id", text_hash().alias("text_hash"), F.col("text").cast("string"))
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
     items = items.distinct()
@@ -173,7 +189,7 @@ def _one_pass(source: DataFrame, items: list[tuple], error_rate: float, schema:
             _SEARCHES[key] = ItemSearch(shipped.value, error_rate)
         one = _SEARCHES[key]
         found = [one.matches(text) for text in columns["text"]]
-        names = ("item_id", "start", "end", "edits")
+        names = ("item_id", "start", "end", "edits", "chars")
         hits = [i for i, f in enumerate(found) if f]
         return {
             "doc_id": [columns["doc_id"][i] for i in hits],
@@ -184,16 +200,19 @@ def _one_pass(source: DataFrame, items: list[tuple], error_rate: float, schema:
     return map_rows(source, search, schema)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of ``docs`` that contain no benchmark item."""
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    error_rate: float = ERROR_RATE,
+    least_chars: int = CLEAN_CHARS,
+) -> DataFrame:
+    """The rows of ``docs`` that contain no benchmark item of ``least_chars`` characters or more."""
     found = contaminated(docs, benchmark, error_rate)
-    dirty = stored(
-        found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "dirty"
-    )
-    match = same(F.col("doc_id"), F.col("_id")) & (text_hash() == F.col("_hash"))
-    return docs.join(small_enough(dirty), match, "left_anti")
+    found = found.filter(F.col("chars") >= least_chars)
+    dirty = stored(found.select("doc_id", "text_hash").distinct(), "dirty")
+    return matched(docs, dirty, "left_anti", "doc_id")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "item_id", "start", "end", "edits")
+    return found.select("doc_id", "item_id", "start", "end", "edits", "chars")

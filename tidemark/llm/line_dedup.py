@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_text, same, small_enough, stored, table, text_hash
+from tidemark.llm.common import as_text, matched, same, small_enough, stored, table, text_hash
 from tidemark.llm.components import connected_components
 
 LEAST_CHARS = 1
@@ -225,19 +225,17 @@ def removed_lines(
 def without_repeats(docs: DataFrame, least_chars: int = LEAST_CHARS, pairs_within: int = PAIRS_WITHIN) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``."""
     removed = removed_lines(docs, least_chars, pairs_within)
-    removed = removed.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash", "removed": "_removed"})
-    match = same(F.col("doc_id"), F.col("_id")) & (text_hash() == F.col("_hash"))
-    joined = docs.join(small_enough(removed), match, "left")
-    gone = F.col("_removed")
+    joined = matched(docs, removed, "left", "doc_id")
+    gone = F.col("theirs.removed")
     # One mark a line, up to the last one that goes.
     gap = lambda at, i: at - F.when(i == 0, 0).otherwise(F.get(gone, i - 1) + 1)
     marks = F.array_join(F.transform(gone, lambda at, i: F.concat(F.repeat(F.lit("0"), gap(at, i)), F.lit("1"))), "")
     marked = F.zip_with(
-        F.split("text", "\n"), F.split(marks, ""), lambda line, mark: F.when(F.coalesce(mark, F.lit("0")) != "1", line)
+        F.split("mine.text", "\n"), F.split(marks, ""), lambda line, mark: F.when(F.coalesce(mark, F.lit("0")) != "1", line)
     )
     kept = F.array_join(F.filter(marked, lambda line: line.isNotNull()), "\n")
-    text = F.when(gone.isNull(), F.col("text")).otherwise(kept)
-    return joined.withColumn("text", text).select(*docs.columns)
+    text = F.when(gone.isNull(), F.col("mine.text")).otherwise(kept).alias("text")
+    return joined.select(*[text if c == "text" else F.col(f"mine.`{c}`") for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, same, small_enough, stored, table, text_hash
+from tidemark.llm.common import map_rows, matched, same, stored, table, text_hash
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -239,15 +239,9 @@ def judged(docs: DataFrame, blend_documents: int = BLEND_DOCUMENTS) -> DataFrame
 
 def passing(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep."""
-    found = judged(docs).filter("not kept")
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
-                         F.col("lang").alias("_lang"), F.col("source").alias("_source"))
-    rejected = stored(found.distinct(), "rejected")
-    keys = (("doc_id", "_id"), ("lang", "_lang"), ("source", "_source"))
-    match = text_hash() == F.col("_hash")
-    for mine, other in keys:
-        match = match & same(F.col(mine), F.col(other))
-    return docs.join(small_enough(rejected), match, "left_anti")
+    keys = ("doc_id", "lang", "source")
+    found = judged(docs).filter("not kept").select("text_hash", *keys)
+    return matched(docs, stored(found.distinct(), "rejected"), "left_anti", *keys)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

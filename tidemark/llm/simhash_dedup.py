@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, same, small_enough, stored, table, text_hash
+from tidemark.llm.common import map_rows, matched, same, stored, table, text_hash, unused
 from tidemark.llm.components import connected_components
 
 SHINGLE = 3
@@ -173,15 +173,13 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     rows = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     dropped = rows.join(first, is_first, "left_anti")
     dropped = stored(dropped.distinct(), "dropped")
-    kept = docs.join(
-        small_enough(dropped),
-        same(F.col("doc_id"), F.col("_id")) & (text_hash() == F.col("_hash")),
-        "left_anti",
-    )
+    dropped = dropped.withColumnsRenamed({"_id": "doc_id", "_hash": "text_hash"})
+    kept = matched(docs, dropped, "left_anti", "doc_id")
     twice = found.groupBy("doc_id", "text_hash").count().filter("count > 1").limit(1).count()
     if twice:  # rows equal in id and text: one of them stays
-        kept = kept.withColumn("_hash", text_hash()).dropDuplicates(["doc_id", "_hash"])
-    return kept.select(*docs.columns)
+        hashed = unused(docs, "_hash")
+        kept = kept.withColumn(hashed, text_hash()).dropDuplicates(["doc_id", hashed]).drop(hashed)
+    return kept
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
