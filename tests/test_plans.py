@@ -69,11 +69,18 @@ def test_grouped_operators_shuffle_little(spark, tmp_path):
     ]:
         assert 1 <= exchanges(frame) <= limit
         assert plan(frame).count("FileScan") <= 2
-    for frame in (
-        props.property_statistics(silver),
-        windows.recent_event_volume(windows.event_metrics(events), windows.latest_window()),
-    ):
-        assert plan(frame).count("FileScan") == 1
+    assert plan(props.property_statistics(silver)).count("FileScan") == 1
+
+
+def test_recent_volume_filters_events_before_grouping(spark, tmp_path):
+    write_table(fixtures.silver_events(spark, SF_DIR), str(tmp_path / "silver"))
+    events = read_table(spark, str(tmp_path / "silver"))
+    as_of = windows.last_window_end(events)
+    recent = windows.recent_events(events, as_of)
+    text = plan(windows.recent_event_volume(windows.event_metrics(recent), as_of))
+    assert "Window [" not in text and "SinglePartition" not in text.split("Subquery")[0]
+    kept = recent.count()
+    assert 0 < kept < events.count()
 
 
 def test_visitor_lookup_numbers_that_visitor_alone(spark):

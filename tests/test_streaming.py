@@ -1,6 +1,7 @@
 """Streams against their batch twins, with restarts, replays and late rows."""
 
 import datetime as dt
+import glob
 import random
 import re
 import uuid
@@ -12,7 +13,7 @@ from tests.helpers import START_MS, bronze_events, tuples
 from tidemark.operators import events as ev
 from tidemark.operators import windows
 from tidemark.sinks import batches
-from tidemark.sinks.tables import append_stream, read_table
+from tidemark.sinks.tables import append_stream, read_table, write_table
 from tidemark.streaming import gold
 
 
@@ -305,3 +306,80 @@ def test_behavior_stream_counts_distinct_items_approximately(spark, home):
     assert tuples(got, *exact) == tuples(want, *exact)
     near = got.alias("g").join(want.alias("w"), ["window_start", "visitorid"])
     assert near.filter("abs(g.unique_items - w.unique_items) > 1").count() == 0
+
+
+def test_recent_volume_reads_the_last_days_alone(spark, home):
+    day = 86_400_000
+    rows = [(str(START_MS + i * day // 4), "1", "view", "a", None) for i in range(40)]
+    silver = ev.silver_events(landed(spark, home, 3, bronze_events(spark, rows)))
+    events = ev.silver_events(stream(spark, f"{home}/landing"))
+    gold.stream_sums(events, gold.METRICS, f"{home}/m", f"{home}/c")
+    as_of = windows.last_window_end(silver)
+    stored = gold.stored_window_end(spark, f"{home}/m")
+    whole = windows.recent_event_volume(windows.event_metrics(silver), as_of)
+    recent = gold.read_recent_volume(spark, f"{home}/m", stored)
+    assert tuples(recent, *whole.columns) == tuples(whole, *whole.columns) == [("view", 1, 1)]
+    assert any("window_date" in found and ">=" in found for found in partition_filters(recent))
+    assert gold.read_recent_volume(spark, f"{home}/m").count() == 0
+
+
+def test_recent_volume_at_midnight_and_without_events(spark, home):
+    midnight = START_MS - START_MS % 86_400_000
+    rows = [(str(midnight + step), "1", "view", "a", None) for step in (-3_600_000, -1, 0, 299_999)]
+    silver = ev.silver_events(bronze_events(spark, rows))
+    as_of = windows.last_window_end(silver)
+    metrics = windows.event_metrics(windows.recent_events(silver, as_of))
+    assert tuples(windows.recent_event_volume(metrics, as_of), "windows", "event_count") == [(2, 3)]
+    none = silver.limit(0)
+    metrics = windows.event_metrics(windows.recent_events(none, windows.last_window_end(none)))
+    assert windows.recent_event_volume(metrics, windows.last_window_end(none)).count() == 0
+
+
+EXACT = [
+    (windows.event_metrics, windows.METRICS_WIDTH),
+    (windows.visitor_behavior, windows.BEHAVIOR_WIDTH),
+    (windows.item_popularity, windows.POPULARITY_WIDTH),
+]
+
+
+def keep(spark, home, rows, measure, width):
+    """Appends rows to the stored log and brings its windows up to date."""
+    dated = gold.dated(ev.silver_events(rows))
+    write_table(dated, f"{home}/silver", mode="append", partition_by=[gold.EVENT_DATE])
+    return gold.stream_exact_windows(
+        spark, f"{home}/silver", f"{home}/w", f"{home}/c", measure, width, dated.schema
+    )
+
+
+@pytest.mark.parametrize("measure,width", EXACT)
+def test_late_rows_correct_the_windows_they_touch(spark, home, measure, width):
+    day = 86_400_000
+    first = [
+        (str(START_MS + d * day + s * 400_000), str(s % 3), "view", str(s % 4), None)
+        for d in range(3) for s in range(12)
+    ] + [("x", "1", "view", "1", None), (None, "1", "view", "1", None)]
+    late = [(str(START_MS + day + 7), "0", "transaction", "9", "t"), (str(START_MS + day), "7", "view", None, None)]
+    keep(spark, home, bronze_events(spark, first), measure, width)
+    before = sorted(glob.glob(f"{home}/w/*/*.parquet"))
+    keep(spark, home, bronze_events(spark, late), measure, width)
+    after = sorted(glob.glob(f"{home}/w/*/*.parquet"))
+    whole = measure(ev.silver_events(bronze_events(spark, first + late)))
+    assert tuples(gold.read_windows(spark, f"{home}/w"), *whole.columns) == tuples(whole, *whole.columns)
+    folders = lambda files: {file.split("/")[-2] for file in files}
+    assert folders(set(before) ^ set(after)) == {"window_date=2023-11-15"}
+    touched = windows.touched_windows(ev.silver_events(bronze_events(spark, late)), width)
+    assert touched.count() == 1
+    keep(spark, home, bronze_events(spark, late[:1]).limit(0), measure, width)
+    assert sorted(glob.glob(f"{home}/w/*/*.parquet")) == after
+
+
+def test_touched_windows_replayed_change_nothing(spark, home):
+    measure, width = EXACT[1]
+    rows = random_events(spark)
+    keep(spark, home, rows, measure, width)
+    source = f"{home}/silver"
+    write = gold.windows_write(lambda: read_table(spark, source), f"{home}/w", measure, width)
+    for _ in range(2):
+        write(ev.silver_events(rows.limit(5)), "s", 0)
+    whole = measure(ev.silver_events(rows))
+    assert tuples(gold.read_windows(spark, f"{home}/w"), *whole.columns) == tuples(whole, *whole.columns)

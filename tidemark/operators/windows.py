@@ -6,7 +6,7 @@ function is the correction. Window bounds are UTC wall-clock columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock
@@ -84,18 +84,56 @@ def trending_items(popularity: DataFrame, n: int = 20) -> DataFrame:
     return popularity.orderBy(F.desc("interactions"), "window_start", "itemid").limit(n)
 
 
+def hour_before(as_of: Column | None = None) -> Column:
+    """An hour before ``as_of`` (default: now), as UTC wall-clock time."""
+    now = clock.utc(F.current_timestamp()) if as_of is None else as_of
+    return now - F.expr("INTERVAL 1 HOUR")
+
+
+def recent_events(
+    events: DataFrame, as_of: Column | None = None, width: str = METRICS_WIDTH
+) -> DataFrame:
+    """Events that may lie in a window that ended within the hour before ``as_of``.
+
+    Taken before grouping, so that older events are neither shuffled nor, where they are stored in
+    time order, read. The earliest window left may be incomplete; it ended before that hour.
+    """
+    return events.filter(F.col("event_time") > hour_before(as_of) - F.expr(f"INTERVAL {width}"))
+
+
 def recent_event_volume(metrics: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Windows and events per type that ended within the hour before ``as_of`` (default: now)."""
-    now = clock.utc(F.current_timestamp()) if as_of is None else as_of
-    since = now - F.expr("INTERVAL 1 HOUR")
     return (
-        metrics.withColumn("_since", since)
-        .filter(F.col("window_end") > F.col("_since"))
+        metrics.filter(F.col("window_end") > hour_before(as_of))
         .groupBy("event")
         .agg(F.count("*").alias("windows"), F.sum("event_count").alias("event_count"))
     )
 
 
-def latest_window() -> Column:
-    """The end of the last window, from the grouped rows alone."""
-    return F.max("window_end").over(Window.partitionBy(F.lit(0)))
+def last_window_end(events: DataFrame, width: str = METRICS_WIDTH) -> Column:
+    """The end of the latest event's window, a scalar subquery: one maximum, no grouped rows."""
+    latest = events.agg(F.max(clock.millis("timestamp")).alias("_last"))
+    window = F.window(F.timestamp_millis("_last"), width).getField("end")
+    return latest.select(clock.utc(window).alias("window_end")).scalar()
+
+
+def window_date() -> Column:
+    """The UTC day a window lies in; all widths divide a day."""
+    return F.to_date("window_start")
+
+
+def event_date() -> Column:
+    """The UTC day an event's windows lie in, at full precision."""
+    return F.to_date(clock.utc(clock.event_instant("timestamp")))
+
+
+def touched_windows(events: DataFrame, width: str) -> DataFrame:
+    """``window_start`` of the windows that have an event here."""
+    return with_window_start(events, width).select("window_start").distinct()
+
+
+def with_window_start(events: DataFrame, width: str) -> DataFrame:
+    """Events with the start of their window; those without a valid time lie in none."""
+    start = F.window(clock.event_instant("timestamp"), width).getField("start")
+    started = events.select("*", start.alias("_start"))
+    return started.withColumn("window_start", clock.utc(F.col("_start"))).drop("_start")

@@ -245,6 +245,12 @@ _OVER_EVENTS = {
     "recent_event_volume": "SELECT event, count(*) AS windows, "
     "CAST(sum(event_count) AS BIGINT) AS event_count FROM metrics "
     "WHERE window_end > (SELECT max(window_end) FROM metrics) - INTERVAL 1 HOUR GROUP BY event",
+    "recent_event_volume_stored": "SELECT event, count(*) AS windows, "
+    "CAST(sum(event_count) AS BIGINT) AS event_count FROM metrics "
+    "WHERE window_end > (SELECT max(window_end) FROM metrics) - INTERVAL 1 HOUR GROUP BY event",
+    "event_metrics_5m_corrected": "SELECT * FROM metrics",
+    "visitor_behavior_10m_corrected": "SELECT * FROM behavior",
+    "item_popularity_15m_corrected": "SELECT * FROM popularity",
     "speed_layer_gold": "SELECT 'visitor_profile' AS table_name, count(*) AS record_count, "
     "count(DISTINCT visitorid) AS unique_keys, "
     "CAST(sum(total_viewcount) AS BIGINT) AS checksum FROM profile UNION ALL "

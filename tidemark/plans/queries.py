@@ -545,9 +545,11 @@ def trending_items(spark, sf_dir):
 
 @query
 def recent_event_volume(spark, sf_dir):
-    """The last hour of the data, taken from its latest window."""
-    metrics = windows.event_metrics(fixtures.silver_events(spark, sf_dir))
-    return windows.recent_event_volume(metrics, as_of=windows.latest_window())
+    """The last hour of the data, up to the end of its latest window."""
+    events = fixtures.silver_events(spark, sf_dir)
+    as_of = windows.last_window_end(events)
+    metrics = windows.event_metrics(windows.recent_events(events, as_of))
+    return windows.recent_event_volume(metrics, as_of)
 
 
 # --- events: streams -------------------------------------------------------------------------
@@ -700,6 +702,50 @@ def item_popularity_15m_stream(spark, sf_dir):
     return gold.POPULARITY.read(spark, f"{home}/popularity")
 
 
+@query
+def recent_event_volume_stored(spark, sf_dir):
+    """The last hour of a stored metrics table, from the partitions of its days."""
+    home = workspace(spark, "recent_event_volume_stored")
+    events = fixtures.silver_events_stream(spark, sf_dir)
+    gold.stream_sums(events, gold.METRICS, f"{home}/metrics", f"{home}/checkpoint")
+    as_of = gold.stored_window_end(spark, f"{home}/metrics")
+    return gold.read_recent_volume(spark, f"{home}/metrics", as_of)
+
+
+def _corrected(spark, sf_dir, name, measure, width):
+    """Windows kept exact over two drops, the second of events late by up to the whole history."""
+    home = workspace(spark, name)
+    events = gold.dated(fixtures.silver_events(spark, sf_dir))
+    late = F.crc32("_ingestion_id") % 3 == 1
+    for drop in (events.filter(~late), events.filter(late)):
+        write_table(drop, f"{home}/silver", mode="append", partition_by=[gold.EVENT_DATE])
+        gold.stream_exact_windows(
+            spark, f"{home}/silver", f"{home}/gold", f"{home}/checkpoint", measure, width, events.schema
+        )
+    return gold.read_windows(spark, f"{home}/gold")
+
+
+@query
+def event_metrics_5m_corrected(spark, sf_dir):
+    return _corrected(
+        spark, sf_dir, "event_metrics_5m_corrected", windows.event_metrics, windows.METRICS_WIDTH
+    )
+
+
+@query
+def visitor_behavior_10m_corrected(spark, sf_dir):
+    return _corrected(
+        spark, sf_dir, "visitor_behavior_10m_corrected", windows.visitor_behavior, windows.BEHAVIOR_WIDTH
+    )
+
+
+@query
+def item_popularity_15m_corrected(spark, sf_dir):
+    return _corrected(
+        spark, sf_dir, "item_popularity_15m_corrected", windows.item_popularity, windows.POPULARITY_WIDTH
+    )
+
+
 @query
 def speed_layer_gold(spark, sf_dir):
     """The whole speed layer from CSV files; rows, keys and a checksum per gold table."""

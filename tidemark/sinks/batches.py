@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -201,7 +201,13 @@ def merged_into(n: int) -> list[int]:
 
 
 def add_batch(
-    parts: DataFrame, path: str, stream: str, batch_id: int, merge: Change, fmt: str = FORMAT
+    parts: DataFrame,
+    path: str,
+    stream: str,
+    batch_id: int,
+    merge: Change,
+    partition_by: Sequence[str] = (),
+    fmt: str = FORMAT,
 ) -> None:
     """Adds one micro-batch's aggregates; ``merge`` sums rows of the same groups.
 
@@ -214,13 +220,19 @@ def add_batch(
         known = read_batches(parts.sparkSession, path, parts.schema, fmt)
         known = known.filter((F.col(STREAM) == stream) & F.col(BATCH).isin(earlier))
         parts = merge(parts.unionByName(known.drop(STREAM, BATCH)))
-    write_batch(parts, path, stream, n, fmt=fmt)
+    write_batch(parts, path, stream, n, partition_by, fmt)
 
 
-def to_sums(path: str, aggregate: Change, merge: Change, fmt: str = FORMAT) -> Write:
-    """A write that adds ``aggregate(batch)``."""
+def to_sums(
+    path: str,
+    aggregate: Change,
+    merge: Change,
+    partition_by: Sequence[str] = (),
+    fmt: str = FORMAT,
+) -> Write:
+    """A write that adds ``aggregate(batch)``; ``partition_by`` are group columns to prune by."""
     return lambda batch, stream, batch_id: add_batch(
-        aggregate(batch), path, stream, batch_id, merge, fmt
+        aggregate(batch), path, stream, batch_id, merge, partition_by, fmt
     )
 
 
@@ -229,12 +241,18 @@ def read_sums(
     path: str,
     merge: Change,
     schema: T.StructType | None = None,
+    where: Column | None = None,
     fmt: str = FORMAT,
 ) -> DataFrame:
-    """The aggregates of all micro-batches, from the partitions that cover them."""
+    """The aggregates of all micro-batches, from the partitions that cover them.
+
+    ``where``, a condition on group columns, is taken before the merge.
+    """
     rows = read_batches(spark, path, schema, fmt)
     newest = rows.groupBy(STREAM).agg(F.max(BATCH)).collect()  # a row per checkpoint ever used
     wanted = F.lit(False)
     for stream, n in newest:
         wanted = wanted | ((F.col(STREAM) == stream) & F.col(BATCH).isin(covering(n)))
+    if where is not None:
+        wanted = wanted & where
     return merge(rows.filter(wanted).drop(STREAM, BATCH))

@@ -21,10 +21,12 @@ from tidemark.operators import windows
 from tidemark.operators.skew import same_keys
 from tidemark.sinks import batches
 from tidemark.sinks.batches import Write
+from tidemark.sinks.tables import read_table, stream_table
 
 HOUR_MS = 3_600_000
 DAY_MS = 24 * HOUR_MS
 DAY, HOUR = "journey_day", "journey_hour"
+WINDOW_DATE, EVENT_DATE = "window_date", "window_event_date"
 
 
 @dataclass(frozen=True)
@@ -35,26 +37,49 @@ class Sums:
     keys: Sequence[str]
     merged: Callable[[], Sequence[Column]]
     result: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    partition_by: Sequence[str] = ()
 
     def merge(self, parts: DataFrame) -> DataFrame:
         return parts.groupBy(*self.keys).agg(*self.merged())
 
     def write(self, path: str) -> Write:
-        return batches.to_sums(path, self.parts, self.merge)
+        return batches.to_sums(path, self.parts, self.merge, self.partition_by)
 
     def read(
-        self, spark: SparkSession, path: str, events: T.StructType | None = None
+        self,
+        spark: SparkSession,
+        path: str,
+        events: T.StructType | None = None,
+        where: Column | None = None,
     ) -> DataFrame:
-        """The merged table; with the schema of its ``events`` it may not yet be written."""
+        """The merged table; with the schema of its ``events`` it may not yet be written.
+
+        ``where`` is a condition on ``keys``; one on ``partition_by`` leaves the rest unread.
+        """
         schema = None if events is None else self.parts(spark.createDataFrame([], events)).schema
-        return self.result(batches.read_sums(spark, path, self.merge, schema))
+        return self.result(batches.read_sums(spark, path, self.merge, schema, where))
 
 
 def _sum(*names: str) -> list[Column]:
     return [F.sum(name).alias(name) for name in names]
 
 
-WINDOW = ("window_start", "window_end")
+def _windowed(
+    measure: Callable[[DataFrame], DataFrame],
+    key: str,
+    merged: Callable[[], Sequence[Column]],
+    result: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> Sums:
+    """Sums of windows, stored by the day of the window."""
+    return Sums(
+        lambda events: measure(events).withColumn(WINDOW_DATE, windows.window_date()),
+        ["window_start", "window_end", WINDOW_DATE, key],
+        merged,
+        lambda rows: result(rows.drop(WINDOW_DATE)),
+        [WINDOW_DATE],
+    )
+
+
 PROFILES = Sums(
     ev.profile_parts,
     ["visitorid"],
@@ -70,23 +95,23 @@ BASKETS = Sums(
     ["transactionid", "itemid"],
     lambda: _sum("copies"),
 )
-METRICS = Sums(
+METRICS = _windowed(
     lambda events: windows.event_metrics(events, watermark=None),
-    [*WINDOW, "event"],
+    "event",
     lambda: _sum("event_count"),
 )
-BEHAVIOR = Sums(
+BEHAVIOR = _windowed(
     windows.behavior_parts,
-    [*WINDOW, "visitorid"],
+    "visitorid",
     lambda: [
         *_sum("total_events", "views", "addtocarts", "transactions"),
         F.hll_union_agg("seen_items").alias("seen_items"),
     ],
     windows.behavior_of_parts,
 )
-POPULARITY = Sums(
+POPULARITY = _windowed(
     lambda events: windows.item_popularity(events, watermark=None),
-    [*WINDOW, "itemid"],
+    "itemid",
     lambda: _sum("interactions", "purchases"),
 )
 _COUNTS = Sums(
@@ -135,6 +160,89 @@ def read_baskets(spark: SparkSession, target: str) -> DataFrame:
     return ev.baskets(read_basket_items(spark, target))
 
 
+def stored_window_end(spark: SparkSession, target: str) -> Column:
+    """The end of the last stored window, a scalar subquery over the windows of the last day."""
+    rows = batches.read_batches(spark, target)
+    last_day = rows.agg(F.max(WINDOW_DATE)).scalar()
+    return rows.filter(F.col(WINDOW_DATE) == last_day).agg(F.max("window_end")).scalar()
+
+
+def read_recent_volume(
+    spark: SparkSession,
+    target: str,
+    as_of: Column | None = None,
+    events: T.StructType | None = None,
+) -> DataFrame:
+    """``recent_event_volume`` of the stored metrics, from the days of that hour alone."""
+    earliest = windows.hour_before(as_of) - F.expr(f"INTERVAL {windows.METRICS_WIDTH}")
+    metrics = METRICS.read(spark, target, events, F.col(WINDOW_DATE) >= F.to_date(earliest))
+    return windows.recent_event_volume(metrics, as_of)
+
+
+# --- windows computed anew where events came
+
+
+def windows_write(
+    events: Callable[[], DataFrame],
+    target: str,
+    measure: Callable[[DataFrame], DataFrame],
+    width: str,
+) -> Write:
+    """Computes the windows that a micro-batch touches anew from all ``events``, and replaces them.
+
+    ``events`` is the stored table behind the stream, with ``EVENT_DATE`` as its partition column:
+    only the days touched are read, of events and of stored windows, and only these are rewritten.
+    So the table equals the batch result however late events come, without state or watermark, and
+    also for measures that do not add up, such as exact distinct counts. A replay computes the same
+    windows again. Two such streams must not write to one table.
+    """
+
+    def write(batch: DataFrame, stream: str, batch_id: int) -> None:
+        spark = batch.sparkSession
+        touched = windows.touched_windows(batch, width).persist()
+        try:
+            days = [day for (day,) in touched.select(windows.window_date()).distinct().collect()]
+            if not days:
+                return
+            dated = events().filter(F.col(EVENT_DATE).isin(days)).drop(EVENT_DATE)
+            started = windows.with_window_start(dated, width)
+            again = started.join(touched, "window_start", "left_semi").drop("window_start")
+            new = measure(again).withColumn(WINDOW_DATE, windows.window_date())
+            old = batches.read_or_empty(spark, target, new.schema)
+            old = old.filter(F.col(WINDOW_DATE).isin(days)).join(touched, "window_start", "left_anti")
+            both = new.unionByName(old).hint("rebalance", F.col(WINDOW_DATE))
+            batches.overwrite_partitions(both, target, [WINDOW_DATE])
+        finally:
+            touched.unpersist()
+
+    return write
+
+
+def stream_exact_windows(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    measure: Callable[[DataFrame], DataFrame],
+    width: str,
+    schema: T.StructType | None = None,
+    wait: bool = True,
+) -> StreamingQuery:
+    """Keeps exact windows of a stored event log, partitioned by ``EVENT_DATE``."""
+    rows = stream_table(spark, source, schema=schema)
+    write = windows_write(lambda: read_table(spark, source, schema=schema), target, measure, width)
+    return batches.feed(rows.drop(EVENT_DATE), checkpoint, [write], wait=wait)
+
+
+def dated(events: DataFrame) -> DataFrame:
+    """Events with the day their windows lie in, to be stored by it."""
+    return events.withColumn(EVENT_DATE, windows.event_date())
+
+
+def read_windows(spark: SparkSession, target: str) -> DataFrame:
+    return read_table(spark, target).drop(WINDOW_DATE)
+
+
 # --- journeys
 
 
