@@ -3,9 +3,11 @@
 The base patterns are ``assign`` (a sensitive name, a sign, a value), ``access`` (access key ids) and
 ``hex`` (long hexadecimal runs).
 
-The novelty method looks at strings of at least ``LEAST_LENGTH`` token characters that mix two or more
-of lower case, upper case (but for a word's capital) and digits, within ``CONTEXT`` characters of a sensitive word on either
-side, across line ends. A string is a whole run of token characters, or the part of one after its first
+The novelty method looks at strings of at least ``LEAST_LENGTH`` token characters within ``CONTEXT``
+characters of a sensitive word on either side, across line ends. They mix two or more of lower case,
+upper case (but for a word's capital) and digits, or hold an unbroken run of one of these: ``LEAST_LETTERS``
+letters or ``LEAST_DIGITS`` digits, longer than nearly all words, times and card numbers, which no
+dictionary here tells from random strings of their length. A string is a whole run of token characters, or the part of one after its first
 sensitive word, or before, after or between such words. zstandard, primed with a dictionary of identifiers and the code
 around the string, compresses what stands before it with and without it; the difference, in bytes per
 character, is the string's novelty. Names and paths are in the dictionary or the surroundings and cost
@@ -52,6 +54,8 @@ SENSITIVE_WORDS = (
 SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE_WORDS)), re.IGNORECASE | re.ASCII)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 LEAST_LENGTH = 12
+LEAST_LETTERS = 20
+LEAST_DIGITS = 18
 CONTEXT = 80
 SURROUNDINGS = 1_000
 LEAST_NOVELTY = 0.7
@@ -99,6 +103,7 @@ class Novelty:
 
 _HEX_LETTERS = set("abcdefABCDEF")
 _CAPITAL = re.compile(r"(?<![A-Za-z0-9])[A-Z](?=[a-z])")
+_LONG_RUN = re.compile(f"[a-z]{{{LEAST_LETTERS}}}|[A-Z]{{{LEAST_LETTERS}}}|[0-9]{{{LEAST_DIGITS}}}")
 
 
 def alphabet(found: str) -> str:
@@ -109,10 +114,11 @@ def alphabet(found: str) -> str:
     return "".join(one for one in classes if not set(one).isdisjoint(found))
 
 
-def _mixed(found: str) -> bool:
-    """Whether two or more of lower case, upper case and digits occur; a word's capital counts as lower case."""
+def _measured(found: str) -> bool:
+    """Whether a string mixes classes of characters or holds a long run of one; a word's capital counts as lower case."""
     found = _CAPITAL.sub("a", found)
-    return any(map(str.isdigit, found)) + any(map(str.islower, found)) + any(map(str.isupper, found)) > 1
+    classes = any(map(str.isdigit, found)) + any(map(str.islower, found)) + any(map(str.isupper, found))
+    return classes > 1 or _LONG_RUN.search(found) is not None
 
 
 def _strings(text: str, words: list[tuple[int, int]]) -> Iterator[tuple[int, int, bool]]:
@@ -123,13 +129,13 @@ def _strings(text: str, words: list[tuple[int, int]]) -> Iterator[tuple[int, int
         # Words that overlap the run, and whether one stands outside it but within the context.
         first, last = bisect_right(ends, a), bisect_left(starts, b)
         outside = (first > 0 and a - ends[first - 1] < CONTEXT) or (last < len(words) and starts[last] - b < CONTEXT)
-        if _mixed(text[a:b]):
+        if _measured(text[a:b]):
             yield a, b, outside or first < last
         if first < last:
             cuts = [a, *[min(max(place, a), b) for word in words[first:last] for place in word], b]
             tail = [(cuts[2], b)] if last - first > 1 else []
             for x, y in [*tail, *zip(cuts[::2], cuts[1::2])]:
-                if LEAST_LENGTH <= y - x < b - a and _mixed(text[x:y]):
+                if LEAST_LENGTH <= y - x < b - a and _measured(text[x:y]):
                     yield x, y, True
 
 
@@ -145,13 +151,13 @@ def spans(text: str | None, novelty: Novelty) -> list[tuple[int, int, int]]:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if any(word in lower for word in SENSITIVE_WORDS):
-        places = list(_strings(text, [m.span() for m in SENSITIVE.finditer(text)]))
+        places = sorted(_strings(text, [m.span() for m in SENSITIVE.finditer(text)]), key=lambda p: (p[0], -p[1]))
         novel: dict[str, bool] = {}
         for a, b, near in places:
             if near and text[a:b] not in novel:
                 cost, random_cost = novelty(text, a, b)
                 novel[text[a:b]] = cost >= LEAST_NOVELTY * random_cost
-        # A whole run comes before its parts.
+        # By start, the longer first: a place inside an earlier novel one ends within its reach.
         base = sorted((a, b) for a, _, b in found)
         starts, ends = [a for a, _ in base], list(accumulate((b for _, b in base), max))
         reach = 0
