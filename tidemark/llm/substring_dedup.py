@@ -192,7 +192,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     single = single.select("doc_id", "text_hash", "first", F.lit(1).alias("edges"))
 
     places = whole.unionByName(single).groupBy("doc_id", "text_hash")
-    listed = places.agg(F.collect_list(F.struct("first", "edges")).alias("paths"))
+    # A set: rows equal in id (or without one) and text bring the same paths, once a task.
+    listed = places.agg(F.collect_set(F.struct("first", "edges")).alias("paths"))
 
     def merge(columns: dict[str, list]) -> dict[str, list]:
         merged = []
