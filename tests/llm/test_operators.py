@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, over small tables and the smallest test tables."""
 
 import random
+import string
 from collections import defaultdict
 
 import numpy as np
@@ -330,6 +331,24 @@ def test_mix_of_edge_rows(spark):
     assert [(r.taken, r.target) for r in mixed(spark, [(1, None), (2, "")])] == [(0, 0.0)] * 2
 
 
+def test_mix_of_many_rows_without_an_id(spark):
+    rows = [(None, "one text"), (5, "one text")] * 400 + [(i, "two words") for i in range(6, 206)] + [(None, "a b c")] * 50
+    got, whole = mixed(spark, rows, ordered_rows=10), mixed(spark, rows)
+    for one in (got, whole):
+        check_mix(rows, one)
+    again = mixed(spark, rows[::-1], ordered_rows=10)
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    assert sum(r.taken for r in got) == sum(r.taken for r in whole)
+
+
+def test_rows_without_an_id_are_ordered_in_many_groups(spark):
+    rows = spark.range(20_000).selectExpr("cast(null as bigint) doc_id", "'one text' text", "'a' source").repartition(16)
+    sized = mixing._sized(rows, 1_000)
+    groups = [r["count"] for r in sized.groupBy("_own", "_part").count().collect()]
+    assert len(groups) == 16 and max(groups) < 2_000 and sum(groups) == 20_000
+    assert mixing._sized(rows, 50_000).filter("_own is not null").count() == 0
+
+
 def test_rates_are_exponentially_tilted(spark):
     rows = [(i, H.prose(i, 5 + 10 * (i % 4)), "en", "ab"[i % 2]) for i in range(80)]
     slopes = defaultdict(set)
@@ -534,6 +553,60 @@ def test_novel_strings_repeated_of_letters_and_on_either_side():
         assert [text[a:b] for a, k, b in secret_scan.spans(text, novelty) if k == 3] == places, text
 
 
+def test_novel_strings_of_one_class():
+    novelty = secret_scan.Novelty(secret_scan.identifier_dictionary())
+    rng = random.Random(7)
+    for letters, size in ((string.ascii_lowercase, 24), (string.ascii_uppercase, 20), (string.digits, 18)):
+        for _ in range(20):
+            key = "".join(rng.choices(letters, k=size))
+            text = f"the credential is {key} and nothing else"
+            assert [text[a:b] for a, k, b in secret_scan.spans(text, novelty) if k == 3] == [key]
+    calm = "credential " + "x" * 30 + " 4328024104680480 some-hyphenated-words-in-a-row abcdefghijklmnopqrstuvwxyz"
+    assert [s for s in secret_scan.spans(calm, novelty) if s[1] == 3] == []
+
+
+def novel_twin(text, novelty):
+    """All strings by all words, without sorted places: the novel spans a plain reading gives."""
+    words = [m.span() for m in secret_scan.SENSITIVE.finditer(text)]
+    places = []
+    for run in secret_scan.CANDIDATE.finditer(text):
+        a, b = run.span()
+        inside = [w for w in words if w[0] < b and w[1] > a]
+        gaps = [a - w[1] if w[1] <= a else w[0] - b for w in words if w not in inside]
+        places.append((a, -b, bool(inside) or any(gap < secret_scan.CONTEXT for gap in gaps)))
+        parts = [(inside[0][1], b)] if inside else []
+        borders = [a] + [edge for w in inside for edge in w] + [b]
+        parts += [(max(a, x), min(b, y)) for x, y in zip(borders[::2], borders[1::2])]
+        places += [(x, -y, True) for x, y in parts if inside and secret_scan.LEAST_LENGTH <= y - x < b - a]
+    places = sorted(p for p in places if secret_scan._measured(text[p[0] : -p[1]]))
+    novel = {}
+    for a, minus, near in places:
+        if near and text[a:-minus] not in novel:
+            cost, limit = novelty(text, a, -minus)
+            novel[text[a:-minus]] = cost >= secret_scan.LEAST_NOVELTY * limit
+    base = [(m.start(), m.end()) for m in secret_scan.ASSIGN.finditer(text) if len(m[2]) >= 6]
+    base += [m.span() for p in (secret_scan.ACCESS, secret_scan.HEX) for m in p.finditer(text)]
+    found = {(a, -minus) for a, minus, _ in places if novel.get(text[a:-minus])}
+    found = [s for s in found if not any(x <= s[0] and s[1] <= y for x, y in base)]
+    return sorted(s for s in found if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in found))
+
+
+def test_novel_spans_against_a_plain_reading():
+    novelty = secret_scan.Novelty(secret_scan.identifier_dictionary())
+    rng = random.Random(11)
+    keys = ["".join(rng.choices(string.ascii_letters + string.digits, k=rng.randrange(12, 40))) for _ in range(4)]
+    keys += ["".join(rng.choices(letters, k=22)) for letters in (string.ascii_lowercase, string.digits, "abcdef0123456789")]
+    pieces = [*keys, *(f"{keys[0]}{w}{keys[1]}" for w in ("token", "Secret")), "password", "credential", "token=" + keys[2]]
+    pieces += ["plain words here", "x" * 90, "refreshTokenValue1", "\n", "api_key", "word " * 30]
+    hits = 0
+    for _ in range(150):
+        text = rng.choice(["", " "]).join(rng.choices(pieces, k=rng.randrange(1, 12)))
+        got = [(a, b) for a, k, b in secret_scan.spans(text, novelty) if k == 3]
+        assert got == novel_twin(text, novelty), text
+        hits += len(got)
+    assert hits > 100
+
+
 def test_secrets_of_edge_rows(spark):
     got = secret_scan.secret_spans(H.frame(spark, H.edge_rows(), extra=True)).collect()
     assert len(got) == len(H.edge_rows()) and all(r.spans == [] for r in got)

@@ -172,6 +172,29 @@ def _rounded(cells: DataFrame, cap: int) -> DataFrame:
     return dealt.select("source", "c.cells.size", "c.cells.n", "c.cells.rate", F.col("c.copies").alias("copies"))
 
 
+def _sized(docs: DataFrame, ordered_rows: int) -> DataFrame:
+    """``doc_id, source, size, _order, _own, _part`` for each row of ``docs``.
+
+    ``_order`` is a hash of the id. Where more than ``ordered_rows`` rows agree in it and in source and
+    size, as rows without an id do, ``_own`` repeats it and ``_part`` is the task that wrote the row:
+    they are alike, so any order among them gives the same result, and each task's are ordered alone.
+    """
+    chance = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    sized = docs.select(
+        "doc_id", F.col("source").cast("string"), word_count().alias("size"), chance.alias("_order"),
+        F.spark_partition_id().alias("_part"),
+    )
+    sized = stored(sized, "sized")
+    keys = ["source", "size", "_order"]
+    many = sized.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") > ordered_rows)
+    many = stored(many.select(*[F.col(k).alias(f"_many_{k}") for k in keys]), "repeated-ids")
+    met = [same(F.col(k), F.col(f"_many_{k}")) for k in keys]
+    own = F.col("_many__order")
+    return sized.join(many, met, "left").select(
+        "doc_id", "source", "size", "_order", own.alias("_own"), F.when(own.isNotNull(), F.col("_part")).alias("_part")
+    )
+
+
 def mix(
     docs: DataFrame,
     share: float = SHARE,
@@ -180,9 +203,7 @@ def mix(
     ordered_rows: int = ORDERED_ROWS,
 ) -> DataFrame:
     """``doc_id, source, size, source_size, target, rate, copies, taken`` for each row of ``docs``."""
-    sized = stored(
-        docs.select("doc_id", F.col("source").cast("string"), word_count().alias("size")), "sized"
-    )
+    sized = _sized(docs, ordered_rows)
     cells = stored(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
     sources = cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     goals = stored(targets(sources, share, weights, cap), "targets")
@@ -212,10 +233,8 @@ def mix(
     dealt = sized.join(
         plan, same(F.col("source"), F.col("_s")) & (F.col("size") == F.col("_size"))
     )
-    chance = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    dealt = dealt.withColumn("_order", chance).withColumn(
-        "_bucket", F.pmod("_order", F.ceil(F.col("_n") / ordered_rows))
-    )
+    bucket = F.pmod("_order", F.ceil(F.col("_n") / ordered_rows))
+    dealt = dealt.withColumn("_bucket", F.struct(bucket.alias("bucket"), "_own", "_part"))
     earlier = Window.partitionBy("_s", "_size").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shift = dealt.groupBy("_s", "_size", "_bucket").agg(F.count("*").alias("_rows"))
     shift = shift.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).filter("_before > 0")
@@ -223,7 +242,7 @@ def mix(
     inside = F.row_number().over(Window.partitionBy("_s", "_size", "_bucket").orderBy("_order", "doc_id"))
     placed = dealt.withColumn("_place", inside).join(
         shift,
-        same(F.col("_s"), F.col("_bs")) & (F.col("_size") == F.col("_bsize")) & (F.col("_bucket") == F.col("_b")),
+        same(F.col("_s"), F.col("_bs")) & (F.col("_size") == F.col("_bsize")) & same(F.col("_bucket"), F.col("_b")),
         "left",
     )
     place = F.col("_place") + F.coalesce("_before", F.lit(0)) - 1
