@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock
@@ -22,6 +22,22 @@ def completeness(bronze: DataFrame) -> DataFrame:
     )
 
 
+def stored_completeness(spark: SparkSession, path: str) -> DataFrame:
+    """``completeness`` of a Parquet table of typed columns, from the counts in the footers alone.
+
+    Only the V2 reader takes counts from footers; it is chosen in a session of its own, so that the
+    caller's settings stay. Partition filters still apply, filters on rows would not.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    names = ("timestamp", "itemid", "property", "value")
+    counts = session.read.parquet(path).agg(
+        F.count("*").alias("total_records"), *[F.count(name).alias(f"has_{name}") for name in names]
+    )
+    return counts.withColumn("missing_timestamp", F.col("total_records") - F.col("has_timestamp"))
+
+
 def silver_quality(silver: DataFrame) -> DataFrame:
     return silver.agg(
         F.count("*").alias("total_records"),

@@ -110,6 +110,9 @@ _OVER_PROPERTIES = {
     "bronze_completeness": 'SELECT count(*) AS total_records, count("timestamp") AS has_timestamp, '
     "count(itemid) AS has_itemid, count(property) AS has_property, "
     'count("value") AS has_value, count(*) - count("timestamp") AS missing_timestamp FROM raw',
+    "bronze_completeness_stored": 'SELECT count(*) AS total_records, count("timestamp") AS has_timestamp, '
+    "count(itemid) AS has_itemid, count(property) AS has_property, "
+    'count("value") AS has_value, count(*) - count("timestamp") AS missing_timestamp FROM raw',
     "dedup_ratio": "SELECT (SELECT count(*) FROM raw) AS input_rows, count(*) AS output_rows, "
     "CAST((SELECT count(*) FROM raw) AS DOUBLE) / nullif(count(*), 0) AS dedup_ratio FROM silver",
     "schema_evolution_append": f"{_RAW.replace(' FROM', ', CAST(NULL AS VARCHAR) AS _load_id FROM')}"
@@ -207,6 +210,8 @@ _OVER_EVENTS = {
     "WHERE validation_status = 'failed'",
     "events_overview": "SELECT count(*) AS total_events, count(DISTINCT visitorid) AS "
     "unique_visitors, count(DISTINCT itemid) AS unique_items FROM bronze",
+    "events_overview_by_load": "SELECT count(*) AS total_events, count(DISTINCT visitorid) AS "
+    "unique_visitors, count(DISTINCT itemid) AS unique_items FROM bronze",
     "events_by_type": "SELECT event, count(*) AS event_count FROM bronze GROUP BY event",
     "event_timeline": "SELECT event_time, count(*) AS event_count FROM silver GROUP BY event_time",
     "top_visitors": "SELECT visitorid, count(*) AS event_count FROM silver GROUP BY visitorid "

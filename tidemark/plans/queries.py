@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import clock, validation
 from tidemark.operators import events as ev
 from tidemark.operators import properties as props
-from tidemark.operators import quality, windows
+from tidemark.operators import distinct, quality, windows
 from tidemark.plans import batch_layer, fixtures, speed_layer
 from tidemark.schemas import (
     DOCUMENTED_EVENT_TYPES,
@@ -86,6 +86,14 @@ def bronze_completeness(spark, sf_dir):
     return quality.completeness(fixtures.bronze_item_properties(spark, sf_dir))
 
 
+@query
+def bronze_completeness_stored(spark, sf_dir):
+    """The same from the footers of a stored table, without reading a row."""
+    target = f"{workspace(spark, 'bronze_completeness_stored')}/bronze"
+    write_table(fixtures.bronze_item_properties(spark, sf_dir), target)
+    return quality.stored_completeness(spark, target)
+
+
 @query
 def dedup_ratio(spark, sf_dir):
     return quality.dedup_ratio(fixtures.bronze_item_properties(spark, sf_dir))
@@ -451,6 +459,18 @@ def events_overview(spark, sf_dir):
     return quality.events_overview(fixtures.bronze_events(spark, sf_dir))
 
 
+@query
+def events_overview_by_load(spark, sf_dir):
+    """The overview from bitmaps of three loads, the second of which comes twice."""
+    target = f"{workspace(spark, 'events_overview_by_load')}/bitmaps"
+    bronze = fixtures.bronze_events(spark, sf_dir)
+    for load in (0, 1, 1, 2):
+        rows = bronze.filter(F.pmod(F.col("_ingestion_id").cast("bigint"), F.lit(3)) == load)
+        distinct.add_load(rows, ["visitorid", "itemid"], target, f"load-{load}")
+    names = {"visitorid": "unique_visitors", "itemid": "unique_items"}
+    return distinct.distinct_counts(read_table(spark, target), names, total="total_events")
+
+
 @query
 def events_by_type(spark, sf_dir):
     return ev.events_by_type(fixtures.bronze_events(spark, sf_dir))
