@@ -2,9 +2,11 @@
 
 import random
 import string
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import helpers as H
@@ -271,6 +273,25 @@ def test_substrings_of_edge_rows(spark):
     assert substring_dedup.without_repeats(H.frame(spark, [])).count() == 0
 
 
+def test_substring_workers_hold_few_rows_at_once(spark, monkeypatch):
+    kind = type(spark.range(0))
+    real, functions = kind.mapInArrow, []
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, *more: functions.append(f) or real(self, f, *more))
+    texts = [H.prose(seed, 400) for seed in range(50)] * 80
+    docs = H.frame(spark, [(1, texts[0])])
+    substring_dedup.path_table(docs)
+    chosen = spark.createDataFrame([(1, 1, 1, 0)], "doc_id bigint, text_hash bigint, minimizer bigint, first int")
+    substring_dedup._edges_of(docs, chosen, 35, 8)
+    whole = {"doc_id": range(len(texts)), "text_hash": range(len(texts)), "text": texts}
+    for function, more in zip(functions, ({}, {"firsts": [list(range(400))] * len(texts)})):
+        tracemalloc.start()
+        rows = [out.num_rows for out in function(iter([pa.RecordBatch.from_pydict(whole | more)]))]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(rows) > 10 * len(texts) and max(rows) < sum(rows) / 3
+        assert peak < 60e6
+
+
 # --- mixing
 
 

@@ -99,17 +99,35 @@ def crc32_sql(text: str) -> str:
     return f"xor({crc}, 4294967295)"
 
 
+def slices(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` halved until each part has at most ``most_bytes`` or a single row."""
+    if batch.num_rows < 2 or batch.nbytes <= most_bytes:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from slices(batch.slice(0, half), most_bytes)
+        yield from slices(batch.slice(half), most_bytes)
+
+
 def map_rows(
-    rows: DataFrame, function: Callable[[dict[str, list]], dict[str, list]], schema: str
+    rows: DataFrame,
+    function: Callable[[dict[str, list]], dict[str, list]],
+    schema: str,
+    most_bytes: int | None = None,
 ) -> DataFrame:
-    """Applies ``function`` to column lists of each Arrow batch; it returns column lists."""
+    """Applies ``function`` to column lists of each Arrow batch; it returns column lists or arrays.
+
+    With ``most_bytes``, batches are handled in slices of that size. An Arrow batch has 10,000 rows
+    however long they are, and a worker that makes many rows of each holds all of them at once.
+    """
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
+        parts = (p for b in source for p in (slices(b, most_bytes) if most_bytes else (b,)))
+        for batch in parts:
             columns = function({n: c.to_pylist() for n, c in zip(batch.schema.names, batch.columns)})
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], f.type) for f in target], schema=target

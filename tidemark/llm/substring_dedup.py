@@ -39,7 +39,9 @@ ANCHOR = 8
 # Words of a text handled at once; longer texts take overlapping pieces.
 PIECE_WORDS = 1 << 20
 # Word hashes that a Python worker remembers.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 100_000
+# Bytes of texts or paths that a Python worker turns into rows at once.
+SLICE_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -123,6 +125,10 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *parts])
+
+
 def _source(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_hash().alias("text_hash"), F.col("text").cast("string"))
 
@@ -136,15 +142,15 @@ def path_table(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> D
             for minimizer, path, first, edges in paths(_words(text), window, anchor):
                 out["doc_id"] += [doc_id] * len(first)
                 out["text_hash"] += [key] * len(first)
-                out["minimizer"] += minimizer.view(np.int64).tolist()
-                out["path"] += path.view(np.int64).tolist()
-                out["first"] += first.tolist()
-                out["edges"] += edges.tolist()
-        return out
+                out["minimizer"].append(minimizer.view(np.int64))
+                out["path"].append(path.view(np.int64))
+                out["first"].append(first)
+                out["edges"].append(edges)
+        return out | {n: _joined(out[n]) for n in ("minimizer", "path", "first", "edges")}
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, text_hash bigint, minimizer bigint, path bigint, first int, edges int"
-    return map_rows(_source(docs), cut, schema)
+    return map_rows(_source(docs), cut, schema, SLICE_BYTES)
 
 
 def _edges_of(docs: DataFrame, mixed: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -166,13 +172,14 @@ def _edges_of(docs: DataFrame, mixed: DataFrame, window: int, anchor: int) -> Da
                 starts = np.repeat(first, count) + inside
                 out["doc_id"] += [doc_id] * len(starts)
                 out["text_hash"] += [key] * len(starts)
-                out["minimizer"] += np.repeat(minimizer[mine], count).view(np.int64).tolist()
-                out["edge"] += edge_hashes(words, starts, window).view(np.int64).tolist()
-                out["first"] += starts.tolist()
-        return out
+                out["minimizer"].append(np.repeat(minimizer[mine], count).view(np.int64))
+                out["edge"].append(edge_hashes(words, starts, window).view(np.int64))
+                out["first"].append(starts)
+        return out | {n: _joined(out[n]) for n in ("minimizer", "edge", "first")}
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_rows(joined, write, f"doc_id {kind}, text_hash bigint, minimizer bigint, edge bigint, first int")
+    schema = f"doc_id {kind}, text_hash bigint, minimizer bigint, edge bigint, first int"
+    return map_rows(joined, write, schema, SLICE_BYTES)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -192,24 +199,28 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     single = single.select("doc_id", "text_hash", "first", F.lit(1).alias("edges"))
 
     places = whole.unionByName(single).groupBy("doc_id", "text_hash")
-    # A set: rows equal in id (or without one) and text bring the same paths, once a task.
-    listed = places.agg(F.collect_set(F.struct("first", "edges")).alias("paths"))
+    # A set: rows equal in id (or without one) and text bring the same paths, once a task. Both numbers
+    # of a path are in one, since a set of structs takes several times the memory.
+    path = F.shiftleft(F.col("first").cast("bigint"), 32) + F.col("edges")
+    listed = places.agg(F.collect_set(path).alias("paths"))
 
     def merge(columns: dict[str, list]) -> dict[str, list]:
         merged = []
         for found in columns["paths"]:
             spans: list[dict[str, int]] = []
-            for p in sorted((p["first"], p["first"] + p["edges"] + window - 1) for p in found):
-                if spans and p[0] <= spans[-1]["end"]:
-                    spans[-1]["end"] = max(spans[-1]["end"], p[1])
+            for path in sorted(found):
+                first, edges = divmod(path, 1 << 32)
+                end = first + edges + window - 1
+                if spans and first <= spans[-1]["end"]:
+                    spans[-1]["end"] = max(spans[-1]["end"], end)
                 else:
-                    spans.append({"start": p[0], "end": p[1]})
+                    spans.append({"start": first, "end": end})
             merged.append(spans)
         return {"doc_id": columns["doc_id"], "text_hash": columns["text_hash"], "spans": merged}
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, text_hash bigint, spans array<struct<start: int, end: int>>"
-    return stored(map_rows(listed, merge, schema), "repeated-spans")
+    return stored(map_rows(listed, merge, schema, SLICE_BYTES), "repeated-spans")
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -234,7 +245,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
         return {"doc_id": columns["doc_id"], "n_words": total, "n_removed": removed, "kept_text": kept_text}
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_rows(joined, cut, f"doc_id {kind}, n_words bigint, n_removed bigint, kept_text string")
+    schema = f"doc_id {kind}, n_words bigint, n_removed bigint, kept_text string"
+    return map_rows(joined, cut, schema, SLICE_BYTES)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
