@@ -151,3 +151,31 @@ def test_documented_vocabulary_in_any_case(spark):
     assert tuples(kept, "event") == [("click",), ("view",), ("view",)]
     exact = ev.silver_events_validated(bronze_events(spark, rows), ("view", "click"))
     assert tuples(exact, "event") == [("view",)]
+
+
+def shuffled_bytes(node):
+    """Bytes of the rows that the exchanges of an executed plan were given."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_bytes(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_bytes(node.plan())
+    size = node.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+    return size + sum(shuffled_bytes(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_paths_are_not_sorted_with_the_rows(spark, tmp_path, monkeypatch):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    spark.range(6000).selectExpr(
+        "if(id % 11 = 0, null, id % 5) AS timestamp", "cast(id % 1000 as int) AS itemid",
+        "cast(id % 2 as int) AS property", "if(id % 7 = 0, null, string(id % 3)) AS value",
+        "timestamp_seconds(id % 2) AS _ingestion_time", "'load' AS _load_id",
+        "if(id % 13 = 0, null, concat('/landing/', repeat('x', 400), id % 17)) AS _source_file",
+    ).write.parquet(bronze)
+    kind, seen = type(spark.range(0)), []
+    observe = kind.observe
+    monkeypatch.setattr(kind, "observe", lambda self, *a: seen.append(self) or observe(self, *a))
+    batch_layer.refine(spark, bronze, silver, ())
+    got = {tuple(r) for r in seen[0].collect()}
+    assert got == {tuple(r) for r in props.silver_item_properties(spark.read.parquet(bronze)).collect()}
+    assert 0 < shuffled_bytes(seen[0]._jdf.queryExecution().executedPlan()) < 200 * 6000

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import properties as props
 from tidemark.operators import quality
+from tidemark.operators.skew import numbered
 from tidemark.schemas import ITEM_BRONZE, ITEM_SILVER, PROPERTY_CSV
 from tidemark.session import workspace
 from tidemark.sinks.batches import feed, overwrite_partitions, read_or_empty
@@ -29,6 +30,23 @@ def _read_silver(spark: SparkSession, silver: str) -> DataFrame:
     return read_table(spark, silver, schema=ITEM_SILVER)
 
 
+def _latest(typed: DataFrame) -> DataFrame:
+    """``latest_item_properties``, with a number for each file's path while rows are sorted.
+
+    The path is the widest column, and settles only ties. Files are numbered in the order of their
+    paths, so the numbers settle them alike; rows get their path again when one a key is left.
+    """
+    spark, path = typed.sparkSession, workspace(typed.sparkSession, "source-files")
+    files = numbered(typed.select("source_file").distinct(), [], ["source_file"], "_file")
+    files.write.parquet(path)
+    files = spark.read.schema(files.schema).parquet(path)
+    same = F.col("source_file").eqNullSafe(F.col("_path"))
+    coded = typed.join(files.withColumnRenamed("source_file", "_path"), same)
+    coded = coded.withColumn("source_file", F.col("_file")).select(*props.TYPED)
+    latest = props.latest_item_properties(coded).withColumnRenamed("source_file", "_file")
+    return latest.join(files, "_file").select(*ITEM_SILVER.fieldNames())
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -53,7 +71,7 @@ def refine(
     stays as it is.
     """
     checked, staged = Observation(), workspace(spark, "silver-staged")
-    rows = props.silver_item_properties(read_table(spark, bronze))
+    rows = _latest(props.typed_item_properties(read_table(spark, bronze)))
     rows.observe(checked, *quality.null_key_counts(SILVER_KEYS)).write.parquet(staged)
     if any(checked.get.values()):
         raise ValueError(f"NULL keys for {silver}: {checked.get}")
@@ -89,7 +107,7 @@ def refine_new(
         touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
         known = _read_buckets(spark, silver).filter(F.col(BUCKET).isin(touched))
         rows = fresh.unionByName(known.select(*props.TYPED, BUCKET))
-        latest = props.latest_item_properties(rows.drop(BUCKET)).select("*", bucket)
+        latest = _latest(rows.drop(BUCKET)).select("*", bucket)
         present = quality.with_keys_present(latest, SILVER_KEYS)
         overwrite_partitions(present.hint("rebalance", F.col(BUCKET)), silver, [BUCKET])
 
