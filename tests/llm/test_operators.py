@@ -729,6 +729,72 @@ def test_lm_counts_and_base_equal_a_plain_version(spark, head):
     assert all(np.isfinite(r.score) and r.score <= 0 for r in got)
 
 
+def words_plain(text):
+    return (text or "").encode().lower().split()
+
+
+def lm_classes(texts, head):
+    """The class table of the words of ``texts``, of which ``head`` are in the head."""
+    from collections import Counter
+
+    seen, endings = Counter(w for t in texts for w in words_plain(t)), defaultdict(lambda: (0, 0))
+    for w, c in seen.items():
+        n, k = endings[lm_scoring._ending(w)]
+        endings[lm_scoring._ending(w)] = (n + c, k + 1)
+    return lm_scoring.Classes(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:head], endings, len(texts))
+
+
+@pytest.mark.parametrize("head", [0, 3, 70, 10_000])
+def test_lm_encoding_equals_a_word_by_word_version(head):
+    from collections import Counter
+
+    texts = [None, "", " \t\n\x0b\x0c\r", "x", " Two  two\r\n", "\x1c\x85Ä\xa0ä \x00 \u2003É", "rare " * 300 + "odd"]
+    texts += [H.prose(i, 80).replace(" ", "\t ", i % 3) for i in range(30)]
+    table = lm_classes(texts, head)
+    places, singles = table.index, min(head, lm_scoring.SINGLE_CLASSES)
+    whole = pa.array(["not this", *texts, "nor this"]).slice(1, len(texts))  # as slices of a batch are
+    got = {k: v.to_pylist() for k, v in table.encode(whole).items()}
+    for i, text in enumerate(texts):
+        kinds, others, log, terms = [], Counter(), table.end_log, -table.end_log
+        for w in words_plain(text):
+            at = places.get(w)
+            kinds.append(1 + at if at is not None and at < singles else int(table.by_ending[lm_scoring._ending(w)]))
+            log += table.log_count[at] if at is not None else 0
+            terms += table.to_class[kinds[-1]] if kinds[-1] > lm_scoring.SINGLE_CLASSES else -table.log_count[at]
+            others.update([w] if at is None else [])
+        assert got["classes"][i] == bytes([*kinds, lm_scoring.END])
+        assert got["n_tokens"][i] == len(kinds) + 1 and got["n_head"][i] == len(kinds) - others.total()
+        assert got["head_log"][i] == pytest.approx(log) and got["class_log"][i] == pytest.approx(terms)
+        # A word outside the head goes to the join once a text, however often it stands there.
+        assert dict(zip(got["others"][i], got["times"][i])) == others and len(got["others"][i]) == len(others)
+
+
+def test_lm_sends_a_word_outside_the_head_to_the_join_once_a_document(spark):
+    texts = ["head head head rare rare odd rare", "rare odd odd Odd", "head"]
+    table = lm_classes(["head " * 9], 1)
+    got = lm_scoring.encoded(H.frame(spark, list(enumerate(texts))), table).orderBy("doc_id").collect()
+    assert [sorted(r.others) for r in got] == [[b"odd", b"rare"], [b"odd", b"rare"], []]
+    assert [sorted(zip(r.others, r.times)) for r in got] == [[(b"odd", 1), (b"rare", 3)], [(b"odd", 3), (b"rare", 1)], []]
+
+
+def test_a_step_of_the_network_reads_and_gives_whole_pieces_of_memory():
+    params = gru.initial(6, 5, np.zeros(6))
+    ((inputs, targets, active),) = gru._windows([np.arange(7) % 6] * 4, 99)
+    assert active == [4] * 6 and all(x.flags.c_contiguous for x in (inputs, targets))
+    before = np.full((4, 5), 0.5, np.float32)
+    after, *gates = gru._step(gru._tables(params), inputs[1], before)
+    assert all(x.flags.c_contiguous and x.dtype == np.float32 for x in (after, *gates))
+    assert (before == 0.5).all()
+
+
+def test_lm_of_texts_in_many_slices(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SLICE_BYTES", 700)
+    rows = [r[:2] for r in H.edge_rows()] + [(100 + i, H.prose(i, 60) + " rare" * 9) for i in range(30)]
+    got = lm_scoring.scored(H.frame(spark, rows).coalesce(1), head=40, rounds=1).collect()
+    plain = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got)
+    assert plain == lm_twin(rows)
+
+
 def test_lm_beats_the_base_on_unseen_documents(spark):
     got = lm_scoring.scored(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
     held = [r for r in got if r.held_out]

@@ -17,7 +17,11 @@ Parameters = dict[str, np.ndarray]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place of ``x``."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def initial(classes: int, hidden: int, log_share: np.ndarray, seed: int = 7) -> Parameters:
@@ -67,18 +71,34 @@ def _windows(sequences: list[np.ndarray], span: int):
             part = sequence[begin : begin + steps + 1]
             row[: len(part)] = part
         active = (lengths[:running, None] > begin + np.arange(steps)).sum(axis=0).tolist()
-        yield read[:, :-1].T.astype(np.intp), read[:, 1:].T.astype(np.intp), active
+        # A step's classes lie side by side.
+        steps_first = np.ascontiguousarray(read.T).astype(np.intp)
+        yield steps_first[:-1], steps_first[1:], active
 
 
-def _step(params: Parameters, mixed: np.ndarray, before: np.ndarray):
-    """The next state from what the input adds and the state before, and the gates on the way."""
-    hidden = before.shape[1]
-    from_state = before @ params["state"]
-    gates = _sigmoid(mixed[:, : 2 * hidden] + from_state[:, : 2 * hidden])
-    z, r = gates[:, :hidden], gates[:, hidden:]
-    inner = from_state[:, 2 * hidden :]
-    new = np.tanh(mixed[:, 2 * hidden :] + r * inner)
-    return new + z * (before - new), z, r, inner, new
+def _by_gate(matrix: np.ndarray) -> np.ndarray:
+    """The three parts of the columns one after the other, so that each lies in one piece of memory."""
+    return np.ascontiguousarray(matrix.reshape(len(matrix), 3, -1).transpose(1, 0, 2))
+
+
+def _tables(params: Parameters) -> tuple[np.ndarray, np.ndarray]:
+    """By gate: what each class adds, and the matrix of the state."""
+    return _by_gate(params["embed"] + params["bias"]), _by_gate(params["state"])
+
+
+def _step(tables: tuple[np.ndarray, np.ndarray], read: np.ndarray, before: np.ndarray):
+    """The next state from the classes read and the state before, and the gates on the way."""
+    mixed, from_state = tables[0].take(read, axis=1), before @ tables[1]
+    gates = mixed[:2]
+    gates += from_state[:2]
+    z, r = _sigmoid(gates)
+    inner, new = from_state[2], mixed[2]
+    new += r * inner
+    np.tanh(new, out=new)
+    after = before - new
+    after *= z
+    after += new
+    return after, z, r, inner, new
 
 
 def _exp_logits(params: Parameters, states: np.ndarray, least: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -105,16 +125,16 @@ def log10_probability(
     """
     out = np.zeros(len(sequences))
     hidden = params["state"].shape[0]
-    table, small = params["embed"] + params["bias"], _small_logits(params)
+    tables, small = _tables(params), _small_logits(params)
     for rows in _batches(sequences, batch):
         chosen = [np.append(start, sequences[i]) for i in rows]
-        h = np.zeros((len(rows), hidden), np.float32)
+        h = np.zeros((len(rows), hidden), tables[1].dtype)
         total = np.zeros(len(rows))
         for inputs, targets, active in _windows(chosen, span):
             states, wanted = [], []
             for t, n in enumerate(active):
-                h[:n] = _step(params, table[inputs[t, :n]], h[:n])[0]
-                states.append(h[:n].copy())
+                h = _step(tables, inputs[t, :n], h[:n])[0]
+                states.append(h)
                 wanted.append(targets[t, :n])
                 if len(states) * n >= batch or t == len(active) - 1:
                     logits, shares = _exp_logits(params, np.concatenate(states), small)
@@ -171,15 +191,15 @@ class Trainer:
     def _gradients(self, inputs, targets, active: list[int], h: np.ndarray) -> Parameters:
         """Of the mean loss of one window; ``h`` is the state before it, and then after it."""
         params, hidden, count = self.params, h.shape[1], np.float32(sum(active))
-        table, small = params["embed"] + params["bias"], _small_logits(params)
+        tables, small = _tables(params), _small_logits(params)
         places = np.arange(inputs.shape[1])
         grads = {k: np.zeros_like(v) for k, v in params.items()}
         kept, to_state = [], []
+        after = h.copy()
         for t, n in enumerate(active):
-            before = h[:n].copy()
-            after, *gates = _step(params, table[inputs[t, :n]], before)
+            before = after[:n]
+            after, *gates = _step(tables, inputs[t, :n], before)
             kept.append((before, *gates))
-            h[:n] = after
             _, slope = _exp_logits(params, after, small)
             slope /= slope.sum(axis=1, keepdims=True)
             slope[places[:n], targets[t, :n]] -= 1
@@ -187,23 +207,37 @@ class Trainer:
             grads["out"] += after.T @ slope
             grads["out_bias"] += slope.sum(axis=0)
             to_state.append(slope @ params["out"].T)
+        h[: len(after)] = after  # sequences that ended before are not read again
         back = np.zeros((inputs.shape[1], hidden), np.float32)
         for t in range(len(active) - 1, -1, -1):
             n = active[t]
             before, z, r, inner, new = kept[t]
-            dh = back[:n] + to_state[t]
-            d_new = dh * (1 - z) * (1 - new * new)
+            dh = back[:n]
+            dh += to_state[t]
+            # Factors stay in one piece; only the results go to the columns of their gate.
             d_gates = np.empty((n, 3 * hidden), np.float32)
-            d_gates[:, :hidden] = dh * (before - new) * z * (1 - z)
-            d_gates[:, hidden : 2 * hidden] = d_new * inner * r * (1 - r)
+            rest = 1 - z
+            d_z = before - new
+            d_z *= dh
+            d_z *= z
+            np.multiply(d_z, rest, out=d_gates[:, :hidden])
+            d_new = rest
+            d_new *= dh
+            d_new *= 1 - new * new
+            d_r = d_new * inner
+            d_r *= r
+            np.multiply(d_r, 1 - r, out=d_gates[:, hidden : 2 * hidden])
             d_gates[:, 2 * hidden :] = d_new
             order = np.argsort(inputs[t, :n].astype(np.uint8), kind="stable")
-            read = inputs[t, order]
-            first = np.flatnonzero(np.append(True, read[1:] != read[:-1]))
-            grads["embed"][read[first]] += np.add.reduceat(d_gates[order], first, axis=0)
-            d_gates[:, 2 * hidden :] *= r
+            read = inputs[t].take(order)
+            begins = np.ones(n, bool)
+            np.not_equal(read[1:], read[:-1], out=begins[1:])
+            first = np.flatnonzero(begins)
+            grads["embed"][read[first]] += np.add.reduceat(d_gates.take(order, axis=0), first, axis=0)
+            np.multiply(d_new, r, out=d_gates[:, 2 * hidden :])
             grads["state"] += before.T @ d_gates
-            back[:n] = dh * z + d_gates @ params["state"].T
+            dh *= z
+            dh += d_gates @ params["state"].T
         grads["bias"] = grads["embed"].sum(axis=0)
         return grads
 

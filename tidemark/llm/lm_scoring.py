@@ -27,16 +27,16 @@ token is unseen; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import gru
-from tidemark.llm.common import map_rows, remainder, stored, table
+from tidemark.llm.common import map_rows, remainder, slices, stored, table
 
 FOLDS, HELD_OUT = 5, 1
 # Frequent words kept by every task; their number is fixed, whatever the corpus.
@@ -47,36 +47,34 @@ HIDDEN = 24
 ROUNDS = 2
 # Step size in the first round; a k-th of it in the k-th.
 RATE = 0.015
-# Distinct words a counting task holds before it passes them on.
-COUNTED_WORDS = 500_000
+# Text that a task splits into words at a time.
+SLICE_BYTES = 8 * 1024 * 1024
 
 END = 0
 CLASSES = 1 + SINGLE_CLASSES + ENDING_CLASSES
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
+def words_of(texts: pa.Array) -> pa.ListArray:
+    """The words of each text, by Arrow's kernels; NULL has none."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # A text that begins or ends with white space, or has nothing else, gives empty words there.
+    filled = pc.greater(pc.binary_length(words.values), 0)
+    upto = np.append(0, np.cumsum(filled.to_numpy(zero_copy_only=False)))
+    return pa.ListArray.from_arrays(
+        pa.array(upto[words.offsets.to_numpy()], pa.int32()), words.values.filter(filled)
+    )
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``word, c`` over the given documents; each task adds up its words before the shuffle."""
+    """``word, c`` over the given documents; Spark adds up a task's words before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def passed_on() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_pydict(
-                {"word": pa.array(list(seen), pa.binary()), "c": pa.array(list(seen.values()), pa.int64())}
-            )
-            seen.clear()
-            return out
-
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                seen.update(words_of(text))
-                if len(seen) >= COUNTED_WORDS:
-                    yield passed_on()
-        yield passed_on()
+            for part in slices(batch, SLICE_BYTES):
+                found = pc.value_counts(words_of(part["text"]).values)
+                yield pa.RecordBatch.from_arrays(
+                    [found.field("values").cast(pa.binary()), found.field("counts")], ["word", "c"]
+                )
 
     partial = docs.select(F.col("text").cast("string")).mapInArrow(count, "word binary, c bigint")
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
@@ -86,12 +84,22 @@ def _ending(word: bytes) -> int:
     return (word[-1] << 8 | word[-2]) if len(word) > 1 else word[-1] << 8
 
 
+def _endings(words: pa.Array) -> np.ndarray:
+    """``_ending`` of each of the words, none of them empty."""
+    _, offsets, data = words.buffers()
+    borders = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
+    letters = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    last = borders[1:] - 1
+    before = np.where(np.diff(borders) > 1, letters[last - 1], 0)
+    return letters[last].astype(np.int64) << 8 | before
+
+
 class Classes:
     """Classes and log10 counts of the head words, and the class of any ending."""
 
     def __init__(self, head: list[tuple[bytes, int]], endings: dict[int, tuple[int, int]], documents: int):
         """``endings``: words in the corpus and different words, by ending, over all words."""
-        self.index = {word: i for i, (word, _) in enumerate(head)}
+        self.words = pa.array([word for word, _ in head], pa.binary())
         counts = np.array([c for _, c in head], np.float64)
         self.log_count = np.log10(counts + 0.5)
         mass, kinds = np.zeros(1 << 16), np.zeros(1 << 16)
@@ -115,25 +123,56 @@ class Classes:
         # What turns a token's log10 count into log10 P(token | class), by class.
         self.to_class = -np.log10(total + 0.5)
 
-    def encode(self, text: str | None) -> tuple[bytes, int, int, float, float, list[bytes]]:
-        """Classes, tokens, known head tokens, sums of log counts and of class terms, other words."""
-        words = words_of(text)
-        get = self.index.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        classes = np.zeros(len(words) + 1, np.uint8)
-        inside = at >= 0
-        rest = np.flatnonzero(~inside).tolist()
-        other = [words[i] for i in rest]
-        known = at[inside]
-        if len(words):
-            classes[:-1][inside] = self.of_head[known]
-            classes[rest] = [self.by_ending[_ending(w)] for w in other]
-        classes[-1] = END
-        logs = self.log_count[known]
-        alone = classes[:-1][inside] <= SINGLE_CLASSES
-        terms = float(self.to_class[classes[classes > SINGLE_CLASSES]].sum())
-        terms -= float(logs[alone].sum()) + self.end_log
-        return classes.tobytes(), len(words) + 1, len(known), float(logs.sum()) + self.end_log, terms, other
+    @property
+    def index(self) -> dict[bytes, int]:
+        """The place of each head word."""
+        return {word: i for i, word in enumerate(self.words.to_pylist())}
+
+    def encode(self, texts: pa.Array) -> dict[str, pa.Array]:
+        """By text: classes, tokens, known head tokens, sums of log counts and of class terms, other words.
+
+        Words are looked up once each, however often they occur in ``texts``.
+        """
+        lists = words_of(texts)
+        borders = lists.offsets.to_numpy().astype(np.int64)
+        sizes = np.diff(borders)
+        coded = lists.values.dictionary_encode()
+        words, at = coded.dictionary.cast(pa.binary()), coded.indices.to_numpy()
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
+        known, kind = place >= 0, self.by_ending[_endings(words)]
+        kind[known] = self.of_head[place[known]]
+        inside, kinds = known[at], kind[at]
+
+        # Each text's classes, and the end behind them.
+        rows = np.repeat(np.arange(len(texts)), sizes)
+        ends = borders[1:] + np.arange(len(texts))
+        classes = np.full(len(at) + len(texts), END, np.uint8)
+        classes[np.arange(len(at)) + rows] = kinds
+        upto = pa.array(np.append(0, ends + 1), pa.int32())
+
+        logs = self.log_count[place[at[inside]]]
+        alone = kinds[inside] <= SINGLE_CLASSES
+        alone_logs = logs[alone]
+        shared = kinds > SINGLE_CLASSES
+        terms = self.to_class[kinds[shared]]
+        heads = np.append(0, np.cumsum(inside))[borders]
+        singles = np.append(0, np.cumsum(alone))[heads]
+        plural = np.append(0, np.cumsum(shared))[borders]
+        sums = lambda values, by: np.array([values[a:b].sum() for a, b in zip(by[:-1], by[1:])])
+
+        # Words outside the head: each once a text, with its number there.
+        pairs, times = np.unique(rows[~inside] * len(words) + at[~inside], return_counts=True)
+        starts = np.searchsorted(pairs, np.arange(len(texts) + 1) * len(words))
+        starts = pa.array(starts, pa.int32())
+        return {
+            "classes": pa.Array.from_buffers(pa.binary(), len(texts), [None, upto.buffers()[1], pa.py_buffer(classes)]),
+            "n_tokens": pa.array(sizes + 1),
+            "n_head": pa.array(np.diff(heads)),
+            "head_log": pa.array(sums(logs, heads) + self.end_log),
+            "class_log": pa.array(sums(terms, plural) - (sums(alone_logs, singles) + self.end_log)),
+            "others": pa.ListArray.from_arrays(starts, words.take(pa.array(pairs % max(len(words), 1)))),
+            "times": pa.ListArray.from_arrays(starts, pa.array(times, pa.int64())),
+        }
 
 
 def head_words(counts: DataFrame, head: int = HEAD) -> list[tuple[bytes, int]]:
@@ -169,22 +208,22 @@ def class_table(counts: DataFrame, documents: int, head: int = HEAD) -> Classes:
 
 
 def encoded(docs: DataFrame, classes: Classes) -> DataFrame:
-    """One row a document: its classes as bytes, its sums, and the words outside the head."""
+    """One row a document: its classes as bytes, its sums, and the words outside the head with their numbers."""
     shipped = docs.sparkSession.sparkContext.broadcast(classes)
-    names = ("classes", "n_tokens", "n_head", "head_log", "class_log", "others")
 
-    def encode(columns: dict[str, list]) -> dict[str, list]:
-        rows = [shipped.value.encode(text) for text in columns["text"]]
-        keep = {k: columns[k] for k in ("doc_id", "held_out")}
-        return keep | dict(zip(names, list(zip(*rows)) or [()] * len(names)))
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, SLICE_BYTES):
+                columns = {k: part[k] for k in ("doc_id", "held_out")} | shipped.value.encode(part["text"])
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     kind = dict(docs.dtypes)["doc_id"]
     source = docs.select("doc_id", (remainder(FOLDS) == HELD_OUT).alias("held_out"), F.col("text").cast("string"))
     schema = (
         f"doc_id {kind}, held_out boolean, classes binary, n_tokens bigint, n_head bigint, "
-        "head_log double, class_log double, others array<binary>"
+        "head_log double, class_log double, others array<binary>, times array<bigint>"
     )
-    rows = map_rows(source, encode, schema)
+    rows = source.mapInArrow(encode, schema)
     # Written at once, so the row number stays what it is.
     return stored(rows.withColumn("row", F.monotonically_increasing_id()), "encoded")
 
@@ -235,7 +274,7 @@ def scored(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame
     rows = encoded(docs, classes)
 
     # Words outside the head meet their counts; what has no count was never seen in training.
-    others = rows.select("row", F.explode("others").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
+    others = rows.select("row", F.inline(F.arrays_zip("others", "times")).alias("word", "times"))
     met = others.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     tails = met.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("tail_log"),
@@ -249,7 +288,7 @@ def scored(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame
         return {"row": columns["row"], "class_score": gru.log10_probability(params.value, sequences, END).tolist()}
 
     network = map_rows(rows.select("row", "classes"), read, "row bigint, class_score double")
-    sums = rows.drop("classes", "others").join(network, "row").join(tails, "row", "left")
+    sums = rows.drop("classes", "others", "times").join(network, "row").join(tails, "row", "left")
     logs = F.col("head_log") + F.coalesce("tail_log", F.lit(0.0))
     known = F.col("n_head") + F.coalesce("n_tail", F.lit(0)) + F.lit(int(documents > 0))
     return sums.select(
